@@ -293,3 +293,74 @@ def keyed_hash_filtered(spark, sf):
     src = table(spark, sf, "customer").select("c_custkey", F.expr(_PHONE_EXPR.format(t="STRING")).alias("phone"))
     return apply_recipe(src, [act("CRYPTOGRAPHIC_HASH", entityTypeFilter=["PHONE_NUMBER"], secretId=DEMO_KEY_ID,
                                   sourceColumns=["phone"])], _ctx())
+
+
+# ---------------------------------------------------------------- F1 / F2
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _profile_sql(tbl: str, cols: list[str], numeric: set[str], types: dict[str, str]) -> str:
+    parts = []
+    for c in cols:
+        num = c in numeric
+        parts.append(
+            f"SELECT '{c}' AS column_name, '{types[c]}' AS data_type, count(*) AS n_rows, "
+            f"count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, "
+            f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, "
+            + (f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev "
+               if num else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev ")
+            + f"FROM {tbl}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_LI_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+             "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+             "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+
+
+@query("profile_columns", _profile_sql("lineitem", _LI_COLS,
+                                       {c for c, t in _LI_TYPES.items() if t in ("bigint", "int", "double")},
+                                       _LI_TYPES))
+def profile_columns(spark, sf):
+    from ladle.operators.profile import profile
+    return profile(table(spark, sf, "lineitem"), _LI_COLS, exact_distinct=True, round_to=4)
+
+
+_PART_COLS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@query("profile_top_values", "\nUNION ALL\n".join(
+    f"""SELECT * FROM (SELECT '{c}' AS column_name,
+           CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER) AS rank,
+           CAST({c} AS VARCHAR) AS value, count(*) AS count
+       FROM part WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 3)"""
+    for c in _PART_COLS))
+def profile_top_values(spark, sf):
+    from ladle.operators.profile import top_values
+    return top_values(table(spark, sf, "part"), _PART_COLS, k=3)
+
+
+# ---------------------------------------------------------------- F3
+def _entity_sql() -> str:
+    from ladle.functions.patterns import ENTITY_FIND
+    return "\nUNION ALL\n".join(
+        f"SELECT 'text' AS column_name, '{e}' AS entity_type, count(text) AS n_values, "
+        f"count_if(regexp_matches(text, '{p}')) AS n_matches FROM documents"
+        for e, p in ENTITY_FIND.items())
+
+
+@query("entity_counts", _entity_sql())
+def entity_counts(spark, sf):
+    from ladle.operators.entities import detect_entities
+    return detect_entities(table(spark, sf, "documents"), ["text"], ["USA_ALL"])
+
+
+# ---------------------------------------------------------------- A7
+@query("sample_rows", f"""
+SELECT * FROM lineitem
+ORDER BY md5('{SEED}|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)) LIMIT 250
+""")
+def sample_rows(spark, sf):
+    from ladle.operators.sample import sample_rows as sample
+    return sample(table(spark, sf, "lineitem"), 250, SEED, ["l_orderkey", "l_linenumber"])
