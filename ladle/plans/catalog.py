@@ -364,3 +364,123 @@ ORDER BY md5('{SEED}|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumbe
 def sample_rows(spark, sf):
     from ladle.operators.sample import sample_rows as sample
     return sample(table(spark, sf, "lineitem"), 250, SEED, ["l_orderkey", "l_linenumber"])
+
+
+# ---------------------------------------------------------------- E2 / A4 / C5
+_ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+
+
+@query("batch_key_and_latest", f"""
+SELECT event_id // 30 AS batch_id,
+       array_to_string(list_sort(list_distinct(list('landing-' || event_type))), ';') AS watching_key,
+       max({_ISO_SQL}) AS latest_event_time, count(*) AS n_records
+FROM events GROUP BY event_id // 30
+""")
+def batch_key_and_latest(spark, sf):
+    from ladle.functions.time import iso_text
+    from ladle.streaming.envelope import key_and_latest, message_body, unpack_messages
+    ev = table(spark, sf, "events")
+    body = message_body(iso_text(F.col("ts")), F.concat(F.lit("landing-"), F.col("event_type")),
+                        F.concat(F.lit("inbound/"), F.col("user_id").cast("string"), F.lit("/"),
+                                 F.col("event_id").cast("string"), F.lit(".csv")))
+    # One queue message per event; the queue hands them over 30 at a time.
+    msgs = ev.select((F.col("event_id") / 30).cast("long").alias("batch_id"),
+                     F.to_json(F.struct(F.array(F.struct(body.alias("body"))).alias("Records"))).alias("message"))
+    recs = unpack_messages(msgs, "message", keep=["batch_id"])
+    return key_and_latest(recs, ["batch_id"])
+
+
+# ---------------------------------------------------------------- E4
+_DELIVERY = "ts + to_minutes(CAST(json_extract_string(props, '$.k') AS INTEGER))"
+
+
+@query("newer_only", f"""
+WITH d AS (SELECT event_id, event_type, ts, {_DELIVERY} AS delivered_at FROM events),
+m AS (SELECT *, max(ts) OVER (PARTITION BY event_type ORDER BY delivered_at, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max FROM d)
+SELECT event_id, event_type, ts, delivered_at FROM m WHERE prev_max IS NULL OR ts > prev_max
+""")
+def newer_only(spark, sf):
+    from ladle.streaming.newer import newer_only as keep_newer
+    ev = table(spark, sf, "events")
+    # Notifications are delivered late by props.k minutes: arrival order != event order.
+    delay = F.get_json_object("props", "$.k").cast("int")
+    d = ev.select("event_id", "event_type", "ts",
+                  (F.col("ts") + F.make_dt_interval(mins=delay)).alias("delivered_at"))
+    return keep_newer(d, "event_type", "ts", "delivered_at", tiebreak="event_id")
+
+
+# ---------------------------------------------------------------- E5
+@query("quiet_period", """
+WITH e AS (SELECT event_type, ts,
+                  CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) > INTERVAL 30 MINUTE
+                       THEN 1 ELSE 0 END AS brk FROM events),
+s AS (SELECT event_type, ts, sum(brk) OVER (PARTITION BY event_type ORDER BY ts
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM e)
+SELECT event_type, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
+       max(ts) + INTERVAL 30 MINUTE AS launch_at
+FROM s GROUP BY event_type, sid
+""")
+def quiet_period(spark, sf):
+    from ladle.streaming.quiet import quiet_sessions
+    return quiet_sessions(table(spark, sf, "events"), "event_type", "ts", 30 * 60)
+
+
+# ---------------------------------------------------------------- J1 / J2 / E7-E9 / K5
+_JOB_SQL = "'job-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')"
+_LEDGER_SQL = f"""
+starts AS (SELECT {_JOB_SQL} AS job_id, md5('token-' || CAST(event_id AS VARCHAR)) AS task_token,
+                  ts AS started_at FROM events WHERE event_type = 'view'),
+ledger AS (SELECT job_id, task_token, started_at,
+                  CAST(floor(epoch(started_at)) AS BIGINT) + 604800 AS exp_timestamp
+           FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY started_at DESC, task_token DESC) AS rn
+                 FROM starts) WHERE rn = 1),
+comp AS (SELECT event_id AS completion_id, {_JOB_SQL} AS job_id, ts AS completed_at,
+                CASE WHEN value >= 1.0 THEN 'SUCCEEDED' ELSE 'FAILED' END AS state
+         FROM events WHERE event_type = 'purchase')"""
+
+
+def _ledger_inputs(spark, sf):
+    ev = table(spark, sf, "events")
+    job = F.concat(F.lit("job-"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    starts = ev.where(F.col("event_type") == "view").select(
+        job.alias("job_id"), F.md5(F.concat(F.lit("token-"), F.col("event_id").cast("string"))).alias("task_token"),
+        F.col("ts").alias("started_at"))
+    comps = ev.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("completion_id"), job.alias("job_id"), F.col("ts").alias("completed_at"),
+        F.when(F.col("value") >= 1.0, F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("state"))
+    return starts, comps
+
+
+@query("run_outcomes", f"""
+WITH {_LEDGER_SQL},
+j AS (SELECT c.*, l.task_token,
+             CASE WHEN l.task_token IS NOT NULL AND c.state = 'SUCCEEDED' THEN 'Success' ELSE 'Fail' END AS result,
+             CASE WHEN l.task_token IS NULL THEN 'no open run for the job id'
+                  WHEN c.state <> 'SUCCEEDED' THEN 'run ended in state ' || c.state END AS cause
+      FROM comp c LEFT JOIN ledger l ON c.job_id = l.job_id AND l.started_at <= c.completed_at
+                                   AND CAST(floor(epoch(c.completed_at)) AS BIGINT) <= l.exp_timestamp)
+SELECT completion_id, job_id, completed_at, state, task_token, result, cause, 'transform' AS source,
+       'Pipeline result [' || result || ']' AS subject,
+       CASE WHEN result = 'Success' THEN 'Job run ' || job_id || ' completed with state ' || state || '.'
+            ELSE 'Job fails to launch or finish, error: ' || state || ', cause: ' || cause END AS message
+FROM j
+""")
+def run_outcomes(spark, sf):
+    from ladle.streaming.ledger import build_ledger, match_completions, outcome_rows
+    starts, comps = _ledger_inputs(spark, sf)
+    out = outcome_rows(match_completions(comps, build_ledger(starts)))
+    return out.select("completion_id", "job_id", "completed_at", "state", "task_token", "result", "cause",
+                      "source", "subject", "message")
+
+
+@query("orphan_completions", f"""
+WITH {_LEDGER_SQL}
+SELECT c.* FROM comp c
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE c.job_id = l.job_id AND l.started_at <= c.completed_at
+                  AND CAST(floor(epoch(c.completed_at)) AS BIGINT) <= l.exp_timestamp)
+""")
+def orphan_completions(spark, sf):
+    from ladle.streaming.ledger import build_ledger, orphan_completions as orphans
+    starts, comps = _ledger_inputs(spark, sf)
+    return orphans(comps, build_ledger(starts))
