@@ -484,3 +484,113 @@ def orphan_completions(spark, sf):
     from ladle.streaming.ledger import build_ledger, orphan_completions as orphans
     starts, comps = _ledger_inputs(spark, sf)
     return orphans(comps, build_ledger(starts))
+
+
+# ---------------------------------------------------------------- S1-S8, P2, K1, K2
+def _landing(spark) -> str:
+    from ladle.session import scratch_dir
+    return scratch_dir(spark, "landing")
+
+
+def _touch_empty(spark, path: str) -> None:
+    """Create a zero-byte placeholder object (driver-side metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(p, True).close()
+
+
+_ORDERS_TEXT_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders
+"""
+
+
+@query("land_csv_header", _ORDERS_TEXT_SQL)
+def land_csv_header(spark, sf):
+    """Pushed CSV with header under inbound/, a placeholder object and a file
+    outside the prefix; an Incremental read sees exactly the landed rows."""
+    from ladle.sources.entities import stringify
+    from ladle.sources.files import PLACEHOLDER_OBJECT, PUSH_PREFIX, read_inbound
+    root = _landing(spark)
+    orders = table(spark, sf, "orders")
+    stringify(orders).write.mode("overwrite").option("header", True).csv(f"{root}/{PUSH_PREFIX}drop1")
+    _touch_empty(spark, f"{root}/{PUSH_PREFIX}{PLACEHOLDER_OBJECT}")
+    table(spark, sf, "region").write.mode("overwrite").option("header", True).csv(f"{root}/elsewhere")
+    return read_inbound(spark, f"{root}/{PUSH_PREFIX}", "CsvWithHeaderRow", "Incremental")
+
+
+@query("land_csv_no_header", _ORDERS_TEXT_SQL)
+def land_csv_no_header(spark, sf):
+    from ladle.sources.entities import stringify
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = _landing(spark)
+    orders = table(spark, sf, "orders")
+    stringify(orders).write.mode("overwrite").option("header", False).csv(f"{root}/{PUSH_PREFIX}drop1")
+    return read_inbound(spark, f"{root}/{PUSH_PREFIX}", "CSV", "Incremental", column_names=orders.columns)
+
+
+@query("land_json_lines", "SELECT * FROM orders")
+def land_json_lines(spark, sf):
+    from ladle.sinks.tables import write_json
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = _landing(spark)
+    orders = table(spark, sf, "orders")
+    write_json(orders, f"{root}/{PUSH_PREFIX}drop1")
+    return read_inbound(spark, f"{root}/{PUSH_PREFIX}", "JSONMultiLine", "Incremental", schema=orders.schema)
+
+
+@query("table_append", """
+SELECT c_custkey, concat(repeat('#', least(5, length(c_name))), substr(c_name, 6)) AS c_name,
+       c_nationkey, c_mktsegment FROM customer
+UNION ALL
+SELECT c_custkey, concat(repeat('#', least(5, length(c_name))), substr(c_name, 6)) AS c_name,
+       c_nationkey, c_mktsegment FROM customer
+""")
+def table_append(spark, sf):
+    """Two runs of a masking recipe append to one Parquet catalog table."""
+    import uuid
+    from ladle.sinks.tables import TRANSFORM_PREFIX, ensure_database, write_table
+    root = _landing(spark)
+    db, name = "ladle_out", f"customer_{uuid.uuid4().hex[:12]}"
+    ensure_database(spark, db)
+    src = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    masked = apply_recipe(src, [act("MASK_RANGE", alphabet=["WHITESPACE", "SYMBOLS"], firstN="5",
+                                    maskMode="MASK_FIRST_N", maskSymbol="#", sourceColumns=["c_name"])], _ctx())
+    for _ in range(2):
+        write_table(masked, f"{db}.{name}", location=f"{root}/{TRANSFORM_PREFIX}{name}")
+    return spark.read.table(f"{db}.{name}")
+
+
+# ---------------------------------------------------------------- flagship (P3-P5 over five steps)
+FLAGSHIP_RECIPE = [
+    act("FILL_WITH_MOST_FREQUENT", sourceColumn="c_mktsegment"),
+    act("GROUP_BY", groupByAggFunctionOptions=[{"sourceColumnName": "c_custkey", "targetColumnName": "nation_size",
+                                                "targetColumnDataType": "string", "functionName": "COUNT"}],
+        sourceColumns=["c_nationkey"], useNewDataFrame="false"),
+    act("CATEGORICAL_MAPPING", categoryMap={"AUTOMOBILE": "industry", "MACHINERY": "industry",
+                                            "BUILDING": "industry", "HOUSEHOLD": "consumer"},
+        other="other", sourceColumn="c_mktsegment", targetColumn="segment_group"),
+    act("MASK_RANGE", alphabet=["WHITESPACE", "SYMBOLS"], firstN="5", maskMode="MASK_FIRST_N",
+        maskSymbol="#", sourceColumns=["c_name"], stop="5"),
+    act("CRYPTOGRAPHIC_HASH", secretId=DEMO_KEY_ID, sourceColumns=["c_custkey"]),
+]
+
+FLAGSHIP_SQL = f"""
+SELECT {_sql_hmac_b64('CAST(c_custkey AS VARCHAR)')} AS c_custkey,
+       concat(repeat('#', least(5, length(c_name))), substr(c_name, 6)) AS c_name,
+       c_nationkey, c_acctbal, c_mktsegment,
+       CAST(count(c_custkey) OVER (PARTITION BY c_nationkey) AS VARCHAR) AS nation_size,
+       CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'industry' WHEN 'MACHINERY' THEN 'industry'
+            WHEN 'BUILDING' THEN 'industry' WHEN 'HOUSEHOLD' THEN 'consumer' ELSE 'other' END AS segment_group
+FROM customer
+"""
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctx = RecipeContext(secrets={DEMO_KEY_ID: DEMO_KEY}, seed=SEED)
+    return apply_recipe(table(spark, sf_dir, "customer"), FLAGSHIP_RECIPE, ctx)
+
+
+query("protect_customers", FLAGSHIP_SQL)(flagship)

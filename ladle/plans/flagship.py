@@ -1,0 +1,3 @@
+"""The flagship recipe: protect a customer extract before it is shared."""
+
+from ladle.plans.catalog import FLAGSHIP_RECIPE, FLAGSHIP_SQL, flagship  # noqa: F401
