@@ -8,13 +8,14 @@ from __future__ import annotations
 
 # The entity types we detect and their patterns.  A value
 # "is" an entity when the whole trimmed value matches (ENTITY_FULL); free
-# text "contains" one when ENTITY_FIND matches anywhere.
+# text "contains" one when ENTITY_FIND matches anywhere.  Group 1 of each
+# ENTITY_FIND pattern is the entity itself (without boundary guards).
 ENTITY_FIND = {
-    "EMAIL": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
-    "PHONE_NUMBER": r"(?:^|\D)(?:\+?1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?:\D|$)",
-    "SSN": r"\b\d{3}-\d{2}-\d{4}\b",
-    "CREDIT_CARD": r"\b(?:\d{4}[ -]){3}\d{4}\b",
-    "IP_ADDRESS": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
+    "EMAIL": r"\b([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})\b",
+    "PHONE_NUMBER": r"(?:^|\D)((?:\+?1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?:\D|$)",
+    "SSN": r"\b(\d{3}-\d{2}-\d{4})\b",
+    "CREDIT_CARD": r"\b((?:\d{4}[ -]){3}\d{4})\b",
+    "IP_ADDRESS": r"\b((?:\d{1,3}\.){3}\d{1,3})\b",
 }
 
 ENTITY_FULL = {

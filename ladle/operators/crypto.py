@@ -91,8 +91,8 @@ def keyed_hash_entities(spark: SparkSession, c: Column, key: bytes, entities: li
                       b64(hmac_sha256(text, s["ipad"], s["opad"]))).otherwise(text)
     # Inside a lambda a subquery is not allowed, so the pads are literals here.
     ip, op = F.lit(bytearray(ipad)), F.lit(bytearray(opad))
-    find = "|".join(f"(?:{ENTITY_FIND[e]})" for e in ents)
-    matches = F.array_distinct(F.regexp_extract_all(text, F.lit(find), 0))
+    found = [F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1) for e in ents]
+    matches = F.array_distinct(F.flatten(F.array(*found)) if len(found) > 1 else found[0])
     return F.aggregate(matches, text,
                        lambda acc, m: F.replace(acc, m, b64(hmac_sha256(m, ip, op))))
 
