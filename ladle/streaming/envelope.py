@@ -96,3 +96,19 @@ def arrivals(spark: SparkSession, path: str, fmt: str = "text", schema: StructTy
                       F.col("_metadata.file_size").alias("file_size"),
                       F.col("_metadata.file_modification_time").alias("file_time"))
             .where(F.col("file_size") >= min_bytes))
+
+
+def completion_events(df: DataFrame, source: str, detail_type: str, event_col: str = "event") -> DataFrame:
+    """Keep job state-change events of one source and detail type and
+    pull out the run id and state (C6).
+
+    ``event_col`` holds JSON text ``{"source", "detail-type", "detail":
+    {"jobRunId", "state"}}``; the source and detail type to match are the
+    caller's (they name the service that runs the jobs).
+    """
+    schema = ("source string, `detail-type` string, "
+              "detail struct<jobRunId: string, state: string, jobName: string>")
+    ev = df.select("*", F.from_json(F.col(event_col), schema).alias("__e"))
+    return (ev.where((F.col("__e.source") == F.lit(source)) & (F.col("__e.`detail-type`") == F.lit(detail_type)))
+            .select(*df.columns, F.col("__e.detail.jobRunId").alias("job_id"),
+                    F.col("__e.detail.state").alias("state"), F.col("__e.detail.jobName").alias("job_name")))
