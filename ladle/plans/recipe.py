@@ -66,6 +66,9 @@ class RecipeContext:
     seed: int = 42
     day_first_when_ambiguous: bool = False
     options: dict[str, Any] = field(default_factory=dict)
+    # Operation names after which the frame is checkpointed (reliable
+    # checkpoint in spark.checkpoint.dir) to cut a long lineage.
+    checkpoint_after: tuple[str, ...] = ()
 
     def secret(self, key_id: str) -> bytes:
         if key_id not in self.secrets:
@@ -187,6 +190,11 @@ def apply_recipe(df: DataFrame, recipe: str | list | Recipe | None,
         else:
             df = flush(df)
             df = sdef.fn(df, ctx, **st.params)
+        if st.operation in ctx.checkpoint_after:
+            from ladle.session import checkpoint_root
+            df = flush(df)
+            checkpoint_root(df.sparkSession)
+            df = df.checkpoint(eager=True)
     return flush(df)
 
 

@@ -141,3 +141,12 @@ def test_categorical_large_map_uses_join(spark):
     df = spark.createDataFrame([(str(i),) for i in range(0, 3000, 7)] + [(None,)], "v string")
     got = {r.v: r.m for r in map_categories(df, "v", "m", mapping, other="zz").collect()}
     assert got["7"] == "c1" and got["2996"] == "zz" and got[None] == "zz"
+
+
+def test_checkpoint_after_cuts_lineage(spark):
+    df = spark.createDataFrame(_rows(30), SCHEMA)
+    recipe = [{"Action": {"Operation": "SHUFFLE_ROWS", "Parameters": {"groupByColumns": "[\"state\"]",
+                                                                      "sourceColumns": "[\"zip\"]"}}}]
+    out = apply_recipe(df, recipe, RecipeContext(checkpoint_after=("SHUFFLE_ROWS",)))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "Window" not in plan and out.count() == 30
