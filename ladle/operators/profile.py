@@ -3,9 +3,11 @@
 One aggregate pass computes the per-column statistics for all columns
 at once (partial aggregation, one row out); it is turned into one row
 per column with ``explode`` over that single row.  Exact distinct counts
-are scalar subqueries, one per column (each a pruned one-column scan
-with its own partial aggregation); ``exact_distinct=False`` uses the
-HyperLogLog++ sketch instead, which merges in constant memory.
+take one more pass: every row yields one (column, value-as-text) pair
+per column, pairs are de-duplicated with partial aggregation and counted
+per column -- one scan and one shuffle of distinct pairs for all columns.
+``exact_distinct=False`` uses the HyperLogLog++ sketch instead, which
+merges in constant memory.
 Quantiles use ``percentile_approx`` (a mergeable sketch): an exact
 percentile would hold a whole column in one task.
 """
@@ -31,6 +33,42 @@ def _orderable(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() not in ("map", "array", "struct", "binary", "variant")
 
 
+_SLOTS = ("v_long", "v_double", "v_text")
+
+
+def _typed_slot(df: DataFrame, c: str) -> tuple[str, Column]:
+    """The value in a slot of its own kind, equal exactly when values are equal."""
+    t = df.schema[c].dataType
+    name = t.typeName()
+    x = F.col(c)
+    if name in ("byte", "short", "integer", "long", "boolean"):
+        return "v_long", x.cast("long")
+    if name in ("float", "double"):
+        return "v_double", F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))
+    if name in ("date", "timestamp", "timestamp_ntz"):
+        return "v_long", F.unix_micros(x.cast("timestamp")) if name != "date" else F.unix_date(x).cast("long")
+    if name in ("array", "map", "struct", "variant"):
+        return "v_text", F.to_json(F.struct(x.alias("v")))
+    if name == "binary":
+        return "v_text", F.hex(x)
+    return "v_text", x.cast("string")
+
+
+def exact_distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """column_name, n_distinct (non-null values), for all ``cols`` in one pass."""
+    items = []
+    for c in cols:
+        slot, val = _typed_slot(df, c)
+        fields = [F.lit(c).alias("column_name")]
+        fields += [(val if s == slot else F.lit(None).cast("string" if s == "v_text" else s[2:])).alias(s)
+                   for s in _SLOTS]
+        fields.append(val.isNull().alias("is_null"))
+        items.append(F.struct(*fields))
+    pairs = df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
+    return (pairs.where(~F.col("is_null")).select("column_name", *_SLOTS).distinct()
+            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: bool = False,
             quantiles: list[float] | None = None, round_to: int | None = None) -> DataFrame:
     cols = columns or df.columns
@@ -53,10 +91,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
 
     rows = []
     for i, c in enumerate(cols):
-        if exact_distinct:
-            nd = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
-        else:
-            nd = F.col(f"__nd{i}")
+        nd = F.lit(None) if exact_distinct else F.col(f"__nd{i}")
         fields = [F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                   F.col("__rows").alias("n_rows"), (F.col("__rows") - F.col(f"__nn{i}")).alias("n_null"),
                   nd.cast("long").alias("n_distinct"),
@@ -68,7 +103,13 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
             fields.append((F.col(f"__q{i}") if _is_numeric(df, c)
                            else F.lit(None).cast("array<double>")).alias("quantiles"))
         rows.append(F.struct(*fields))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if exact_distinct:
+        counts = exact_distinct_counts(df, cols).withColumnRenamed("column_name", "__c")
+        out = (out.drop("n_distinct").join(counts, F.col("column_name") == F.col("__c"), "left")
+               .withColumn("n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long"))
+               .select(*PROFILE_SCHEMA_COLUMNS, *(["quantiles"] if quantiles else [])))
+    return out
 
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
