@@ -594,3 +594,47 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("protect_customers", FLAGSHIP_SQL)(flagship)
+
+
+# ---------------------------------------------------------------- C1
+@query("object_locations", """
+WITH loc AS (SELECT event_id,
+                    CASE WHEN event_type = 'error' THEN 'landing-' || event_type
+                         ELSE 'landing-' || event_type || '/inbound/' || CAST(user_id AS VARCHAR) || '/'
+                              || CAST(event_id AS VARCHAR) || '.csv' END AS location FROM events)
+SELECT event_id, location,
+       CASE WHEN strpos(location, '/') > 0 THEN regexp_extract(location, '^([^/]*)/(.*)$', 1) END AS bucket,
+       CASE WHEN strpos(location, '/') > 0 THEN regexp_extract(location, '^([^/]*)/(.*)$', 2) END AS object_key,
+       strpos(location, '/') > 0 AS is_valid
+FROM loc
+""")
+def object_locations(spark, sf):
+    """Split ``bucket/key`` locations at the first slash; slash-less ones are flagged, not fatal."""
+    from ladle.functions.text import split_location
+    ev = table(spark, sf, "events")
+    loc = F.when(F.col("event_type") == "error", F.concat(F.lit("landing-"), F.col("event_type"))).otherwise(
+        F.concat(F.lit("landing-"), F.col("event_type"), F.lit("/inbound/"), F.col("user_id").cast("string"),
+                 F.lit("/"), F.col("event_id").cast("string"), F.lit(".csv")))
+    src = ev.select("event_id", loc.alias("location"))
+    bucket, key, ok = split_location(F.col("location"))
+    return src.select("event_id", "location", bucket.alias("bucket"), key.alias("object_key"), ok.alias("is_valid"))
+
+
+# ---------------------------------------------------------------- P8 / C5 / C6
+@query("completion_filter", """
+SELECT event_id, 'run-' || CAST(event_id AS VARCHAR) AS job_id,
+       CASE WHEN value >= 1.0 THEN 'SUCCEEDED' ELSE 'FAILED' END AS state, 'transform-job' AS job_name
+FROM events WHERE event_type IN ('purchase', 'error')
+""")
+def completion_filter(spark, sf):
+    """State-change events of the job service are picked out of a mixed event bus."""
+    from ladle.streaming.envelope import completion_events
+    ev = table(spark, sf, "events")
+    src = F.when(F.col("event_type").isin("purchase", "error"), F.lit("jobs")).otherwise(F.lit("web"))
+    detail = F.struct(F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("jobRunId"),
+                      F.when(F.col("value") >= 1.0, F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("state"),
+                      F.lit("transform-job").alias("jobName"))
+    bus = ev.select("event_id", F.to_json(F.struct(src.alias("source"),
+                                                   F.lit("Job State Change").alias("detail-type"),
+                                                   detail.alias("detail"))).alias("event"))
+    return completion_events(bus, "jobs", "Job State Change").drop("event")
