@@ -26,6 +26,16 @@ ENTITY_FULL = {
     "IP_ADDRESS": r"^(?:\d{1,3}\.){3}\d{1,3}$",
 }
 
+# Necessary conditions checked first: a cheap scan that every match implies,
+# so the full pattern only runs on texts that can contain the entity.
+ENTITY_PREFILTER = {
+    "EMAIL": "@",                 # a literal that every match contains
+    "PHONE_NUMBER": r"\d\d\d",    # regex: three digits in a row
+    "SSN": r"\d\d\d",
+    "CREDIT_CARD": r"\d\d\d",
+    "IP_ADDRESS": r"\d\.\d",
+}
+
 # The entity set named in profile configuration expands to all of the above.
 ENTITY_SETS = {"USA_ALL": list(ENTITY_FIND)}
 

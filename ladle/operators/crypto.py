@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import hashlib
 import hmac as _hmac
+from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.hashing import b64, hmac_pads, hmac_sha256, secret_scalars
 from ladle.functions.patterns import ENTITY_FIND, ENTITY_FULL, expand_entities
+from ladle.operators.entities import contains_entity
 from ladle.plans.recipe import as_list, step
 
 DETERMINISTIC, RANDOM = 1, 2
@@ -73,28 +75,43 @@ def keyed_hash(spark: SparkSession, c: Column, key: bytes) -> Column:
     return b64(hmac_sha256(c.cast("string"), s["ipad"], s["opad"]))
 
 
-def keyed_hash_entities(spark: SparkSession, c: Column, key: bytes, entities: list[str],
-                        within: bool = False) -> Column:
+def keyed_hash_entities(spark: SparkSession, c: Column, key: bytes, entities: list[str]) -> Column:
     """Hash only what is one of ``entities``.
 
-    Default: a cell whose whole trimmed value is such an entity is hashed,
-    others pass unchanged.  ``within=True``: every occurrence inside free
-    text is replaced by its hash, the rest of the text is kept.
+    A cell whose whole trimmed value is such an entity is hashed, others
+    pass unchanged.  For occurrences inside free text use
+    ``hash_entities_within`` (a frame-level step).
     """
     ents = expand_entities(entities)
     ipad, opad = hmac_pads(key)
     text = c.cast("string")
-    if not within:
-        s = secret_scalars(spark, ipad=ipad, opad=opad)
-        full = "|".join(f"(?:{ENTITY_FULL[e]})" for e in ents)
-        return F.when(F.trim(text).rlike(full),
-                      b64(hmac_sha256(text, s["ipad"], s["opad"]))).otherwise(text)
-    # Inside a lambda a subquery is not allowed, so the pads are literals here.
-    ip, op = F.lit(bytearray(ipad)), F.lit(bytearray(opad))
+    s = secret_scalars(spark, ipad=ipad, opad=opad)
+    full = "|".join(f"(?:{ENTITY_FULL[e]})" for e in ents)
+    return F.when(F.trim(text).rlike(full),
+                  b64(hmac_sha256(text, s["ipad"], s["opad"]))).otherwise(text)
+
+
+def hash_entities_within(df: DataFrame, column: str, key: bytes, entities: list[str]) -> DataFrame:
+    """Replace every occurrence of ``entities`` inside free text by its keyed hash.
+
+    A lambda may not hold a subquery, so the HMAC pads are first attached
+    as columns (scalar subqueries over a one-row frame, evaluated once)
+    and the fold refers to those columns; key bytes stay out of the plan.
+    Texts without a possible match skip the extraction entirely.
+    """
+    ents = expand_entities(entities)
+    ipad, opad = hmac_pads(key)
+    s = secret_scalars(df.sparkSession, ipad=ipad, opad=opad)
+    text = F.col(column).cast("string")
     found = [F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1) for e in ents]
-    matches = F.array_distinct(F.flatten(F.array(*found)) if len(found) > 1 else found[0])
-    return F.aggregate(matches, text,
-                       lambda acc, m: F.replace(acc, m, b64(hmac_sha256(m, ip, op))))
+    # Sorted, so the replacement order (and thus the result) is defined.
+    matches = F.array_sort(F.array_distinct(F.flatten(F.array(*found)) if len(found) > 1 else found[0]))
+    ip, op = F.col("__ladle_ipad"), F.col("__ladle_opad")
+    fold = F.aggregate(matches, text, lambda acc, m: F.replace(acc, m, b64(hmac_sha256(m, ip, op))))
+    possible = reduce(lambda a, b: a | b, [contains_entity(text, e) for e in ents])
+    return (df.withColumns({"__ladle_ipad": s["ipad"], "__ladle_opad": s["opad"]})
+            .withColumn(column, F.when(possible, fold).otherwise(text))
+            .drop("__ladle_ipad", "__ladle_opad"))
 
 
 @step("DETERMINISTIC_ENCRYPT", kind="expr")
@@ -110,12 +127,15 @@ def _encrypt_step(df, ctx, sourceColumns, kmsKeyArn=None, secretId=None, **_):
     return {c: encrypt(df.sparkSession, F.col(c), key_id, master, False) for c in as_list(sourceColumns)}
 
 
-@step("CRYPTOGRAPHIC_HASH", kind="expr")
+@step("CRYPTOGRAPHIC_HASH")
 def _hash_step(df, ctx, sourceColumns, secretId, entityTypeFilter=None, **_):
     key = ctx.secret(secretId)
     spark = df.sparkSession
+    if entityTypeFilter and ctx.options.get("hash_within_text", False):
+        for c in as_list(sourceColumns):
+            df = hash_entities_within(df, c, key, as_list(entityTypeFilter))
+        return df
     if entityTypeFilter:
-        within = bool(ctx.options.get("hash_within_text", False))
-        return {c: keyed_hash_entities(spark, F.col(c), key, as_list(entityTypeFilter), within)
-                for c in as_list(sourceColumns)}
-    return {c: keyed_hash(spark, F.col(c), key) for c in as_list(sourceColumns)}
+        return df.withColumns({c: keyed_hash_entities(spark, F.col(c), key, as_list(entityTypeFilter))
+                               for c in as_list(sourceColumns)})
+    return df.withColumns({c: keyed_hash(spark, F.col(c), key) for c in as_list(sourceColumns)})

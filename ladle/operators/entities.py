@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.functions.patterns import ENTITY_FIND, expand_entities
+from ladle.functions.patterns import ENTITY_FIND, ENTITY_PREFILTER, expand_entities
+
+
+def contains_entity(text: Column, entity: str) -> Column:
+    """True when ``text`` contains the entity anywhere (whole text scanned).
+
+    The cheap necessary condition runs first; ``And`` short-circuits, so
+    the full pattern only runs where it can match."""
+    pre = ENTITY_PREFILTER[entity]
+    cheap = F.instr(text, pre) > 0 if entity == "EMAIL" else text.rlike(pre)
+    return cheap & text.rlike(ENTITY_FIND[entity])
 
 
 def detect_entities(df: DataFrame, columns: list[str], entities: list[str] | None = None) -> DataFrame:
@@ -20,7 +30,7 @@ def detect_entities(df: DataFrame, columns: list[str], entities: list[str] | Non
         text = F.col(c).cast("string")
         aggs.append(F.count(text).alias(f"__n{i}"))
         for j, e in enumerate(ents):
-            aggs.append(F.count_if(text.rlike(ENTITY_FIND[e])).alias(f"__m{i}_{j}"))
+            aggs.append(F.count_if(contains_entity(text, e)).alias(f"__m{i}_{j}"))
             rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(e).alias("entity_type"),
                                  F.col(f"__n{i}").alias("n_values"), F.col(f"__m{i}_{j}").alias("n_matches")))
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")

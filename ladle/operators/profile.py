@@ -33,6 +33,15 @@ def _orderable(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() not in ("map", "array", "struct", "binary", "variant")
 
 
+def _fixed_width(df: DataFrame, c: str) -> bool:
+    """min/max buffers of fixed width keep the aggregate a codegen'd HashAggregate."""
+    t = df.schema[c].dataType
+    if t.typeName() == "decimal":
+        return t.precision <= 18
+    return t.typeName() in ("byte", "short", "integer", "long", "float", "double", "boolean",
+                            "date", "timestamp", "timestamp_ntz")
+
+
 _SLOTS = ("v_long", "v_double", "v_text")
 
 
@@ -57,27 +66,31 @@ def _typed_slot(df: DataFrame, c: str) -> tuple[str, Column]:
 def exact_distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """column_name, n_distinct (non-null values), for all ``cols`` in one pass."""
     items = []
-    for c in cols:
+    for i, c in enumerate(cols):
         slot, val = _typed_slot(df, c)
-        fields = [F.lit(c).alias("column_name")]
+        fields = [F.lit(i).alias("__i")]
         fields += [(val if s == slot else F.lit(None).cast("string" if s == "v_text" else s[2:])).alias(s)
                    for s in _SLOTS]
         fields.append(val.isNull().alias("is_null"))
         items.append(F.struct(*fields))
     pairs = df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
-    return (pairs.where(~F.col("is_null")).select("column_name", *_SLOTS).distinct()
-            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("__i") + 1)
+    return (pairs.where(~F.col("is_null")).select("__i", *_SLOTS).distinct()
+            .groupBy("__i").agg(F.count(F.lit(1)).alias("n_distinct"))
+            .select(names.alias("column_name"), "n_distinct"))
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: bool = False,
             quantiles: list[float] | None = None, round_to: int | None = None) -> DataFrame:
     cols = columns or df.columns
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
+    var_aggs: list[Column] = []  # string min/max: variable-width buffers, kept apart
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs.append(F.count(x).alias(f"__nn{i}"))
         if _orderable(df, c):
-            aggs += [F.min(x).cast("string").alias(f"__min{i}"), F.max(x).cast("string").alias(f"__max{i}")]
+            target = aggs if _fixed_width(df, c) else var_aggs
+            target += [F.min(x).cast("string").alias(f"__min{i}"), F.max(x).cast("string").alias(f"__max{i}")]
         if _is_numeric(df, c):
             aggs += [F.avg(x).alias(f"__avg{i}"), F.stddev_samp(x).alias(f"__sd{i}")]
             if quantiles:
@@ -85,6 +98,14 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
         if not exact_distinct:
             aggs.append(F.approx_count_distinct(x).alias(f"__nd{i}"))
     one = df.agg(*aggs)
+    if var_aggs:
+        # A second one-row aggregate, attached as scalar subqueries (Catalyst
+        # merges them into one subquery), so the main aggregate stays a
+        # code-generated hash aggregate.
+        var_row = df.agg(*var_aggs)
+        packed = var_row.select(F.struct(*var_row.columns).alias("v")).scalar()
+        one = one.select("*", packed.alias("__var")).select(
+            "*", *[F.col("__var").getField(n).alias(n) for n in var_row.columns]).drop("__var")
 
     def rnd(e: Column) -> Column:
         return F.round(e, round_to) if round_to is not None else e

@@ -638,3 +638,25 @@ def completion_filter(spark, sf):
                                                    F.lit("Job State Change").alias("detail-type"),
                                                    detail.alias("detail"))).alias("event"))
     return completion_events(bus, "jobs", "Job State Change").drop("event")
+
+
+# ---------------------------------------------------------------- T14 inside free text
+def _within_sql() -> str:
+    from ladle.functions.patterns import ENTITY_FIND
+    found = ", ".join(f"regexp_extract_all(text, '{ENTITY_FIND[e]}', 1)" for e in ("EMAIL", "PHONE_NUMBER"))
+    return f"""
+SELECT doc_id,
+       list_reduce(list_sort(list_distinct(list_concat({found}))),
+                   lambda acc, m: replace(acc, m, {_sql_hmac_b64('m')}), text) AS text
+FROM documents
+"""
+
+
+@query("hash_within_documents", _within_sql())
+def hash_within_documents(spark, sf):
+    """Every e-mail address and phone number inside whole document texts is
+    replaced by its keyed hash; the rest of each text is kept."""
+    src = table(spark, sf, "documents").select("doc_id", "text")
+    ctx = _ctx(options={"hash_within_text": True})
+    return apply_recipe(src, [act("CRYPTOGRAPHIC_HASH", entityTypeFilter=["EMAIL", "PHONE_NUMBER"],
+                                  secretId=DEMO_KEY_ID, sourceColumns=["text"])], ctx)
