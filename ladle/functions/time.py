@@ -65,3 +65,26 @@ def parse_with_recipe_pattern(c: Column, fmt: str) -> Column:
     if has_star:
         text = F.regexp_replace(text, r"^(\d{4}\D\d{1,2}\D\d{1,2})[T* ]", "$1 ")
     return F.try_to_timestamp(F.trim(text), F.lit(pattern))
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def epoch_micros(df, name: str) -> Column:
+    """Microseconds since the epoch, independent of the session time zone.
+
+    ``TIMESTAMP`` (an instant) uses ``unix_micros``; ``TIMESTAMP_NTZ`` (a
+    wall-clock value, read as UTC) uses a wall-clock difference, so no
+    time-zone rule (or daylight-saving fold) can reorder values.
+    """
+    t = df.schema[name].dataType.typeName()
+    c = F.col(name)
+    if t == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{name}`)")
+    if t == "date":
+        return F.unix_date(c).cast("long") * F.lit(86_400_000_000)
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def epoch_seconds(df, name: str) -> Column:
+    return F.floor(epoch_micros(df, name) / F.lit(1_000_000)).cast("long")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.text import message
-from ladle.functions.time import LEDGER_TTL_DAYS, SECONDS_PER_DAY, expiry_epoch
+from ladle.functions.time import LEDGER_TTL_DAYS, SECONDS_PER_DAY, epoch_seconds
 from ladle.operators.joins import attach
 
 # Outcome texts.
@@ -36,7 +36,7 @@ def build_ledger(starts: DataFrame, job_id: str = "job_id", token: str = "task_t
                  started_at: str = "started_at", ttl_days: int = LEDGER_TTL_DAYS) -> DataFrame:
     """job_id -> task_token, started_at, exp_timestamp (epoch seconds, E7)."""
     latest = latest_per_key(starts.select(job_id, token, started_at), job_id, [started_at, token])
-    return latest.withColumn("exp_timestamp", expiry_epoch(F.col(started_at), ttl_days))
+    return latest.withColumn("exp_timestamp", epoch_seconds(latest, started_at) + F.lit(ttl_days * SECONDS_PER_DAY))
 
 
 def live_ledger(ledger: DataFrame, now: Column | None = None) -> DataFrame:
@@ -55,7 +55,7 @@ def match_completions(completions: DataFrame, ledger: DataFrame, job_id: str = "
     led = ledger.select(F.col(job_id).alias("__job"), F.col("task_token"), F.col("started_at"),
                         F.col("exp_timestamp"))
     cond = ((F.col(job_id) == F.col("__job")) & (F.col("started_at") <= F.col(completed_at))
-            & (F.unix_timestamp(F.col(completed_at).cast("timestamp")) <= F.col("exp_timestamp")))
+            & (epoch_seconds(completions, completed_at) <= F.col("exp_timestamp")))
     j = completions.join(led, cond, "left").drop("__job")
     matched = F.col("task_token").isNotNull()
     ok = matched & (F.col(state) == F.lit("SUCCEEDED"))
@@ -70,7 +70,7 @@ def orphan_completions(completions: DataFrame, ledger: DataFrame, job_id: str =
     """Completions with no open run -> failures (left anti join)."""
     led = ledger.select(F.col(job_id).alias("__job"), "started_at", "exp_timestamp")
     cond = ((F.col(job_id) == F.col("__job")) & (F.col("started_at") <= F.col(completed_at))
-            & (F.unix_timestamp(F.col(completed_at).cast("timestamp")) <= F.col("exp_timestamp")))
+            & (epoch_seconds(completions, completed_at) <= F.col("exp_timestamp")))
     return completions.join(led, cond, "left_anti")
 
 

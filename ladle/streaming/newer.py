@@ -15,20 +15,17 @@ whole key to one task.  This is a segmented prefix-max instead:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladle.functions.time import epoch_micros
 from ladle.operators.joins import attach
 
 
-def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
-
-
 def newer_only(df: DataFrame, key: str, ts: str, arrival: str, tiebreak: str | None = None,
                chunk_seconds: int = 3600) -> DataFrame:
     order = [F.col(arrival)] + ([F.col(tiebreak)] if tiebreak else [])
-    x = df.withColumn("__chunk", F.floor(_micros(F.col(arrival)) / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    x = df.withColumn("__chunk", F.floor(epoch_micros(df, arrival) / F.lit(chunk_seconds * 1_000_000)).cast("long"))
     within = Window.partitionBy(key, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("__prev", F.max(ts).over(within))
     chunk_max = x.groupBy(key, "__chunk").agg(F.max(ts).alias("__cmax"))

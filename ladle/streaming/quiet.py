@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladle.functions.time import epoch_micros
+
 DEFAULT_GAP_SECONDS = 60  # fixed value: default quiet period, 1 minute
 MIN_GAP_SECONDS = 30  # fixed value: shortest allowed quiet period
 
@@ -30,13 +32,12 @@ def quiet_sessions(df: DataFrame, key: str, ts: str, gap_seconds: int = DEFAULT_
     """key, session_start, session_end, n_events, launch_at (= end + gap)."""
     _check_gap(gap_seconds)
     gap_us = gap_seconds * 1_000_000
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    buckets = (df.where(F.col(ts).isNotNull())
-               .groupBy(key, F.floor(micros / F.lit(gap_us)).cast("long").alias("__b"))
-               .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("__n")))
+    src = df.where(F.col(ts).isNotNull()).withColumn("__us", epoch_micros(df, ts))
+    buckets = (src.groupBy(key, F.floor(F.col("__us") / F.lit(gap_us)).cast("long").alias("__b"))
+               .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("__n"),
+                    F.min("__us").alias("__first_us"), F.max("__us").alias("__last_us")))
     w = Window.partitionBy(key).orderBy("__b")
-    prev_last = F.lag("__last").over(w)
-    brk = (F.unix_micros(F.col("__first").cast("timestamp")) - F.unix_micros(prev_last.cast("timestamp"))) > gap_us
+    brk = (F.col("__first_us") - F.lag("__last_us").over(w)) > gap_us
     flagged = buckets.withColumn("__new", F.coalesce(brk, F.lit(True)).cast("int"))
     sid = flagged.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return (sid.groupBy(key, "__sid")
