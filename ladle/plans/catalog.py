@@ -660,3 +660,31 @@ def hash_within_documents(spark, sf):
     ctx = _ctx(options={"hash_within_text": True})
     return apply_recipe(src, [act("CRYPTOGRAPHIC_HASH", entityTypeFilter=["EMAIL", "PHONE_NUMBER"],
                                   secretId=DEMO_KEY_ID, sourceColumns=["text"])], ctx)
+
+
+# ---------------------------------------------------------------- E6 (batch)
+@query("single_flight", """
+WITH RECURSIVE e AS (SELECT event_type, ts,
+                  CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) > INTERVAL 30 MINUTE
+                       THEN 1 ELSE 0 END AS brk FROM events),
+s AS (SELECT event_type, ts, sum(brk) OVER (PARTITION BY event_type ORDER BY ts
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM e),
+launches AS (SELECT event_type, max(ts) + INTERVAL 30 MINUTE AS requested_at FROM s GROUP BY event_type, sid),
+chain(event_type, requested_at) AS (
+  SELECT event_type, min(requested_at) FROM launches GROUP BY event_type
+  UNION ALL
+  SELECT c.event_type, (SELECT min(l.requested_at) FROM launches l
+                        WHERE l.event_type = c.event_type AND l.requested_at >= c.requested_at + INTERVAL 2 HOUR)
+  FROM chain c WHERE c.requested_at IS NOT NULL)
+SELECT l.event_type, l.requested_at,
+       EXISTS (SELECT 1 FROM chain c WHERE c.event_type = l.event_type AND c.requested_at = l.requested_at) AS started
+FROM launches l
+""")
+def single_flight(spark, sf):
+    """Launch requests (one per quiet-period session) start a 2-hour run only
+    when the previous run of the same key has finished."""
+    from ladle.streaming.flight import single_flight as flight
+    from ladle.streaming.quiet import quiet_sessions
+    launches = quiet_sessions(table(spark, sf, "events"), "event_type", "ts", 30 * 60) \
+        .select("event_type", F.col("launch_at").alias("requested_at"))
+    return flight(launches, "event_type", "requested_at", 2 * 3600)

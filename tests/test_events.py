@@ -106,3 +106,26 @@ def test_ledger_expiry_is_seven_days_and_last_write_wins(spark):
     assert res[3][0] == "Fail"
     assert res[4] == ("Fail", "tok-c", "run ended in state FAILED")
     assert sorted(r.completion_id for r in orphan_completions(comps, build_ledger(starts)).collect()) == [2, 3]
+
+
+def test_single_flight_batch_matches_greedy(spark):
+    import random
+    from ladle.streaming.flight import single_flight
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(700):
+        k = "hot" if rnd.random() < 0.6 else f"k{rnd.randint(0, 4)}"
+        rows.append((i, k, base + dt.timedelta(seconds=rnd.randint(0, 200000))))
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
+    run = 3600
+    expect = {}
+    for k in {r[1] for r in rows}:
+        until = None
+        for i, _, t in sorted((r for r in rows if r[1] == k), key=lambda r: (r[2], r[0])):
+            start = until is None or t >= until
+            if start:
+                until = t + dt.timedelta(seconds=run)
+            expect[i] = start
+    got = {r.id: r.started for r in single_flight(df, "k", "ts", run, tiebreak="id", chunk_rows=37).collect()}
+    assert got == expect
