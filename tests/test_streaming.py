@@ -77,3 +77,31 @@ def test_stream_stream_completion_join(spark):
     out = _run(completions_with_runs(comps, starts), spark, "join_q")
     got = {r.job_id: r.task_token for r in out.collect()}
     assert got.get("j1") == "t1"
+
+
+def test_connector_end_to_end(spark):
+    import json
+    from ladle.plans.recipe import RecipeContext
+    from ladle.streaming.connector import Connector
+    root = _local(scratch_dir(spark, "conn"))
+    os.makedirs(f"{root}/inbound")
+    for i, rows in enumerate([["jwhite@domain.com", "mhall@domain.com"], ["cdiaz@domain.com"]]):
+        with open(f"{root}/inbound/drop{i}.csv", "w") as f:
+            f.write("email\r\n" + "\r\n".join(rows))
+    open(f"{root}/inbound/empty-file-object", "w").close()
+    recipe = json.dumps([{"Action": {"Operation": "MASK_RANGE", "Parameters": {
+        "alphabet": "[\"WHITESPACE\",\"SYMBOLS\"]", "firstN": "5", "maskMode": "MASK_FIRST_N",
+        "maskSymbol": "#", "sourceColumns": "[\"email\"]", "stop": "5"}}}])
+    name = os.path.basename(root).replace("-", "_")
+    c = Connector(spark, f"{root}/inbound/", f"ladle_conn.t_{name}", f"ladle_conn.o_{name}", f"{root}/_ckpt",
+                  recipe=recipe, ctx=RecipeContext(), table_location=f"{root}/transform/t", gap_seconds=2)
+    q = c.start(trigger={"processingTime": "1 second"})
+    deadline = time.time() + 40
+    while time.time() < deadline and not spark.catalog.tableExists(c.outcomes_table):
+        time.sleep(1)
+    time.sleep(2)
+    q.stop()
+    out = sorted(r.email for r in spark.read.table(c.table).collect())
+    assert out == ["#####@domain.com", "#####@domain.com", "#####e@domain.com"]
+    res = spark.read.table(c.outcomes_table).collect()
+    assert len(res) == 1 and res[0].result == "Success" and res[0].n_files == 2 and res[0].rows_written == 3
