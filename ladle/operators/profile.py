@@ -135,7 +135,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
     """The ``k`` most frequent non-null values of each column (ties: smaller
-    value first): column_name, rank, value (as text), count.
+    value first): column_name, rank, value (as text), frequency.
 
     Per column: partial aggregation by value, then a distributed
     TakeOrdered of k rows; the ranks are computed over those k rows only.
@@ -144,9 +144,9 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
     for c in columns or df.columns:
         if not _orderable(df, c):
             continue
-        top = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
-               .orderBy(F.desc("count"), F.asc(c)).limit(k))
-        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), F.asc(c))))
+        top = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("frequency"))
+               .orderBy(F.desc("frequency"), F.asc(c)).limit(k))
+        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("frequency"), F.asc(c))))
         parts.append(ranked.select(F.lit(c).alias("column_name"), F.col("rank").cast("int").alias("rank"),
-                                   F.col(c).cast("string").alias("value"), F.col("count")))
+                                   F.col(c).cast("string").alias("value"), F.col("frequency")))
     return reduce(DataFrame.unionByName, parts)

@@ -333,7 +333,7 @@ _PART_COLS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 @query("profile_top_values", "\nUNION ALL\n".join(
     f"""SELECT * FROM (SELECT '{c}' AS column_name,
            CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER) AS rank,
-           CAST({c} AS VARCHAR) AS value, count(*) AS count
+           CAST({c} AS VARCHAR) AS value, count(*) AS frequency
        FROM part WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 3)"""
     for c in _PART_COLS))
 def profile_top_values(spark, sf):

@@ -1,0 +1,74 @@
+"""Remaining operator branches."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ladle.operators.category import map_categories, map_top_x
+from ladle.operators.crypto import decrypt, encrypt
+from ladle.operators.profile import profile, top_values
+from ladle.operators.sample import fraction_sample, sample_rows
+from ladle.plans.recipe import RecipeContext, RecipeError, apply_recipe
+
+
+def test_numeric_category_map(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("z",)], "v string")
+    out = {r.v: r.m for r in map_categories(df, "v", "m", {"a": "1.5", "b": "2"}, other="0", map_type="NUMERIC").collect()}
+    assert out == {"a": 1.5, "b": 2.0, "z": 0.0}
+
+
+def test_top_x_with_delete(spark):
+    df = spark.createDataFrame([(x,) for x in "aaabbbccd"], "v string")
+    kept = sorted(r.m for r in map_top_x(df, "v", "m", 2, "Other", delete_other_rows=True).collect())
+    assert kept == ["a"] * 3 + ["b"] * 3
+    allrows = {r.v: r.m for r in map_top_x(df, "v", "m", 2, "Other").collect()}
+    assert allrows == {"a": "a", "b": "b", "c": "Other", "d": "Other"}
+
+
+def test_mask_range_rejects_unknown_mode(spark):
+    df = spark.createDataFrame([("abc",)], "v string")
+    with pytest.raises(RecipeError):
+        apply_recipe(df, [{"Action": {"Operation": "MASK_RANGE", "Parameters": {
+            "sourceColumns": "[\"v\"]", "firstN": "2", "maskMode": "MASK_LAST_N"}}}])
+
+
+def test_year_of_timestamp_column(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2021, 5, 1, 3, 4, 5),)], "t timestamp")
+    out = apply_recipe(df, [{"Action": {"Operation": "YEAR", "Parameters": {"sourceColumn": "t",
+                                                                            "targetColumn": "y"}}}])
+    assert out.first().y == 2021
+
+
+def test_profile_approx_and_quantiles(spark):
+    df = spark.createDataFrame([(i, f"s{i % 7}", float(i)) for i in range(1000)], "i int, s string, d double")
+    rows = {r.column_name: r for r in profile(df, quantiles=[0.5]).collect()}
+    assert rows["i"].n_rows == 1000 and rows["i"].min_value == "0" and rows["i"].max_value == "999"
+    assert abs(rows["i"].n_distinct - 1000) < 60 and rows["s"].n_distinct == 7
+    assert abs(rows["d"].quantiles[0] - 500) < 20 and rows["s"].quantiles is None
+    exact = {r.column_name: r.n_distinct for r in profile(df, exact_distinct=True).collect()}
+    assert exact == {"i": 1000, "s": 7, "d": 1000}
+    tv = [(r.rank, r.value, r.frequency) for r in top_values(df, ["s"], 2).collect()]
+    assert tv == [(1, "s0", 143), (2, "s1", 143)]
+
+
+def test_sample_exact_size_and_fraction(spark):
+    df = spark.range(5000).withColumn("x", F.col("id") * 2)
+    s1 = sample_rows(df, 250, seed=3)
+    assert s1.count() == 250 and s1.distinct().count() == 250
+    assert sorted(r.id for r in s1.collect()) == sorted(r.id for r in sample_rows(df, 250, seed=3).collect())
+    assert 300 < fraction_sample(df, 0.1, seed=1).count() < 700
+    assert sample_rows(df.limit(10), 250).count() == 10
+
+
+def test_decrypt_with_wrong_key_is_null(spark):
+    df = spark.createDataFrame([("secret text",)], "v string")
+    enc = df.select(encrypt(spark, F.col("v"), "k1", b"a" * 32, True).alias("c"))
+    row = enc.select(decrypt(spark, F.col("c"), b"a" * 32).alias("ok"), decrypt(spark, F.col("c"), b"b" * 32).alias("bad")).first()
+    assert row.ok == "secret text" and row.bad is None
+
+
+def test_unknown_secret_fails_before_running(spark):
+    df = spark.createDataFrame([("x",)], "v string")
+    with pytest.raises(RecipeError):
+        apply_recipe(df, [{"Action": {"Operation": "CRYPTOGRAPHIC_HASH", "Parameters": {
+            "secretId": "missing", "sourceColumns": "[\"v\"]"}}}], RecipeContext())
