@@ -6,7 +6,10 @@ than the maximum time of all rows of the same key that arrived before it.
 A window ``max(ts) over (partition by key order by arrival)`` would hand a
 whole key to one task.  This is a segmented prefix-max instead:
 
-1. cut the arrival order into chunks (``chunk_seconds`` of arrival time);
+1. cut each key's arrival order into chunks of about ``chunk_rows`` rows:
+   the chunk width is the key's arrival span times ``chunk_rows / size``
+   (key sizes and spans come from one partial aggregation), or a fixed
+   ``chunk_seconds`` when given;
 2. running max inside (key, chunk) -- a window over one chunk only;
 3. per-(key, chunk) maxima -> carry = max over the earlier chunks, a
    window over the small chunk table;
@@ -20,12 +23,24 @@ from pyspark.sql import functions as F
 
 from ladle.functions.time import epoch_micros
 from ladle.operators.joins import attach
+from ladle.operators.positions import DEFAULT_CHUNK_ROWS
 
 
 def newer_only(df: DataFrame, key: str, ts: str, arrival: str, tiebreak: str | None = None,
-               chunk_seconds: int = 3600) -> DataFrame:
+               chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_seconds: int | None = None) -> DataFrame:
     order = [F.col(arrival)] + ([F.col(tiebreak)] if tiebreak else [])
-    x = df.withColumn("__chunk", F.floor(epoch_micros(df, arrival) / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    x = df.withColumn("__us", epoch_micros(df, arrival))
+    if chunk_seconds:
+        x = x.withColumn("__chunk", F.floor(F.col("__us") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    else:
+        span = x.groupBy(key).agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
+                                  F.count(F.lit(1)).alias("__n"))
+        width = F.greatest(F.lit(1.0), (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
+                           * F.lit(float(chunk_rows)) / F.col("__n").cast("double"))
+        x = (attach(x, span, [key])
+             .withColumn("__chunk", F.floor((F.col("__us") - F.col("__lo")).cast("double") / width).cast("long"))
+             .drop("__lo", "__hi", "__n"))
+    x = x.drop("__us")
     within = Window.partitionBy(key, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("__prev", F.max(ts).over(within))
     chunk_max = x.groupBy(key, "__chunk").agg(F.max(ts).alias("__cmax"))

@@ -56,6 +56,8 @@ def test_newer_only_matches_brute_force(spark):
         best[k] = max(best.get(k, ts), ts)
     got = {r.id for r in newer_only(df, "k", "ts", "arr", tiebreak="id", chunk_seconds=600).collect()}
     assert got == keep
+    adaptive = {r.id for r in newer_only(df, "k", "ts", "arr", tiebreak="id", chunk_rows=13).collect()}
+    assert adaptive == keep
 
 
 def test_quiet_sessions_match_brute_force(spark):
