@@ -88,3 +88,16 @@ def epoch_micros(df, name: str) -> Column:
 
 def epoch_seconds(df, name: str) -> Column:
     return F.floor(epoch_micros(df, name) / F.lit(1_000_000)).cast("long")
+
+
+def iso_micros(text: Column) -> Column:
+    """ISO-8601 text -> epoch microseconds (an instant; null when unparseable).
+
+    A long aggregates in a code-generated hash aggregate, text does not."""
+    return F.unix_micros(parse_iso(text))
+
+
+def iso_from_micros(us: Column) -> Column:
+    """Epoch microseconds -> fixed-width UTC ISO text, time-zone independent."""
+    wall = F.expr(f"timestampadd(MICROSECOND, 0, {_EPOCH_NTZ})")
+    return F.date_format(F.timestamp_add("MICROSECOND", us, wall), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
