@@ -16,6 +16,13 @@ unbounded group.
   of the key is still going; otherwise it is reported as skipped.
 * ``completions_with_runs`` (E7/E8): watermarked stream-stream left join
   of completions to run starts within the ledger's 7-day expiry.
+* ``RunLedger`` (E7 + J1/J2): the same as keyed state with a 7-day
+  time-to-live -- the ledger entry disappears from the state store on its
+  own, like the reference's expiring table rows.
+
+Processors in processing-time mode (``QuietPeriod``, ``RunLedger``) keep
+Spark scheduling no-data batches for timers and TTL eviction, so they run
+under a processing-time trigger; ``availableNow`` suits the others.
 """
 
 from __future__ import annotations
@@ -184,3 +191,59 @@ def run_available_now(df: DataFrame, sink_table: str, checkpoint: str, mode: str
          .trigger(availableNow=True).toTable(sink_table))
     q.awaitTermination()
     return q
+
+
+LEDGER_OUT_SCHEMA = ("job_id string, completed_at timestamp, state string, task_token string, "
+                     "started_at timestamp, result string, cause string")
+
+
+class RunLedger(StatefulProcessor):
+    """E7 + J1/J2 on one keyed stream: rows are run starts and completions
+    for a ``job_id``.  A start stores (token, start time) in state with a
+    time-to-live (last write wins); a completion looks the run up and emits
+    one outcome.  A completion after the expiry, or with no stored run, is
+    a failure, as is a run that ended in a state other than SUCCEEDED."""
+
+    def __init__(self, ttl_days: int = LEDGER_TTL_DAYS):
+        self.ttl_us = ttl_days * 86400 * _US
+        self.ttl_ms = ttl_days * 86400 * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getValueState("run", "task_token string, started_us long", ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        run = self.run.get() if self.run.exists() else None
+        out = []
+        for pdf in rows:
+            pdf = pdf.assign(at_us=_epoch_us(pdf["at"]), is_completion=(pdf["kind"] != "start").astype(int))
+            for r in pdf.sort_values(["at_us", "is_completion"], kind="stable").itertuples(index=False):
+                if r.kind == "start":
+                    run = (r.task_token, int(r.at_us))
+                    continue
+                live = run is not None and run[1] <= r.at_us <= run[1] + self.ttl_us
+                ok = live and r.state == "SUCCEEDED"
+                cause = None if ok else ("no open run for the job id" if not live
+                                         else f"run ended in state {r.state}")
+                out.append((str(key[0]), pd.Timestamp(int(r.at_us), unit="us"), r.state,
+                            run[0] if live else None, pd.Timestamp(run[1], unit="us") if live else None,
+                            "Success" if ok else "Fail", cause))
+        if run is not None:
+            self.run.update(run)
+        if out:
+            yield pd.DataFrame(out, columns=["job_id", "completed_at", "state", "task_token", "started_at",
+                                             "result", "cause"])
+
+    def close(self) -> None:
+        pass
+
+
+def run_ledger_stream(starts: DataFrame, completions: DataFrame, ttl_days: int = LEDGER_TTL_DAYS) -> DataFrame:
+    """Starts (job_id, task_token, started_at) and completions (job_id,
+    completed_at, state) -> one outcome per completion."""
+    s = starts.select("job_id", F.lit("start").alias("kind"), "task_token",
+                      F.col("started_at").cast("timestamp").alias("at"), F.lit(None).cast("string").alias("state"))
+    c = completions.select("job_id", F.lit("completion").alias("kind"), F.lit(None).cast("string").alias("task_token"),
+                           F.col("completed_at").cast("timestamp").alias("at"), "state")
+    return s.unionByName(c).groupBy("job_id").transformWithStateInPandas(
+        statefulProcessor=RunLedger(ttl_days), outputStructType=LEDGER_OUT_SCHEMA,
+        outputMode="Append", timeMode="ProcessingTime")

@@ -33,6 +33,18 @@ def _run(df, spark, name, trigger=None, wait=None):
     return spark.table(name)
 
 
+def _run_until(df, spark, name, n_rows, timeout=90):
+    """Processing-time trigger, stopped once ``n_rows`` rows reached the sink
+    (processors in processing-time mode keep running no-data batches)."""
+    q = df.writeStream.format("memory").queryName(name).outputMode("append") \
+        .trigger(processingTime="1 second").start()
+    deadline = time.time() + timeout
+    while time.time() < deadline and spark.table(name).count() < n_rows:
+        time.sleep(1)
+    q.stop()
+    return spark.table(name)
+
+
 def test_newer_only_stream_across_batches(spark):
     root = _local(scratch_dir(spark, "s"))
     t = dt.datetime(2024, 1, 1)
@@ -105,3 +117,22 @@ def test_connector_end_to_end(spark):
     assert out == ["#####@domain.com", "#####@domain.com", "#####e@domain.com"]
     res = spark.read.table(c.outcomes_table).collect()
     assert len(res) == 1 and res[0].result == "Success" and res[0].n_files == 2 and res[0].rows_written == 3
+
+
+def test_run_ledger_stream_with_ttl_state(spark):
+    from ladle.streaming.live import run_ledger_stream
+    root = _local(scratch_dir(spark, "s"))
+    t = dt.datetime(2024, 1, 1)
+    _drop(f"{root}/starts", "a", pd.DataFrame({"job_id": ["j1", "j3", "j4"], "task_token": ["t1", "t3", "t4"],
+                                               "started_at": [t, t, t]}))
+    _drop(f"{root}/comps", "a", pd.DataFrame({
+        "job_id": ["j1", "j2", "j3", "j4"],
+        "completed_at": [t + dt.timedelta(hours=1), t, t + dt.timedelta(days=8), t + dt.timedelta(hours=2)],
+        "state": ["SUCCEEDED", "SUCCEEDED", "SUCCEEDED", "FAILED"]}))
+    starts = spark.readStream.schema("job_id string, task_token string, started_at timestamp_ntz").parquet(f"{root}/starts")
+    comps = spark.readStream.schema("job_id string, completed_at timestamp_ntz, state string").parquet(f"{root}/comps")
+    out = _run_until(run_ledger_stream(starts, comps), spark, "ledger_q", 4)
+    got = {r.job_id: (r.result, r.task_token, r.cause) for r in out.collect()}
+    assert got == {"j1": ("Success", "t1", None), "j2": ("Fail", None, "no open run for the job id"),
+                   "j3": ("Fail", None, "no open run for the job id"),
+                   "j4": ("Fail", "t4", "run ended in state FAILED")}
