@@ -13,16 +13,13 @@ runs single-flight.  Each run is an ordinary distributed batch job.
 
 from __future__ import annotations
 
-import traceback
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.plans.recipe import RecipeContext, apply_recipe
-from ladle.sinks.tables import ensure_database, write_table
-from ladle.sources.files import read_inbound
+from ladle.plans.job import run_recipe_job
+from ladle.plans.recipe import RecipeContext
 from ladle.streaming.ledger import MSG_FAIL, MSG_OK, RESULT_FAIL, RESULT_OK, SOURCE, SUBJECT
 from ladle.streaming.live import quiet_period_live
 from ladle.streaming.quiet import DEFAULT_GAP_SECONDS
@@ -59,28 +56,15 @@ class Connector:
         return quiet_period_live(self.arrivals(), "watching_key", "ts", self.gap_seconds)
 
     def _run(self, launch) -> dict:
-        job_id = uuid.uuid4().hex
-        started = self.spark.sql("SELECT current_timestamp()").first()[0]
-        rows, state, cause = None, "SUCCEEDED", None
-        try:
-            if "." in self.table:
-                ensure_database(self.spark, self.table.split(".")[0])
-            exists = self.spark.catalog.tableExists(self.table)
-            before = self.spark.read.table(self.table).count() if exists else 0  # metadata-level count
-            df = read_inbound(self.spark, self.landing, self.fmt, self.upload_type)
-            write_table(apply_recipe(df, self.recipe, self.ctx), self.table, self.table_location)
-            rows = self.spark.read.table(self.table).count() - before
-        except Exception as err:  # a failed run becomes a failure outcome, the stream goes on
-            state, cause = "FAILED", f"{type(err).__name__}: {err}".splitlines()[0][:500]
-            traceback.print_exc()
-        finished = self.spark.sql("SELECT current_timestamp()").first()[0]
-        ok = state == "SUCCEEDED"
+        res = run_recipe_job(self.spark, self.landing, self.table, self.recipe, self.ctx, self.fmt,
+                             self.upload_type, self.table_location)
+        ok = res["state"] == "SUCCEEDED"
         result = RESULT_OK if ok else RESULT_FAIL
-        return {"job_id": job_id, "watching_key": launch["key"], "first_arrival": launch["first_arrival"],
-                "last_arrival": launch["last_arrival"], "n_files": launch["n_events"], "started_at": started,
-                "finished_at": finished, "rows_written": rows, "state": state, "result": result, "cause": cause,
+        return {**res, "watching_key": launch["key"], "first_arrival": launch["first_arrival"],
+                "last_arrival": launch["last_arrival"], "n_files": launch["n_events"], "result": result,
                 "source": SOURCE, "subject": SUBJECT.format(result),
-                "message": MSG_OK.format(job_id, state) if ok else MSG_FAIL.format(state, cause)}
+                "message": (MSG_OK.format(res["job_id"], res["state"]) if ok
+                            else MSG_FAIL.format(res["state"], res["cause"]))}
 
     def _launch_batch(self, batch: DataFrame, epoch_id: int) -> None:
         launches = batch.collect()  # one row per finished quiet burst: small by construction

@@ -94,3 +94,22 @@ def test_table_append_and_profile_location(spark):
 def test_stringify_nested(spark):
     df = spark.createDataFrame([(1, [1, 2], ("x", 2.5))], "a int, b array<int>, c struct<s:string,d:double>")
     assert stringify(df).first().asDict() == {"a": "1", "b": "[1,2]", "c": '{"s":"x","d":2.5}'}
+
+
+def test_recipe_and_profile_jobs(spark):
+    import json
+    from ladle.plans.job import run_profile_job, run_recipe_job
+    root = _local(scratch_dir(spark, "job"))
+    _write(f"{root}/inbound/a.csv", "email,phone\r\njwhite@domain.com,408 496-7223\r\nmhall@domain.com,n/a")
+    recipe = json.dumps([{"Action": {"Operation": "MASK_RANGE", "Parameters": {
+        "sourceColumns": "[\"email\"]", "firstN": "5", "alphabet": "[\"WHITESPACE\",\"SYMBOLS\"]"}}}])
+    name = "ladle_job.t_" + os.path.basename(root).replace("-", "_")
+    ok = run_recipe_job(spark, f"{root}/inbound/", name, recipe, table_location=f"{root}/transform/t")
+    assert ok["state"] == "SUCCEEDED" and ok["rows_written"] == 2
+    bad = run_recipe_job(spark, f"{root}/missing/", name, recipe)
+    assert bad["state"] == "FAILED" and bad["cause"]
+    prof, ents, out = run_profile_job(spark, f"{root}/inbound/", f"{root}/transform/t")
+    assert {r.column_name for r in prof.collect()} == {"email", "phone"}
+    found = {(r.column_name, r.entity_type): r.n_matches for r in ents.collect()}
+    assert found[("email", "EMAIL")] == 2 and found[("phone", "PHONE_NUMBER")] == 1
+    assert spark.read.json(out).count() == 2
