@@ -38,12 +38,6 @@ def hmac_sha256(msg: Column, ipad: Column, opad: Column) -> Column:
     return F.unhex(F.sha2(F.concat(opad, inner), 256))
 
 
-def keyed_hash_b64(spark: SparkSession, msg: Column, key: bytes) -> Column:
-    ipad, opad = hmac_pads(key)
-    s = secret_scalars(spark, ipad=ipad, opad=opad)
-    return b64(hmac_sha256(msg, s["ipad"], s["opad"]))
-
-
 def b64(c: Column) -> Column:
     """base64 without MIME line breaks (Spark may chunk at 76 characters)."""
     return F.regexp_replace(F.base64(c), r"[\r\n]", "")

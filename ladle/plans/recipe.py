@@ -16,7 +16,6 @@ Steps come in two kinds:
 
 from __future__ import annotations
 
-import functools
 import json
 from dataclasses import dataclass, field
 from typing import Any, Callable
@@ -196,7 +195,3 @@ def apply_recipe(df: DataFrame, recipe: str | list | Recipe | None,
             checkpoint_root(df.sparkSession)
             df = df.checkpoint(eager=True)
     return flush(df)
-
-
-def compose(*fns: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    return lambda d: functools.reduce(lambda acc, f: acc.transform(f), fns, d)

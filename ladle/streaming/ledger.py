@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ladle.functions.text import message
 from ladle.functions.time import LEDGER_TTL_DAYS, SECONDS_PER_DAY, epoch_seconds
-from ladle.operators.joins import attach
 
 # Outcome texts.
 SOURCE = "transform"
@@ -80,7 +79,3 @@ def outcome_rows(df: DataFrame, job_id: str = "job_id", state: str = "state") ->
     msg = F.when(F.col("result") == RESULT_OK, message(MSG_OK, F.col(job_id), F.col(state))) \
            .otherwise(message(MSG_FAIL, F.col(state), F.col("cause")))
     return df.withColumn("source", F.lit(SOURCE)).withColumn("subject", subj).withColumn("message", msg)
-
-
-__all__ = ["build_ledger", "live_ledger", "match_completions", "orphan_completions", "outcome_rows",
-           "latest_per_key", "SECONDS_PER_DAY", "attach"]
