@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TRANSFORM_PREFIX = "transform/"  # fixed value: transformed output goes under this prefix
 
@@ -15,8 +16,23 @@ def ensure_database(spark: SparkSession, database: str) -> None:
 def write_table(df: DataFrame, table: str, location: str | None = None, mode: str = "append") -> None:
     """K1: append Parquet to a catalog table (created on first write).
 
-    Later runs may add columns; read with ``mergeSchema`` to see them all.
+    The table has no fixed schema (K2): a run that brings new columns adds
+    them to the table first (``ALTER TABLE ... ADD COLUMNS``; older rows
+    read them as null), and columns a run lacks are written as nulls.
     """
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(table):
+        current = spark.read.table(table).schema
+        have = {f.name.lower() for f in current}
+        new = [f for f in df.schema.fields if f.name.lower() not in have]
+        if new:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        mine = {c.lower() for c in df.columns}
+        missing = [f for f in current.fields if f.name.lower() not in mine]
+        if missing:
+            df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+        df = df.select(*[f.name for f in current.fields], *[f.name for f in new])
     w = df.write.mode(mode).format("parquet")
     if location:
         w = w.option("path", location)

@@ -113,3 +113,14 @@ def test_recipe_and_profile_jobs(spark):
     found = {(r.column_name, r.entity_type): r.n_matches for r in ents.collect()}
     assert found[("email", "EMAIL")] == 2 and found[("phone", "PHONE_NUMBER")] == 1
     assert spark.read.json(out).count() == 2
+
+
+def test_table_schema_evolves_across_runs(spark):
+    root = scratch_dir(spark, "t")
+    ensure_database(spark, "ladle_test")
+    name = "ladle_test.evolve_" + os.path.basename(_local(root)).replace("-", "_")
+    write_table(spark.createDataFrame([(1, "a")], "id int, v string"), name, location=f"{root}/transform/e")
+    write_table(spark.createDataFrame([("b", 2, 9.5)], "v string, id int, extra double"), name)
+    write_table(spark.createDataFrame([(3,)], "id int"), name)
+    rows = sorted((r.id, r.v, r.extra) for r in spark.read.table(name).collect())
+    assert rows == [(1, "a", None), (2, "b", 9.5), (3, None, None)]
