@@ -85,8 +85,7 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
             raise FileNotFoundError(f"no non-empty file under {path}")
         df = _reader(spark, fmt, schema).load(newest)
     else:
-        df = (_reader(spark, fmt, schema).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*").load(path))
+        df = _reader(spark, fmt, schema).option("recursiveFileLookup", True).load(path)
     if column_names and fmt == "CSV":
         df = df.toDF(*column_names)
     return df

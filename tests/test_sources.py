@@ -37,6 +37,8 @@ def test_json_document_and_lines(spark):
     root = _local(scratch_dir(spark, "t"))
     _write(f"{root}/doc/a.json", '[\n {"a": 1,\n  "b": "x"},\n {"a": 2, "b": "y"}\n]')
     _write(f"{root}/lines/a.json", '{"a": 1, "b": "x"}\n{"a": 2, "b": "y"}\n')
+    _write(f"{root}/doc/empty-file-object", "")
+    _write(f"{root}/lines/empty-file-object", "")
     doc = read_inbound(spark, f"{root}/doc/", "JSON")
     lines = read_inbound(spark, f"{root}/lines/", "JSONMultiLine")
     assert sorted(tuple(r) for r in doc.select("a", "b").collect()) == [(1, "x"), (2, "y")]
