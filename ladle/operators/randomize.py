@@ -33,6 +33,11 @@ def _sortable(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if not isinstance(df.schema[c].dataType, MapType)]
 
 
+def _hashable(df: DataFrame, cols: list[str]) -> list:
+    """Columns for xxhash64, which cannot hash maps: maps go in as JSON text."""
+    return [F.to_json(F.col(c)) if isinstance(df.schema[c].dataType, MapType) else F.col(c) for c in cols]
+
+
 def shuffle_rows(df: DataFrame, columns: list[str], group_by: list[str] | None = None,
                  seed: int = 42, key_columns: list[str] | None = None,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -60,8 +65,8 @@ def shuffle_rows(df: DataFrame, columns: list[str], group_by: list[str] | None =
         u_rest, u_vals = uniform_from_hex(h_rest), uniform_from_hex(h_vals)
         vals_carry = list(key_columns)
     else:
-        h_rest = F.xxhash64(F.lit(seed), *[F.col(c) for c in group_by + rest])
-        h_vals = F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in group_by + columns])
+        h_rest = F.xxhash64(F.lit(seed), *_hashable(df, group_by + rest))
+        h_vals = F.xxhash64(F.lit(seed + 1), *_hashable(df, group_by + columns))
         u_rest, u_vals = uniform_from_long(h_rest), uniform_from_long(h_vals)
         vals_carry = []
     slots = df.select(*group_by, *rest).withColumn("__h", h_rest)

@@ -150,3 +150,16 @@ def test_checkpoint_after_cuts_lineage(spark):
     out = apply_recipe(df, recipe, RecipeContext(checkpoint_after=("SHUFFLE_ROWS",)))
     plan = out._jdf.queryExecution().analyzed().toString()
     assert "Window" not in plan and out.count() == 30
+
+
+def test_user_registered_step(spark):
+    from ladle.plans.recipe import registered_operations, step
+
+    @step("UPPER_CASE_TEST", kind="expr")
+    def _upper(df, ctx, sourceColumn, **_):
+        return {sourceColumn: F.upper(F.col(sourceColumn))}
+
+    assert "UPPER_CASE_TEST" in registered_operations()
+    df = spark.createDataFrame([("abc",)], "v string")
+    out = apply_recipe(df, [{"Action": {"Operation": "UPPER_CASE_TEST", "Parameters": {"sourceColumn": "v"}}}])
+    assert out.first().v == "ABC"

@@ -51,3 +51,9 @@ def test_shuffle_global_group_and_several_columns(spark):
     assert all(r.a[1:] == r.b[1:] for r in out)  # columns move together
     assert sorted(r.a for r in out) == sorted(f"a{i}" for i in range(200))
     assert sum(r.a != f"a{r.id}" for r in out) > 150
+
+
+def test_shuffle_with_map_column(spark):
+    df = spark.createDataFrame([(i % 3, {"k": i}, i) for i in range(60)], "g int, m map<string,int>, v int")
+    out = shuffle_rows(df, ["v"], ["g"], seed=4).collect()
+    assert sorted((r.g, r.v) for r in out) == sorted((i % 3, i) for i in range(60))
