@@ -195,3 +195,15 @@ def apply_recipe(df: DataFrame, recipe: str | list | Recipe | None,
             checkpoint_root(df.sparkSession)
             df = df.checkpoint(eager=True)
     return flush(df)
+
+
+def load_recipe(spark, location: str | None) -> Recipe:
+    """Read a recipe file from any Hadoop-supported location.
+
+    No location, or an empty file, is the empty recipe (identity).  A recipe
+    file is small; it is read as one whole-text row.
+    """
+    if not location:
+        return Recipe()
+    row = spark.read.option("wholetext", True).text(location).first()
+    return parse_recipe(row[0] if row else "")

@@ -163,3 +163,17 @@ def test_user_registered_step(spark):
     df = spark.createDataFrame([("abc",)], "v string")
     out = apply_recipe(df, [{"Action": {"Operation": "UPPER_CASE_TEST", "Parameters": {"sourceColumn": "v"}}}])
     assert out.first().v == "ABC"
+
+
+def test_load_recipe_from_location(spark):
+    import os
+    from ladle.plans.recipe import load_recipe
+    from ladle.session import scratch_dir
+    root = scratch_dir(spark, "recipe").replace("file:", "")
+    os.makedirs(root)
+    with open(f"{root}/r.json", "w") as f:
+        f.write(SAMPLE_RECIPE)
+    open(f"{root}/empty.json", "w").close()
+    assert len(load_recipe(spark, f"{root}/r.json")) == 9
+    assert len(load_recipe(spark, f"{root}/empty.json")) == 0
+    assert len(load_recipe(spark, None)) == 0
