@@ -346,7 +346,7 @@ def _entity_sql() -> str:
     from ladle.functions.patterns import ENTITY_FIND
     return "\nUNION ALL\n".join(
         f"SELECT 'text' AS column_name, '{e}' AS entity_type, count(text) AS n_values, "
-        f"count_if(regexp_matches(text, '{p}')) AS n_matches FROM documents"
+        f"CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) AS n_matches FROM documents"
         for e, p in ENTITY_FIND.items())
 
 
