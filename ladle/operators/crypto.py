@@ -54,7 +54,13 @@ def encrypt(spark: SparkSession, c: Column, key_id: str, master: bytes, determin
         iv = F.substring(hmac_sha256(text, s["ipad"], s["opad"]), 1, 12)
         ct = F.aes_encrypt(text.cast("binary"), s["k"], F.lit("GCM"), F.lit("DEFAULT"), iv)
     else:
-        ct = F.aes_encrypt(text.cast("binary"), s["k"], F.lit("GCM"))
+        # aes_encrypt's own random IV counts as deterministic to Catalyst, so a
+        # column read twice downstream could be encrypted twice (two different
+        # ciphertexts in one row).  An IV from uuid() -- nondeterministic to
+        # the optimizer, seeded per query and partition -- keeps it to one
+        # evaluation per row, and a retried task reproduces the same bytes.
+        iv = F.substring(F.unhex(F.sha2(F.expr("uuid()"), 256)), 1, 12)
+        ct = F.aes_encrypt(text.cast("binary"), s["k"], F.lit("GCM"), F.lit("DEFAULT"), iv)
     return F.when(c.isNotNull(), b64(F.concat(s["hdr"], ct)))
 
 
