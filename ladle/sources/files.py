@@ -35,10 +35,15 @@ def check_combination(connector: str, upload_type: str, fmt: str) -> None:
         raise ValueError("pulled data is read as Bulk + JSONMultiLine only")
 
 
-def _reader(spark: SparkSession, fmt: str, schema: StructType | str | None):
+def _reader(spark: SparkSession, fmt: str, schema: StructType | str | None,
+            infer_sampling_ratio: float | None = None):
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
+    elif infer_sampling_ratio and fmt in ("JSON", "JSONMultiLine"):
+        # Schema inference reads the whole input once more; at scale pass a
+        # schema, or infer from a sample of the records.
+        r = r.option("samplingRatio", infer_sampling_ratio)
     if fmt in ("CSV", "CsvWithHeaderRow"):
         # Every column as text; steps cast with try_cast (ANSI mode is on).
         return r.format("csv").option("header", fmt == "CsvWithHeaderRow").option("inferSchema", False)
@@ -71,7 +76,7 @@ def latest_file(spark: SparkSession, prefix: str) -> str | None:
 
 def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow", upload_type: str = "Incremental",
                  schema: StructType | str | None = None, connector: str = "push",
-                 column_names: list[str] | None = None) -> DataFrame:
+                 column_names: list[str] | None = None, infer_sampling_ratio: float | None = None) -> DataFrame:
     """Read landed data under ``path`` with the connector's settings.
 
     Incremental reads every file under the prefix (recursively); Bulk reads
@@ -83,9 +88,9 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
         newest = latest_file(spark, path)
         if newest is None:
             raise FileNotFoundError(f"no non-empty file under {path}")
-        df = _reader(spark, fmt, schema).load(newest)
+        df = _reader(spark, fmt, schema, infer_sampling_ratio).load(newest)
     else:
-        df = _reader(spark, fmt, schema).option("recursiveFileLookup", True).load(path)
+        df = _reader(spark, fmt, schema, infer_sampling_ratio).option("recursiveFileLookup", True).load(path)
     if column_names and fmt == "CSV":
         df = df.toDF(*column_names)
     return df
