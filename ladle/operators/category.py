@@ -57,8 +57,7 @@ def map_top_x(df: DataFrame, source: str, target: str, k: int,
               other: str = "Other", delete_other_rows: bool = False) -> DataFrame:
     """Keep the top-``k`` values, map the rest to ``other``."""
     top = top_values(df, source, k).withColumn("__keep", F.lit(True))
-    top = F.broadcast(top) if k <= BROADCAST_TOP_X_LIMIT else top
-    joined = attach(df, top, [source])
+    joined = attach(df, top, [source], broadcast=k <= BROADCAST_TOP_X_LIMIT)  # k rows: a proven bound
     out = F.when(F.col("__keep"), F.col(source).cast("string")).otherwise(F.lit(other))
     res = joined.withColumn(target, out)
     if delete_other_rows:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators.joins import attach
+from ladle.operators.joins import attach_checked
 from ladle.plans.recipe import RecipeError, as_list, step
 
 
@@ -49,14 +49,15 @@ def group_append(df: DataFrame, keys: list[str], options: list[dict]) -> DataFra
 
     Not ``agg().over(Window.partitionBy(keys))``: a window sends a whole
     group to one task, so one key holding a third of the rows would stall
-    the job.  Instead aggregate (partial, skew-proof) and join the small
-    per-key table back; AQE broadcasts it when it is measured small.
+    the job.  Instead aggregate (partial, skew-proof) and join the per-key
+    table back -- broadcast when its checked size is small, so the rows
+    themselves are never shuffled.
     """
     aggs = _aggs(options)
     targets = [t for t, _ in aggs]
     table = df.groupBy(*keys).agg(*[e for _, e in aggs])
     base = df.drop(*[t for t in targets if t in df.columns and t not in keys])
-    return attach(base, table, keys)
+    return attach_checked(base, table, keys)
 
 
 def _reads(params: dict) -> list[str]:

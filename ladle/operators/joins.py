@@ -1,12 +1,16 @@
 """Join helpers shared by the operators.
 
-``attach`` adds per-key columns from a small-or-large keyed table to a
-big frame.  No broadcast hint: AQE measures the keyed side after its
-shuffle and switches to a broadcast hash join only when it is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a size-checked
-broadcast); otherwise the sort-merge join stays, and AQE's skew-join
-split handles a hot key on the big side.  Keys are compared null-safe,
-because ``groupBy`` keeps null as a group.
+``attach`` adds per-key columns from a keyed table to a big frame; keys
+are compared null-safe, because ``groupBy`` keeps null as a group.
+
+``attach_checked`` is the size-checked broadcast.  Waiting for AQE is not
+enough: when the small side is only known to be small at run time, AQE
+starts both shuffle stages at once, so the big side is shuffled even if
+the join then becomes a broadcast join.  Here the small side (an
+aggregate of the big frame) is written once as a reliable checkpoint in
+``spark.checkpoint.dir`` and counted; at most ``BROADCAST_MAX_ROWS``
+rows -> broadcast hash join, the big side is never shuffled; more -> a
+sort-merge join, where AQE splits a hot key's partition.
 """
 
 from __future__ import annotations
@@ -16,6 +20,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Tables joined here are narrow (keys plus a few numbers): a million rows
+# is tens of MB per executor.
+BROADCAST_MAX_ROWS = 1_000_000
+
 
 def keyed(df: DataFrame, keys: list[str], prefix: str = "__k") -> tuple[DataFrame, list[str]]:
     """Rename ``keys`` to fresh names so a self-derived table can be joined back."""
@@ -25,9 +33,26 @@ def keyed(df: DataFrame, keys: list[str], prefix: str = "__k") -> tuple[DataFram
     return out, alias
 
 
-def attach(big: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def attach(big: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
+           broadcast: bool = False) -> DataFrame:
     """``big`` joined with ``table`` on ``keys`` (null-safe); key columns of ``table`` dropped."""
     tbl, alias = keyed(table, keys)
+    if broadcast:
+        tbl = F.broadcast(tbl)
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, alias)]) if keys else F.lit(True)
     return big.join(tbl, cond, how).drop(*alias)
+
+
+def checked(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Materialize ``table`` (reliable checkpoint) and report whether it is small."""
+    from ladle.session import checkpoint_root
+    checkpoint_root(table.sparkSession)
+    t = table.checkpoint(eager=True)
+    return t, t.count() <= max_rows
+
+
+def attach_checked(big: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    t, small = checked(table, max_rows)
+    return attach(big, t, keys, how, broadcast=small)

@@ -5,7 +5,8 @@ task; with one key holding a third of the rows that task is the job.
 Here each group is cut into sub-chunks of about ``chunk_rows`` rows by a
 uniform order value ``u`` in [0, 1):
 
-1. group sizes -- ``groupBy(g).count()`` (map-side partial aggregation);
+1. group sizes -- ``groupBy(g).count()`` (map-side partial aggregation),
+   attached with a size-checked broadcast (``joins.attach_checked``);
 2. ``chunk = floor(u * ceil(size / chunk_rows))`` -- chunks are
    contiguous ranges of the order, so (chunk, order) equals the order;
 3. rank inside (g, chunk) with a window -- at most ~chunk_rows rows each;
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladle.operators.joins import attach
+from ladle.operators.joins import attach, attach_checked
 
 DEFAULT_CHUNK_ROWS = 2_000_000
 _TWO64 = 18446744073709551616.0
@@ -47,7 +48,7 @@ def positions_within(df: DataFrame, group_cols: list[str], u: Column, order: lis
     (``order`` starts with the value ``u`` was derived from).
     """
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__size"))
-    x = (attach(df.withColumn("__u", u), sizes, group_cols)
+    x = (attach_checked(df.withColumn("__u", u), sizes, group_cols)
          .withColumn("__chunk", F.floor(F.col("__u") * F.ceil(F.col("__size") / F.lit(chunk_rows)))
                      .cast("long"))
          .drop("__u", "__size"))
@@ -56,6 +57,6 @@ def positions_within(df: DataFrame, group_cols: list[str], u: Column, order: lis
     counts = x.groupBy(*parts).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*group_cols).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
-    return (attach(ranked, offsets, parts)
+    return (attach_checked(ranked, offsets, parts)
             .withColumn(pos_col, (F.col("__off") + F.col("__local")).cast("long"))
             .drop("__off", "__local", "__chunk"))

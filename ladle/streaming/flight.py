@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.time import epoch_micros
-from ladle.operators.joins import attach
+from ladle.operators.joins import attach, attach_checked
 from ladle.operators.positions import DEFAULT_CHUNK_ROWS, positions_within
 from ladle.session import checkpoint_root
 
@@ -34,7 +34,7 @@ from ladle.session import checkpoint_root
 def _time_positions(frame: DataFrame, key: str, t: str, ties: list[str], pos: str, chunk_rows: int) -> DataFrame:
     """Positions by (t, *ties) within key; ``u`` is the key's time scaled to [0, 1)."""
     bounds = frame.groupBy(key).agg(F.min(t).alias("__lo"), F.max(t).alias("__hi"))
-    x = attach(frame, bounds, [key])
+    x = attach_checked(frame, bounds, [key])
     u = (F.col(t) - F.col("__lo")).cast("double") / (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
     out = positions_within(x, [key], u, [F.col(t), *[F.col(c) for c in ties]], pos, chunk_rows)
     return out.drop("__lo", "__hi")

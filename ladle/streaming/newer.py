@@ -13,7 +13,8 @@ whole key to one task.  This is a segmented prefix-max instead:
 2. running max inside (key, chunk) -- a window over one chunk only;
 3. per-(key, chunk) maxima -> carry = max over the earlier chunks, a
    window over the small chunk table;
-4. join the carry back (AQE broadcasts it when measured small).
+4. join the carry back (size-checked broadcast: the rows are not shuffled
+   for it when the chunk table is small).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.time import epoch_micros
-from ladle.operators.joins import attach
+from ladle.operators.joins import attach_checked
 from ladle.operators.positions import DEFAULT_CHUNK_ROWS
 
 
@@ -37,7 +38,7 @@ def newer_only(df: DataFrame, key: str, ts: str, arrival: str, tiebreak: str | N
                                   F.count(F.lit(1)).alias("__n"))
         width = F.greatest(F.lit(1.0), (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
                            * F.lit(float(chunk_rows)) / F.col("__n").cast("double"))
-        x = (attach(x, span, [key])
+        x = (attach_checked(x, span, [key])
              .withColumn("__chunk", F.floor((F.col("__us") - F.col("__lo")).cast("double") / width).cast("long"))
              .drop("__lo", "__hi", "__n"))
     x = x.drop("__us")
@@ -46,6 +47,6 @@ def newer_only(df: DataFrame, key: str, ts: str, arrival: str, tiebreak: str | N
     chunk_max = x.groupBy(key, "__chunk").agg(F.max(ts).alias("__cmax"))
     before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunk_max.withColumn("__carry", F.max("__cmax").over(before)).drop("__cmax")
-    y = attach(x, carry, [key, "__chunk"])
+    y = attach_checked(x, carry, [key, "__chunk"])
     best = F.greatest(F.col("__prev"), F.col("__carry"))  # greatest skips nulls
     return y.where(best.isNull() | (F.col(ts) > best)).drop("__chunk", "__prev", "__carry")
