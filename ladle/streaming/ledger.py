@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.text import message
 from ladle.functions.time import LEDGER_TTL_DAYS, SECONDS_PER_DAY, epoch_seconds
+from ladle.operators.joins import checked
 
 # Outcome texts.
 SOURCE = "transform"
@@ -51,8 +52,9 @@ def match_completions(completions: DataFrame, ledger: DataFrame, job_id: str = "
     A run is open for a completion when it started no later than the
     completion and its entry had not expired (``exp_timestamp``) by then.
     """
-    led = ledger.select(F.col(job_id).alias("__job"), F.col("task_token"), F.col("started_at"),
-                        F.col("exp_timestamp"))
+    led, small = checked(ledger.select(F.col(job_id).alias("__job"), F.col("task_token"), F.col("started_at"),
+                                       F.col("exp_timestamp")))
+    led = F.broadcast(led) if small else led  # one row per run: usually small
     cond = ((F.col(job_id) == F.col("__job")) & (F.col("started_at") <= F.col(completed_at))
             & (epoch_seconds(completions, completed_at) <= F.col("exp_timestamp")))
     j = completions.join(led, cond, "left").drop("__job")
@@ -67,7 +69,8 @@ def match_completions(completions: DataFrame, ledger: DataFrame, job_id: str = "
 def orphan_completions(completions: DataFrame, ledger: DataFrame, job_id: str = "job_id",
                        completed_at: str = "completed_at") -> DataFrame:
     """Completions with no open run -> failures (left anti join)."""
-    led = ledger.select(F.col(job_id).alias("__job"), "started_at", "exp_timestamp")
+    led, small = checked(ledger.select(F.col(job_id).alias("__job"), "started_at", "exp_timestamp"))
+    led = F.broadcast(led) if small else led
     cond = ((F.col(job_id) == F.col("__job")) & (F.col("started_at") <= F.col(completed_at))
             & (epoch_seconds(completions, completed_at) <= F.col("exp_timestamp")))
     return completions.join(led, cond, "left_anti")
