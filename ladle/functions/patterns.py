@@ -14,7 +14,7 @@ ENTITY_FIND = {
     "EMAIL": r"\b([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})\b",
     "PHONE_NUMBER": r"(?:^|\D)((?:\+?1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?:\D|$)",
     "SSN": r"\b(\d{3}-\d{2}-\d{4})\b",
-    "CREDIT_CARD": r"\b((?:\d{4}[ -]){3}\d{4})\b",
+    "CREDIT_CARD": r"\b((?:\d{4}[ -]?){3}\d{4})\b",
     "IP_ADDRESS": r"\b((?:\d{1,3}\.){3}\d{1,3})\b",
 }
 
@@ -36,6 +36,9 @@ ENTITY_PREFILTER = {
     "IP_ADDRESS": r"\d\.\d",
 }
 
+# Entities whose matches must also pass a checksum (see ``luhn_valid``).
+CHECKSUM_ENTITIES = ("CREDIT_CARD",)
+
 # The entity set named in profile configuration expands to all of the above.
 ENTITY_SETS = {"USA_ALL": list(ENTITY_FIND)}
 
@@ -49,3 +52,15 @@ def expand_entities(names: list[str] | None) -> list[str]:
             if e not in out:
                 out.append(e)
     return out
+
+
+def luhn_valid(value):
+    """Luhn checksum of the digits in ``value`` (a Column), with built-in
+    higher-order functions: double every second digit from the right,
+    subtract 9 above 9, the sum must end in 0."""
+    from pyspark.sql import functions as F
+    digits = F.reverse(F.regexp_extract_all(value, F.lit(r"(\d)"), 1))
+    vals = F.transform(digits, lambda d, i: F.when(i % 2 == 1, F.when(d.cast("int") * 2 > 9, d.cast("int") * 2 - 9)
+                                                   .otherwise(d.cast("int") * 2)).otherwise(d.cast("int")))
+    total = F.aggregate(vals, F.lit(0), lambda acc, x: acc + x)
+    return (F.size(digits) > 0) & (total % 10 == 0)

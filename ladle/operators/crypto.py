@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.hashing import b64, hmac_pads, hmac_sha256, secret_scalars
-from ladle.functions.patterns import ENTITY_FIND, ENTITY_FULL, expand_entities
+from ladle.functions.patterns import CHECKSUM_ENTITIES, ENTITY_FIND, ENTITY_FULL, expand_entities, luhn_valid
 from ladle.operators.entities import contains_entity
 from ladle.plans.recipe import as_list, step
 
@@ -92,8 +92,11 @@ def keyed_hash_entities(spark: SparkSession, c: Column, key: bytes, entities: li
     ipad, opad = hmac_pads(key)
     text = c.cast("string")
     s = secret_scalars(spark, ipad=ipad, opad=opad)
-    full = "|".join(f"(?:{ENTITY_FULL[e]})" for e in ents)
-    return F.when(F.trim(text).rlike(full),
+    value = F.trim(text)
+    is_entity = reduce(lambda a, b: a | b, [
+        value.rlike(ENTITY_FULL[e]) & (luhn_valid(value) if e in CHECKSUM_ENTITIES else F.lit(True))
+        for e in ents])
+    return F.when(is_entity,
                   b64(hmac_sha256(text, s["ipad"], s["opad"]))).otherwise(text)
 
 
@@ -109,7 +112,8 @@ def hash_entities_within(df: DataFrame, column: str, key: bytes, entities: list[
     ipad, opad = hmac_pads(key)
     s = secret_scalars(df.sparkSession, ipad=ipad, opad=opad)
     text = F.col(column).cast("string")
-    found = [F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1) for e in ents]
+    found = [F.filter(F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1), luhn_valid)
+             if e in CHECKSUM_ENTITIES else F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1) for e in ents]
     # Sorted, so the replacement order (and thus the result) is defined.
     matches = F.array_sort(F.array_distinct(F.flatten(F.array(*found)) if len(found) > 1 else found[0]))
     ip, op = F.col("__ladle_ipad"), F.col("__ladle_opad")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.functions.patterns import ENTITY_FIND, ENTITY_PREFILTER, expand_entities
+from ladle.functions.patterns import (CHECKSUM_ENTITIES, ENTITY_FIND, ENTITY_PREFILTER, expand_entities,
+                                     luhn_valid)
 
 
 def contains_entity(text: Column, entity: str) -> Column:
@@ -15,6 +16,8 @@ def contains_entity(text: Column, entity: str) -> Column:
     the full pattern only runs where it can match."""
     pre = ENTITY_PREFILTER[entity]
     cheap = F.instr(text, pre) > 0 if entity == "EMAIL" else text.rlike(pre)
+    if entity in CHECKSUM_ENTITIES:  # some match must also pass the checksum
+        return cheap & F.exists(F.regexp_extract_all(text, F.lit(ENTITY_FIND[entity]), 1), luhn_valid)
     return cheap & text.rlike(ENTITY_FIND[entity])
 
 

@@ -342,11 +342,21 @@ def profile_top_values(spark, sf):
 
 
 # ---------------------------------------------------------------- F3
+_LUHN_SQL = ("list_sum(list_transform(list_reverse(regexp_extract_all(m, '(\\d)', 1)), lambda d, i: "
+             "CASE WHEN i % 2 = 0 THEN (CASE WHEN CAST(d AS INTEGER) * 2 > 9 THEN CAST(d AS INTEGER) * 2 - 9 "
+             "ELSE CAST(d AS INTEGER) * 2 END) ELSE CAST(d AS INTEGER) END)) % 10 = 0")
+
+
 def _entity_sql() -> str:
-    from ladle.functions.patterns import ENTITY_FIND
+    from ladle.functions.patterns import CHECKSUM_ENTITIES, ENTITY_FIND
+
+    def cond(e: str, p: str) -> str:
+        if e in CHECKSUM_ENTITIES:
+            return f"len(list_filter(regexp_extract_all(text, '{p}', 1), lambda m: {_LUHN_SQL})) > 0"
+        return f"regexp_matches(text, '{p}')"
     return "\nUNION ALL\n".join(
         f"SELECT 'text' AS column_name, '{e}' AS entity_type, count(text) AS n_values, "
-        f"CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) AS n_matches FROM documents"
+        f"CAST(count_if({cond(e, p)}) AS BIGINT) AS n_matches FROM documents"
         for e, p in ENTITY_FIND.items())
 
 
