@@ -15,7 +15,7 @@ ENTITY_FIND = {
     "PHONE_NUMBER": r"(?:^|\D)((?:\+?1[ .-])?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?:\D|$)",
     "SSN": r"\b(\d{3}-\d{2}-\d{4})\b",
     "CREDIT_CARD": r"\b((?:\d{4}[ -]?){3}\d{4})\b",
-    "IP_ADDRESS": r"\b((?:\d{1,3}\.){3}\d{1,3})\b",
+    "IP_ADDRESS": r"\b((?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))\b",
 }
 
 ENTITY_FULL = {
@@ -23,7 +23,7 @@ ENTITY_FULL = {
     "PHONE_NUMBER": r"^(?:\+?1[ .-])?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}$",
     "SSN": r"^\d{3}-\d{2}-\d{4}$",
     "CREDIT_CARD": r"^(?:\d{4}[ -]?){3}\d{4}$",
-    "IP_ADDRESS": r"^(?:\d{1,3}\.){3}\d{1,3}$",
+    "IP_ADDRESS": r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$",
 }
 
 # Necessary conditions checked first: a cheap scan that every match implies,
