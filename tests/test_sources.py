@@ -126,3 +126,20 @@ def test_table_schema_evolves_across_runs(spark):
     write_table(spark.createDataFrame([(3,)], "id int"), name)
     rows = sorted((r.id, r.v, r.extra) for r in spark.read.table(name).collect())
     assert rows == [(1, "a", None), (2, "b", 9.5), (3, None, None)]
+
+
+def test_command_line_run_and_profile(spark, capsys):
+    import json
+    from ladle.__main__ import main
+    root = _local(scratch_dir(spark, "cli"))
+    _write(f"{root}/inbound/a.csv", "email\r\njwhite@domain.com")
+    _write(f"{root}/recipe.json", json.dumps([{"Action": {"Operation": "CRYPTOGRAPHIC_HASH", "Parameters": {
+        "secretId": "s1", "sourceColumns": "[\"email\"]"}}}]))
+    _write(f"{root}/key.bin", "k" * 32)
+    table = "ladle_cli.t_" + os.path.basename(root).replace("-", "_")
+    rc = main(["run", "--landing", f"{root}/inbound/", "--table", table, "--table-location", f"{root}/transform/t",
+               "--recipe", f"{root}/recipe.json", "--secret", f"s1={root}/key.bin"], spark=spark)
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 0 and out["rows_written"] == 1
+    assert len(spark.read.table(table).first().email) == 44
+    assert main(["profile", "--landing", f"{root}/inbound/", "--report", f"{root}/transform/t"], spark=spark) == 0
