@@ -471,7 +471,7 @@ j AS (SELECT c.*, l.task_token,
       FROM comp c LEFT JOIN ledger l ON c.job_id = l.job_id AND l.started_at <= c.completed_at
                                    AND CAST(floor(epoch(c.completed_at)) AS BIGINT) <= l.exp_timestamp)
 SELECT completion_id, job_id, completed_at, state, task_token, result, cause, 'transform' AS source,
-       'Pipeline result [' || result || ']' AS subject,
+       'Run result [' || result || ']' AS subject,
        CASE WHEN result = 'Success' THEN 'Job run ' || job_id || ' completed with state ' || state || '.'
             ELSE 'Job fails to launch or finish, error: ' || state || ', cause: ' || cause END AS message
 FROM j

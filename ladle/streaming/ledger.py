@@ -16,7 +16,7 @@ from ladle.operators.joins import checked
 # Outcome texts.
 SOURCE = "transform"
 RESULT_OK, RESULT_FAIL = "Success", "Fail"
-SUBJECT = "Pipeline result [{}]"
+SUBJECT = "Run result [{}]"
 MSG_OK = "Job run {} completed with state {}."
 MSG_FAIL = "Job fails to launch or finish, error: {}, cause: {}"
 CAUSE_NO_RUN = "no open run for the job id"
