@@ -25,7 +25,80 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.minhash import next_fingerprints
+
+    return next_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.decontaminate import mark
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = mark(docs, table(spark, sf_dir, "benchmark"), window=10, prefix="m_")
+    return found.select("doc_id", F.col("m_n_words").alias("n_words"), F.col("m_n_hit").alias("n_hit"),
+                        F.size("m_items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("m_items", ","), 256).alias("items_sha256"),
+                        (F.col("m_n_hit") > 0).alias("contaminated"))
+
+
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.pseudo_lm import train_and_score
+
+    return train_and_score(table(spark, sf_dir, "documents"))
+
+
+def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.mixing import plan
+
+    return plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.language import learn_and_identify
+
+    return learn_and_identify(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.quality import scores
+
+    return scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("b")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.warc import read_warc, write_warc
+
+    path = scratch_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_simhash_pivots": op2_simhash_pivots,
+    "op3_minhash": op3_minhash,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
+    "op6_pareto_mix": op6_pareto_mix,
+    "op7_language": op7_language,
+    "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
+    "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {}
