@@ -30,13 +30,15 @@ and reading gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,10 +57,10 @@ _WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-#: Words of these characters are their own normal form after lower-casing.
-_PLAIN = regex.compile(r"[\x21-\x7eß-öø-ÿ]+")
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_BLANK = regex.compile(r"[ \t\r\n]+")
+#: A text of these characters is its own normal form after lower-casing.
+_PLAIN = re.compile(r"[\t\r\n\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_BLANK = re.compile(r"[ \t\r\n]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,14 +70,25 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Memo(dict):
+    """Remembers what ``make`` gives for each key."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        got = self[key] = self.make(key)
+        return got
+
+
 class Encoder:
     """Encodes texts with a tokenizers file; equal to ``Tokenizer.encode`` on the whole text.
 
     For a lower-casing word tokenizer (white space dropped) the words of a
-    text are independent, so each distinct word is encoded once and kept
-    in a bounded memo.  Plain words skip the normalizer and go to the
-    library's BPE model directly; all other words go through the whole
-    tokenizer.  Any other tokenizer encodes whole texts.
+    text are independent.  Texts of plain characters are lower-cased and
+    split here, and each distinct word goes to the library's BPE model once
+    and is kept in a bounded memo; words of all other texts go through the
+    whole tokenizer.  Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -94,37 +107,37 @@ class Encoder:
         self.special = [t["content"] for t in cfg["added_tokens"]]
         self.model = self.tok.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.words, self.pieces = Memo(self._plain_word), Memo(self._piece)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _piece(self, p: str) -> bytes:
-        got = self.pieces.get(p)
-        if got is None:
-            q = p if p.isascii() else "".join(self.letters[b] for b in p.encode())
-            got = self.pieces[p] = self._pack([t.id for t in self.model.tokenize(q)])
-        return got
+        q = p if p.isascii() else "".join([self.letters[b] for b in p.encode()])
+        return self._pack([t.id for t in self.model.tokenize(q)])
+
+    def _plain_word(self, w: str) -> bytes:
+        """Ids of a lower-cased word of plain characters: its pieces, by the BPE model."""
+        if w.isalpha():
+            return self.pieces[w]
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(w)))
 
-    def _word(self, w: str) -> bytes:
-        if _PLAIN.fullmatch(w) and not any(s in w for s in self.special):
-            return b"".join(map(self._piece, _PIECE.findall(w.lower())))
-        return self._pack(self.tok.encode(w, add_special_tokens=False).ids)
+    def _encode(self, text: str) -> bytes:
+        return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word:
-            return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
+            return self._encode(text)
         if len(self.words) > CACHE_WORDS or len(self.pieces) > CACHE_WORDS:
-            self.words, self.pieces = {"": b""}, {}
-        memo = self.words
-        ws = _BLANK.split(text)
-        try:
-            return b"".join(map(memo.__getitem__, ws))
-        except KeyError:
-            for w in set(ws).difference(memo):
-                memo[w] = self._word(w)
-            return b"".join(map(memo.__getitem__, ws))
+            self.words.clear()
+            self.pieces.clear()
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.words.__getitem__, text.lower().split()))
+        return b"".join(map(self._encode, _BLANK.split(text)))
 
 
 _ENCODERS: dict[str, Encoder] = {}
