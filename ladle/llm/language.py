@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DICT_BYTES = 96 << 10
+DICT_BYTES = 64 << 10
 SAMPLE_ROWS = 400
 SAMPLE_TEXT_BYTES = 16 << 10
-LEVEL = 3
+LEVEL = 9
 MIN_MARGIN = 0.02
 UND = "und"
 

@@ -1,26 +1,31 @@
 """Quality classifier by importance resampling.
 
 Two generative models of hashed n-grams (single tokens and pairs, in
-``BUCKETS`` buckets) are counted: the target model over labelled documents
-of good quality, the raw model over all documents.  A document's log
-importance is the sum over its n-grams of ``log p_target - log p_raw``.
+``BUCKETS`` buckets; all pairs of a token with itself share one) are counted:
+the target model over labelled documents of good quality, the raw model over
+all documents.  The target model is mixed with a share ``BACKOFF`` of the raw
+one, so n-grams it has not seen have a bounded cost.  A document's log
+importance is the sum over its n-grams of ``log p_target - log p_raw``; a
+labelled good document is left out of the target model when it is scored.
 
 Long documents have larger sums, so the weight that is sampled is the sum
-above ``tau`` per n-gram, ``w = sum - tau * n``; ``tau`` is set on the labelled
-rows where the two classes are best told apart.  Documents are drawn
+above ``tau`` per n-gram plus the labels' log odds of good to bad,
+``w = sum - tau * n + odds``; ``tau`` is set on the labelled rows where the two
+classes are best told apart.  Documents are drawn
 without replacement with probability proportional to ``exp(w / temperature)``:
 each gets the key ``w / temperature + Gumbel noise`` and the ``k`` largest keys
-are the sample, ``k`` being the number of documents with ``w > 0``.  Documents
+are the sample, ``k`` being the number of documents with ``w >= 0``.  Documents
 outside the sample are rejected.
 
 Labels: at most ``LABEL_ROWS`` labelled rows are used, by a hash of the id
 (16 bytes each, broadcast); the raw model, all scores and the sample cover
 all documents.  The k-th largest key is found by histograms, not by a sort.
 
-Defined cases: null or empty texts have no n-gram, weight 0, and are
-rejected; null ids have no label; an id with several labels counts as bad
+Defined cases: null or empty texts have no n-gram and are rejected; null ids have no label; an id with several labels counts as bad
 if one is; repeated rows are scored each, and the noise depends on id, text
-and place; with no good or no bad label tau is 0 or the lowest good score;
+and place; without good labels
+all ratios, tau and odds are 0 (nothing with a token is rejected), without bad
+ones tau is the lowest good score;
 other columns are kept by ``keep_good`` and ignored by ``scores``.
 """
 
@@ -42,12 +47,15 @@ from ladle.llm.mixing import cut, tie_break
 BUCKETS = 1 << 16
 LABEL_ROWS = 200_000
 TEMPERATURE = 0.25
-SMOOTHING = 1.0
+BACKOFF = 0.05
 SEED = 42
 MEMO = 500_000
 GRID = 2_000  # bins of the mean log ratio from -10 to 10
 TOKEN = regex.compile(r"\w+|[^\w\s]+")
 
+#: Hash of every pair of a token with itself.
+REPEAT = np.uint64(0x517CC1B727220A95)
+
 GOOD, BAD, UNKNOWN = 1, 0, -1
 
 
@@ -60,15 +68,16 @@ class Grams:
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int64)
-        tokens = TOKEN.findall(text)
+        tokens = TOKEN.findall(text.lower())
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         for t in set(tokens).difference(memo):
-            memo[t] = zlib.crc32(t.lower().encode("utf-8", "surrogatepass"))
+            memo[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
         h = np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
         with np.errstate(over="ignore"):
             pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)
+            pair[h[:-1] == h[1:]] = REPEAT
             one = h * np.uint64(0x94D049BB133111EB)
         return (np.concatenate([one, pair]) >> np.uint64(48)).astype(np.int64)
 
@@ -98,50 +107,61 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      ["model", "bucket", "n"])
 
 
-def log_ratios(rows: DataFrame) -> np.ndarray:
-    """log p_target - log p_raw of every bucket; at most 2 x BUCKETS sums reach the driver."""
+def models(rows: DataFrame) -> np.ndarray:
+    """Counts of every bucket in all (0) and in good (1) documents; at most 2 x BUCKETS sums reach the driver."""
     sums = rows.select("t", "cls").mapInArrow(_count, "model long, bucket long, n long").groupBy("model", "bucket").agg(
         F.sum("n").alias("n"))
     counts = np.zeros((2, BUCKETS))
     for r in sums.toLocalIterator():
         counts[r.model, r.bucket] = r.n
-    raw, target = counts
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    share = raw / max(raw.sum(), 1.0)  # the raw model smooths the target where it has no count
-    smooth = SMOOTHING * BUCKETS
-    p_target = (target + smooth * (share * 0.5 + 0.5 / BUCKETS)) / (target.sum() + smooth)
-    p_raw = (raw + SMOOTHING) / (raw.sum() + smooth)
-    return np.log(p_target) - np.log(p_raw)
+    return counts
+
+
+def log_ratio(grams: np.ndarray, counts: np.ndarray, sums: np.ndarray, own: bool) -> float:
+    """Sum of log p_target - log p_raw; ``own``: the document is one of the target's and is left out of it."""
+    raw, good, total = counts[0][grams] / sums[0], counts[1][grams], sums[1]
+    if own:
+        _, back, n = np.unique(grams, return_inverse=True, return_counts=True)
+        good, total = good - n[back], total - len(grams)
+    if total <= 0:
+        return 0.0
+    return float(np.log((good / total + BACKOFF * raw) / (1 + BACKOFF) / raw).sum())
+
 
+def _scorer(counts: np.ndarray):
+    sums = counts.sum(axis=1)
 
-def _scorer(ratio: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for b in batches:
             found = [grams(t.as_py()) for t in b.column(1)]
+            scores_ = [log_ratio(g, counts, sums, c == GOOD) if len(g) else 0.0 for g, c in zip(found, b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), b.column(3), pa.array([len(g) for g in found], pa.int64()),
-                 pa.array([float(ratio[g].sum()) for g in found], pa.float64())], ["id", "b", "cls", "n_grams", "log_ratio"])
+                 pa.array(scores_, pa.float64())], ["id", "b", "cls", "n_grams", "log_ratio"])
 
     return work
 
 
-def threshold(scored: DataFrame) -> float:
-    """Mean log ratio that best tells good from bad labelled rows (a histogram of fixed size)."""
-    at = F.least(F.greatest(F.floor((F.col("log_ratio") / F.col("n_grams") + 10) * (GRID / 20)), F.lit(0)), F.lit(GRID - 1))
+def fit(scored: DataFrame) -> tuple[float, float]:
+    """(tau, odds): log odds of the labelled classes, and the mean that then best tells them apart."""
+    labelled = scored.where("cls >= 0 and n_grams > 0")
+    n = {r.cls: r["count"] for r in labelled.groupBy("cls").count().collect()}
+    if not n.get(GOOD):
+        return 0.0, 0.0
+    odds = max(math.log(n[GOOD] / n[BAD]), 0.0) if n.get(BAD) else 0.0
+    mean = (F.col("log_ratio") + odds) / F.col("n_grams")
+    at = F.least(F.greatest(F.floor((mean + 10) * (GRID / 20)), F.lit(0)), F.lit(GRID - 1))
     hist = np.zeros((2, GRID))
-    for r in scored.where("cls >= 0 and n_grams > 0").groupBy("cls", at.alias("bin")).count().collect():
+    for r in labelled.groupBy("cls", at.alias("bin")).count().collect():
         hist[r.cls, int(r.bin)] = r["count"]
-    if not hist[GOOD].sum():
-        return 0.0
-    if not hist[BAD].sum():
-        return float(np.flatnonzero(hist[GOOD])[0] * 20 / GRID - 10)
-    lost = np.concatenate([[0], np.cumsum(hist[GOOD])]) / hist[GOOD].sum()  # good rows below each edge
-    kept = 1 - np.concatenate([[0], np.cumsum(hist[BAD])]) / hist[BAD].sum()
+    lost = np.concatenate([[0], np.cumsum(hist[GOOD])]) / n[GOOD]  # good rows below each edge
+    if not n.get(BAD):
+        return float(np.flatnonzero(hist[GOOD])[0] * 20 / GRID - 10), odds
+    kept = 1 - np.concatenate([[0], np.cumsum(hist[BAD])]) / n[BAD]
     cost = GOOD_WEIGHT * lost + kept
     best = np.flatnonzero(cost == cost.min())
-    return float(best[len(best) // 2] * 20 / GRID - 10)
+    return float(best[len(best) // 2] * 20 / GRID - 10), odds
 
 
 #: Losing a good document costs so many times keeping a bad one.
@@ -155,17 +175,17 @@ def gumbel(b: Column) -> Column:
 def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_grams, log_ratio, weight, sample_key and rejected of every row (and its tie-break ``b``)."""
     rows = _labelled(docs, labels, key, text)
-    ratio = log_ratios(rows)
+    counts = models(rows)
     scored = saved(rows.select("id", "t", "b", "cls").mapInArrow(
-        _scorer(ratio), "id long, b long, cls int, n_grams long, log_ratio double"), "quality-scores")
-    tau = threshold(scored)
-    weight = F.col("log_ratio") - F.lit(tau) * F.col("n_grams")
+        _scorer(counts), "id long, b long, cls int, n_grams long, log_ratio double"), "quality-scores")
+    tau, odds = fit(scored)
+    weight = F.col("log_ratio") - F.lit(tau) * F.col("n_grams") + F.lit(odds)
     keyed = (scored.withColumn("weight", weight).withColumn("sample_key", F.col("weight") / TEMPERATURE + gumbel(
         F.shiftrightunsigned(F.xxhash64("b", F.lit(SEED)), 12))))
     # a falling 52-bit image of the key: 2 / pi * atan keeps the order and is finest near zero
     a = F.floor((F.lit(0.5) - F.atan(F.col("sample_key") / 1000.0) / math.pi) * F.lit(float((1 << 52) - 1))).cast("long")
     ranked = keyed.withColumn("a", a).withColumn("all", F.lit("all"))
-    k = keyed.where("n_grams > 0 and weight > 0").count()
+    k = keyed.where("n_grams > 0 and weight >= 0").count()
     need = docs.sparkSession.createDataFrame([("all", float(k))], "all string, need double")
     at = cut(ranked.where("n_grams > 0").select("all", "a", "b", F.lit(1).alias("size")), need, key="all").first()
     inside = F.lit(False) if at is None or not k else (F.col("n_grams") > 0) & (

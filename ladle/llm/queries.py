@@ -89,6 +89,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash_pivots": op2_simhash_pivots,
@@ -100,5 +106,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
