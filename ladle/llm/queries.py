@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.llm.common import table
+from ladle.llm.oracles import ORACLES  # noqa: F401
 from ladle.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -108,4 +109,3 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
