@@ -25,8 +25,9 @@ def parse_iso(text: Column) -> Column:
     """ISO-8601 text -> timestamp (C4): compare parsed times, not strings."""
     return F.coalesce(
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
+        # a text without a zone is UTC
+        F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")),
+        F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]XXX")),
     )
 
 

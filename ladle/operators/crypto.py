@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.hashing import b64, hmac_pads, hmac_sha256, secret_scalars
-from ladle.functions.patterns import CHECKSUM_ENTITIES, ENTITY_FIND, ENTITY_FULL, expand_entities, luhn_valid
+from ladle.functions.patterns import CHECKSUM_ENTITIES, ENTITY_FULL, any_entity, expand_entities, luhn_valid
 from ladle.operators.entities import contains_entity
-from ladle.plans.recipe import as_list, step
+from ladle.plans.recipe import as_list, same_columns, step
 
 DETERMINISTIC, RANDOM = 1, 2
 
@@ -103,41 +103,52 @@ def keyed_hash_entities(spark: SparkSession, c: Column, key: bytes, entities: li
 def hash_entities_within(df: DataFrame, column: str, key: bytes, entities: list[str]) -> DataFrame:
     """Replace every occurrence of ``entities`` inside free text by its keyed hash.
 
+    By place: the text is cut at the matches of one pattern for all
+    entities, and the pieces are joined again with each match's hash between
+    them.  So a match is never replaced inside a longer one, and neighbours
+    are all replaced.  A card-like number without a valid checksum stays.
+
     A lambda may not hold a subquery, so the HMAC pads are first attached
     as columns (scalar subqueries over a one-row frame, evaluated once)
-    and the fold refers to those columns; key bytes stay out of the plan.
+    and the lambda refers to those columns; key bytes stay out of the plan.
     Texts without a possible match skip the extraction entirely.
     """
     ents = expand_entities(entities)
     ipad, opad = hmac_pads(key)
     s = secret_scalars(df.sparkSession, ipad=ipad, opad=opad)
-    text = F.col(column).cast("string")
-    found = [F.filter(F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1), luhn_valid)
-             if e in CHECKSUM_ENTITIES else F.regexp_extract_all(text, F.lit(ENTITY_FIND[e]), 1) for e in ents]
-    # Sorted, so the replacement order (and thus the result) is defined.
-    matches = F.array_sort(F.array_distinct(F.flatten(F.array(*found)) if len(found) > 1 else found[0]))
+    text, find = F.col(column).cast("string"), any_entity(ents)
     ip, op = F.col("__ladle_ipad"), F.col("__ladle_opad")
-    fold = F.aggregate(matches, text, lambda acc, m: F.replace(acc, m, b64(hmac_sha256(m, ip, op))))
+
+    def hashed(m: Column) -> Column:
+        out = b64(hmac_sha256(m, ip, op))
+        for e in CHECKSUM_ENTITIES:
+            if e in ents:
+                out = F.when(m.rlike(ENTITY_FULL[e]) & ~luhn_valid(m), m).otherwise(out)
+        return out
+
+    between = F.split(text, find, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(find), F.lit(0)), hashed)
+    joined = F.array_join(F.zip_with(between, found, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
     possible = reduce(lambda a, b: a | b, [contains_entity(text, e) for e in ents])
     return (df.withColumns({"__ladle_ipad": s["ipad"], "__ladle_opad": s["opad"]})
-            .withColumn(column, F.when(possible, fold).otherwise(text))
+            .withColumn(column, F.when(possible, joined).otherwise(text))
             .drop("__ladle_ipad", "__ladle_opad"))
 
 
-@step("DETERMINISTIC_ENCRYPT", kind="expr")
+@step("DETERMINISTIC_ENCRYPT", kind="expr", writes=same_columns)
 def _det_encrypt_step(df, ctx, sourceColumns, secretId, **_):
     master = ctx.secret(secretId)
     return {c: encrypt(df.sparkSession, F.col(c), secretId, master, True) for c in as_list(sourceColumns)}
 
 
-@step("ENCRYPT", kind="expr")
+@step("ENCRYPT", kind="expr", writes=same_columns)
 def _encrypt_step(df, ctx, sourceColumns, kmsKeyArn=None, secretId=None, **_):
     key_id = kmsKeyArn or secretId
     master = ctx.secret(key_id)
     return {c: encrypt(df.sparkSession, F.col(c), key_id, master, False) for c in as_list(sourceColumns)}
 
 
-@step("CRYPTOGRAPHIC_HASH")
+@step("CRYPTOGRAPHIC_HASH", writes=same_columns)
 def _hash_step(df, ctx, sourceColumns, secretId, entityTypeFilter=None, **_):
     key = ctx.secret(secretId)
     spark = df.sparkSession

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ladle.functions.time import parse_with_recipe_pattern
-from ladle.plans.recipe import as_list, step
+from ladle.plans.recipe import as_list, same_columns, step
 
 _DATE_TYPES = (DateType, TimestampType, TimestampNTZType)
 
@@ -23,12 +23,18 @@ def year_of(df: DataFrame, name: str, fmt: str | None) -> Column:
     return F.year(parse_with_recipe_pattern(F.col(name), fmt))
 
 
-@step("YEAR", kind="expr")
+def _year_target(params: dict, columns: list[str]) -> list[str]:
+    return [*columns, params.get("targetColumn") or f"{params['sourceColumn']}_YEAR"]
+
+
+@step("YEAR", kind="expr", writes=_year_target)
 def _year_step(df, ctx, sourceColumn, targetColumn=None, dateTimeFormat=None, **_):
     return {targetColumn or f"{sourceColumn}_YEAR": year_of(df, sourceColumn, dateTimeFormat)}
 
 
-_PARTS = r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
+# Date, then at most a time of day and zone; anything else after the day is no date.
+_PARTS = (r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
+          r"(?:[ T*]\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$")
 
 
 def mask_date(c: Column, redact: list[str], symbol: str = "#",
@@ -67,7 +73,7 @@ def mask_date(c: Column, redact: list[str], symbol: str = "#",
     return F.when(c.isNotNull() & valid, out)
 
 
-@step("MASK_DATE", kind="expr")
+@step("MASK_DATE", kind="expr", writes=same_columns)
 def _mask_date_step(df, ctx, sourceColumns, redact, maskSymbol="#", **_):
     compat = bool(ctx.day_first_when_ambiguous)
     return {c: mask_date(F.col(c), as_list(redact), maskSymbol, compat, _is_datetime(df, c))

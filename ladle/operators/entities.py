@@ -17,7 +17,7 @@ def contains_entity(text: Column, entity: str) -> Column:
     pre = ENTITY_PREFILTER[entity]
     cheap = F.instr(text, pre) > 0 if entity == "EMAIL" else text.rlike(pre)
     if entity in CHECKSUM_ENTITIES:  # some match must also pass the checksum
-        return cheap & F.exists(F.regexp_extract_all(text, F.lit(ENTITY_FIND[entity]), 1), luhn_valid)
+        return cheap & F.exists(F.regexp_extract_all(text, F.lit(ENTITY_FIND[entity]), F.lit(0)), luhn_valid)
     return cheap & text.rlike(ENTITY_FIND[entity])
 
 

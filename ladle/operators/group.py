@@ -66,7 +66,13 @@ def _reads(params: dict) -> list[str]:
     return cols
 
 
-@step("GROUP_BY", reads=_reads)
+def _leaves(params: dict, columns: list[str]) -> list[str]:
+    targets = [o.get("targetColumnName") or f"{o['sourceColumnName']}_{o['functionName'].lower()}"
+               for o in as_list(params.get("groupByAggFunctionOptions"))]
+    return [*(as_list(params.get("sourceColumns")) if params.get("useNewDataFrame", True) else columns), *targets]
+
+
+@step("GROUP_BY", reads=_reads, writes=_leaves)
 def _group_step(df, ctx, sourceColumns, groupByAggFunctionOptions, useNewDataFrame=True, **_):
     keys, opts = as_list(sourceColumns), as_list(groupByAggFunctionOptions)
     if useNewDataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.plans.recipe import step
+from ladle.plans.recipe import same_columns, step
 
 
 def most_frequent(df: DataFrame, column: str) -> Column:
@@ -26,6 +26,6 @@ def fill_most_frequent(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), most_frequent(df, column)))
 
 
-@step("FILL_WITH_MOST_FREQUENT", kind="expr")
+@step("FILL_WITH_MOST_FREQUENT", kind="expr", writes=same_columns)
 def _fill_step(df, ctx, sourceColumn, **_):
     return {sourceColumn: F.coalesce(F.col(sourceColumn), most_frequent(df, sourceColumn))}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ladle.plans.recipe import RecipeError, as_list, step
+from ladle.plans.recipe import RecipeError, as_list, same_columns, step
 
 
 def _char_class(alphabet: list[str]) -> str:
@@ -31,7 +31,7 @@ def mask_first_n(c: Column, n: int, symbol: str = "#", alphabet: list[str] | Non
     return F.concat(masked, F.substring(text, n + 1, 2147483647))
 
 
-@step("MASK_RANGE", kind="expr")
+@step("MASK_RANGE", kind="expr", writes=same_columns)
 def _mask_range_step(df, ctx, sourceColumns, maskMode="MASK_FIRST_N", firstN=None, stop=None,
                      maskSymbol="#", alphabet=None, **_):
     if str(maskMode).upper() != "MASK_FIRST_N":

@@ -3,19 +3,19 @@
 One aggregate pass computes the per-column statistics for all columns
 at once (partial aggregation, one row out); it is turned into one row
 per column with ``explode`` over that single row.  Exact distinct counts
-take one more pass: every row yields one (column, value-as-text) pair
+take one more pass: every row yields one (column, typed value) pair
 per column, pairs are de-duplicated with partial aggregation and counted
-per column -- one scan and one shuffle of distinct pairs for all columns.
+per column -- one scan and one shuffle of distinct pairs for all columns;
+the least and greatest text of text columns come from the same pairs.
 ``exact_distinct=False`` uses the HyperLogLog++ sketch instead, which
-merges in constant memory.
+merges in constant memory.  Top values of all columns are one pass over
+the same pairs, counted.
 Quantiles use ``percentile_approx`` (a mergeable sketch): an exact
 percentile would hold a whole column in one task.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
@@ -33,6 +33,10 @@ def _orderable(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() not in ("map", "array", "struct", "binary", "variant")
 
 
+def _is_text(df: DataFrame, c: str) -> bool:
+    return df.schema[c].dataType.typeName() == "string"
+
+
 def _fixed_width(df: DataFrame, c: str) -> bool:
     """min/max buffers of fixed width keep the aggregate a codegen'd HashAggregate."""
     t = df.schema[c].dataType
@@ -63,21 +67,33 @@ def _typed_slot(df: DataFrame, c: str) -> tuple[str, Column]:
     return "v_text", x.cast("string")
 
 
-def exact_distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """column_name, n_distinct (non-null values), for all ``cols`` in one pass."""
+def _pairs(df: DataFrame, cols: list[str], with_text: bool = False) -> DataFrame:
+    """(__i, v_long, v_double, v_text) of every non-null cell; ``with_text`` adds ``text``, the cell as
+    text where its slot is not the text already."""
     items = []
     for i, c in enumerate(cols):
         slot, val = _typed_slot(df, c)
         fields = [F.lit(i).alias("__i")]
         fields += [(val if s == slot else F.lit(None).cast("string" if s == "v_text" else s[2:])).alias(s)
                    for s in _SLOTS]
+        if with_text:
+            fields.append((F.col(c).cast("string") if slot != "v_text" else F.lit(None).cast("string")).alias("text"))
         fields.append(val.isNull().alias("is_null"))
         items.append(F.struct(*fields))
     pairs = df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("__i") + 1)
-    return (pairs.where(~F.col("is_null")).select("__i", *_SLOTS).distinct()
-            .groupBy("__i").agg(F.count(F.lit(1)).alias("n_distinct"))
-            .select(names.alias("column_name"), "n_distinct"))
+    return pairs.where(~F.col("is_null")).drop("is_null")
+
+
+def _column_names(cols: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("__i") + 1)
+
+
+def exact_distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """column_name, n_distinct (non-null values), min_text, max_text (of text values), for all ``cols`` in one pass."""
+    return (_pairs(df, cols).select("__i", *_SLOTS).distinct()
+            .groupBy("__i").agg(F.count(F.lit(1)).alias("n_distinct"), F.min("v_text").alias("min_text"),
+                                F.max("v_text").alias("max_text"))
+            .select(_column_names(cols).alias("column_name"), "n_distinct", "min_text", "max_text"))
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: bool = False,
@@ -88,7 +104,7 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs.append(F.count(x).alias(f"__nn{i}"))
-        if _orderable(df, c):
+        if _orderable(df, c) and not (exact_distinct and _is_text(df, c)):
             target = aggs if _fixed_width(df, c) else var_aggs
             target += [F.min(x).cast("string").alias(f"__min{i}"), F.max(x).cast("string").alias(f"__max{i}")]
         if _is_numeric(df, c):
@@ -107,6 +123,9 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
         one = one.select("*", packed.alias("__var")).select(
             "*", *[F.col("__var").getField(n).alias(n) for n in var_row.columns]).drop("__var")
 
+    def has_bounds(c: str) -> bool:
+        return _orderable(df, c) and not (exact_distinct and _is_text(df, c))
+
     def rnd(e: Column) -> Column:
         return F.round(e, round_to) if round_to is not None else e
 
@@ -116,8 +135,8 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
         fields = [F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                   F.col("__rows").alias("n_rows"), (F.col("__rows") - F.col(f"__nn{i}")).alias("n_null"),
                   nd.cast("long").alias("n_distinct"),
-                  (F.col(f"__min{i}") if _orderable(df, c) else F.lit(None).cast("string")).alias("min_value"),
-                  (F.col(f"__max{i}") if _orderable(df, c) else F.lit(None).cast("string")).alias("max_value"),
+                  (F.col(f"__min{i}") if has_bounds(c) else F.lit(None).cast("string")).alias("min_value"),
+                  (F.col(f"__max{i}") if has_bounds(c) else F.lit(None).cast("string")).alias("max_value"),
                   (rnd(F.col(f"__avg{i}")) if _is_numeric(df, c) else F.lit(None).cast("double")).alias("mean"),
                   (rnd(F.col(f"__sd{i}")) if _is_numeric(df, c) else F.lit(None).cast("double")).alias("stddev")]
         if quantiles:
@@ -127,8 +146,11 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact_distinct: boo
     out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     if exact_distinct:
         counts = exact_distinct_counts(df, cols).withColumnRenamed("column_name", "__c")
+        texts = [c for c in cols if _is_text(df, c)]
         out = (out.drop("n_distinct").join(counts, F.col("column_name") == F.col("__c"), "left")
                .withColumn("n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long"))
+               .withColumn("min_value", F.when(F.col("column_name").isin(texts), F.col("min_text")).otherwise(F.col("min_value")))
+               .withColumn("max_value", F.when(F.col("column_name").isin(texts), F.col("max_text")).otherwise(F.col("max_value")))
                .select(*PROFILE_SCHEMA_COLUMNS, *(["quantiles"] if quantiles else [])))
     return out
 
@@ -137,16 +159,13 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
     """The ``k`` most frequent non-null values of each column (ties: smaller
     value first): column_name, rank, value (as text), frequency.
 
-    Per column: partial aggregation by value, then a distributed
-    TakeOrdered of k rows; the ranks are computed over those k rows only.
+    One scan for all columns: typed pairs are counted with partial
+    aggregation; the rank filter keeps only k rows per column of each task
+    before they meet (Spark's group limit).
     """
-    parts = []
-    for c in columns or df.columns:
-        if not _orderable(df, c):
-            continue
-        top = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("frequency"))
-               .orderBy(F.desc("frequency"), F.asc(c)).limit(k))
-        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("frequency"), F.asc(c))))
-        parts.append(ranked.select(F.lit(c).alias("column_name"), F.col("rank").cast("int").alias("rank"),
-                                   F.col(c).cast("string").alias("value"), F.col("frequency")))
-    return reduce(DataFrame.unionByName, parts)
+    cols = [c for c in columns or df.columns if _orderable(df, c)]
+    counts = _pairs(df, cols, with_text=True).groupBy("__i", *_SLOTS, "text").agg(F.count(F.lit(1)).alias("frequency"))
+    order = [F.desc("frequency"), *[F.asc(s) for s in _SLOTS]]
+    rank = F.row_number().over(Window.partitionBy("__i").orderBy(*order))
+    return (counts.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
+            .select(_column_names(cols).alias("column_name"), "rank", F.coalesce("text", "v_text").alias("value"), "frequency"))

@@ -2,35 +2,47 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from ladle.functions.hashing import hmac_pads, hmac_sha256, secret_scalars
 from ladle.operators.joins import attach
-from ladle.operators.positions import DEFAULT_CHUNK_ROWS, positions_within, uniform_from_hex, uniform_from_long
-from ladle.plans.recipe import as_list, step
+from ladle.operators.positions import DEFAULT_CHUNK_ROWS, ROW_ID, positions_within, uniform_from_hex, with_row_id
+from ladle.plans.recipe import RecipeError, as_list, same_columns, step
+
 
+def stream_seed(seed: int, *place) -> int:
+    """An own seed for each place (step, column), so their values are independent."""
+    text = "|".join(str(x) for x in (seed, *place))
+    return int.from_bytes(hashlib.sha256(text.encode()).digest()[:6], "big")
 
-def random_between(c: Column, lower: int, upper: int, seed: int) -> Column:
+
+def random_between(c: Column, lower: int, upper: int, seed: int, key: Column | None = None) -> Column:
     """Uniform integer in [lower, upper] (both inclusive); null stays null.
 
-    ``rand(seed)`` is seeded per partition, so a retried task recomputes
-    the same values from the same input split.
+    With ``key`` (a text that names the row) the value is drawn from the md5
+    of seed and key, the same however the rows are partitioned; otherwise
+    from ``rand(seed)``, the same for a retried task of the same split.
     """
     span = int(upper) - int(lower) + 1
-    r = F.floor(F.rand(seed) * F.lit(span) + F.lit(int(lower))).cast("int")
+    u = F.rand(seed) if key is None else uniform_from_hex(F.md5(F.concat(F.lit(f"random-{seed}|"), key)))
+    r = F.floor(u * F.lit(span) + F.lit(int(lower))).cast("int")
     return F.when(c.isNotNull(), r)
 
 
-@step("REPLACE_WITH_RANDOM_BETWEEN", kind="expr")
-def _random_step(df, ctx, sourceColumns, lowerBound, upperBound, **_):
-    cols = as_list(sourceColumns)
-    return {c: random_between(F.col(c), int(lowerBound), int(upperBound), ctx.seed + i)
-            for i, c in enumerate(cols)}
+def key_text(columns: list[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in columns])
 
 
-def _sortable(df: DataFrame, cols: list[str]) -> list[str]:
-    return [c for c in cols if not isinstance(df.schema[c].dataType, MapType)]
+@step("REPLACE_WITH_RANDOM_BETWEEN", kind="expr", writes=same_columns)
+def _random_step(df, ctx, sourceColumns, lowerBound, upperBound, **_):
+    keys = ctx.options.get("random_key_columns")
+    key = key_text(keys) if keys else None
+    return {c: random_between(F.col(c), int(lowerBound), int(upperBound), stream_seed(ctx.seed, ctx.step_index, c), key)
+            for c in as_list(sourceColumns)}
 
 
 def _hashable(df: DataFrame, cols: list[str]) -> list:
@@ -39,7 +51,7 @@ def _hashable(df: DataFrame, cols: list[str]) -> list:
 
 
 def shuffle_rows(df: DataFrame, columns: list[str], group_by: list[str] | None = None,
-                 seed: int = 42, key_columns: list[str] | None = None,
+                 seed: int = 42, key_columns: list[str] | None = None, secret: bytes | None = None,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Permute the values of ``columns`` (moving together) among the rows
     of each group (one global group when ``group_by`` is empty).
@@ -50,39 +62,44 @@ def shuffle_rows(df: DataFrame, columns: list[str], group_by: list[str] | None =
     Both rankings are skew-proof (see ``positions``), and the final
     equi-join on (group, position) spreads even a huge group evenly.
 
-    With ``key_columns`` the orders are md5 of seed and key, which any
-    SQL engine can reproduce; otherwise xxhash64 of the content, with
-    the content itself as tie-breaker (identical rows are interchangeable,
-    so ties cannot change the result).
+    The input is materialized once with a row number.  So both sides come
+    from the same rows even when the plan before holds random steps, and
+    rows with equal content are told apart: equal values do not meet in one
+    chunk.  The orders are hashes of the content and the row number.
+
+    With ``key_columns`` the orders are HMAC-SHA-256 of the key under
+    ``secret``, which whoever has the secret can reproduce with any SQL
+    engine, and nobody else can undo.
     """
     group_by = list(group_by or [])
     columns = list(columns)
     rest = [c for c in df.columns if c not in columns and c not in group_by]
+    spark = df.sparkSession
     if key_columns:
-        keytext = F.concat_ws("|", *[F.col(k).cast("string") for k in key_columns])
-        h_rest = F.md5(F.concat_ws("|", F.lit(f"slot-{seed}"), keytext))
-        h_vals = F.md5(F.concat_ws("|", F.lit(f"value-{seed}"), keytext))
-        u_rest, u_vals = uniform_from_hex(h_rest), uniform_from_hex(h_vals)
-        vals_carry = list(key_columns)
+        if not secret:
+            raise RecipeError("SHUFFLE_ROWS: key columns need a secret")
+        s = secret_scalars(spark, **dict(zip(("ipad", "opad"), hmac_pads(secret))))
+        h_rest, h_vals = (F.lower(F.hex(hmac_sha256(F.concat(F.lit(f"{side}|"), key_text(key_columns)), s["ipad"], s["opad"])))
+                          for side in ("slot", "value"))
     else:
         h_rest = F.xxhash64(F.lit(seed), *_hashable(df, group_by + rest))
         h_vals = F.xxhash64(F.lit(seed + 1), *_hashable(df, group_by + columns))
-        u_rest, u_vals = uniform_from_long(h_rest), uniform_from_long(h_vals)
-        vals_carry = []
-    slots = df.select(*group_by, *rest).withColumn("__h", h_rest)
-    vals = df.select(*group_by, *columns, *[k for k in vals_carry if k not in columns + group_by]) \
-             .withColumn("__h", h_vals)
-    tie_rest = [F.col(c) for c in _sortable(df, rest)]
-    tie_vals = [F.col(c) for c in _sortable(df, columns)]
-    slots = positions_within(slots, group_by, u_rest, [F.col("__h"), *tie_rest], "__pos", chunk_rows)
-    vals = positions_within(vals, group_by, u_vals, [F.col("__h"), *tie_vals], "__pos", chunk_rows)
-    vals = vals.select(*group_by, "__pos", *columns)
-    out = attach(slots.drop("__h"), vals, group_by + ["__pos"], how="inner")
+    base = with_row_id(df.withColumns({"__h_rest": h_rest, "__h_vals": h_vals}))
+
+    def ranked(own: list[str], h: str) -> DataFrame:
+        side = base.select(*group_by, *own, F.col(h).alias("__h"), ROW_ID)
+        tie = F.xxhash64(F.lit(f"{seed}{h}"), F.col(ROW_ID))
+        return positions_within(side, group_by, [F.col("__h"), tie, F.col(ROW_ID)], "__pos", chunk_rows).drop("__h", ROW_ID)
+
+    vals = ranked(columns, "__h_vals").select(*group_by, "__pos", *columns)
+    out = attach(ranked(rest, "__h_rest"), vals, group_by + ["__pos"], how="inner")
     return out.select(*df.columns)
 
 
-@step("SHUFFLE_ROWS", reads=lambda p: as_list(p.get("sourceColumns")) + as_list(p.get("groupByColumns")))
+@step("SHUFFLE_ROWS", writes=same_columns,
+      reads=lambda p: as_list(p.get("sourceColumns")) + as_list(p.get("groupByColumns")))
 def _shuffle_step(df, ctx, sourceColumns, groupByColumns=None, **_):
-    return shuffle_rows(df, as_list(sourceColumns), as_list(groupByColumns), ctx.seed,
-                        ctx.options.get("shuffle_key_columns"),
+    secret = ctx.options.get("shuffle_secret_id")
+    return shuffle_rows(df, as_list(sourceColumns), as_list(groupByColumns), stream_seed(ctx.seed, ctx.step_index),
+                        ctx.options.get("shuffle_key_columns"), ctx.secret(secret) if secret else None,
                         ctx.options.get("chunk_rows", DEFAULT_CHUNK_ROWS))

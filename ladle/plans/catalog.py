@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.hashing import hmac_pads
+from ladle.operators.randomize import stream_seed
 from ladle.plans.recipe import RecipeContext, apply_recipe
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +56,15 @@ def _hex(b: bytes) -> str:
     return b.hex().upper()
 
 
-def _sql_hmac_b64(expr: str, key: bytes = DEMO_KEY) -> str:
+def _sql_hmac(expr: str, key: bytes = DEMO_KEY) -> str:
+    """Lower-case hex."""
     ipad, opad = hmac_pads(key)
     inner = f"unhex(sha256(unhex('{_hex(ipad)}') || encode({expr})))"
-    return f"to_base64(unhex(sha256(unhex('{_hex(opad)}') || {inner})))"
+    return f"sha256(unhex('{_hex(opad)}') || {inner})"
+
+
+def _sql_hmac_b64(expr: str, key: bytes = DEMO_KEY) -> str:
+    return f"to_base64(unhex({_sql_hmac(expr, key)}))"
 
 
 # ---------------------------------------------------------------- T1
@@ -207,37 +213,50 @@ def mask_date_compat(spark, sf):
 
 
 # ---------------------------------------------------------------- T9
-@query("random_between", """
-SELECT p_partkey, true AS in_range FROM part
+_RANDOM_SEED = stream_seed(SEED, 0, "p_size")
+
+
+@query("random_between", f"""
+SELECT p_partkey, CAST(floor(CAST('0x' || substr(md5('random-{_RANDOM_SEED}|' || CAST(p_partkey AS VARCHAR)), 1, 13) AS BIGINT)
+                            / 4503599627370496.0 * 50 + 1) AS INTEGER) AS p_size FROM part
 """)
 def random_between(spark, sf):
     src = table(spark, sf, "part").select("p_partkey", "p_size")
-    out = apply_recipe(src, [act("REPLACE_WITH_RANDOM_BETWEEN", lowerBound="1", upperBound="50",
-                                 sourceColumns=["p_size"])], _ctx())
-    return out.select("p_partkey", F.col("p_size").between(1, 50).alias("in_range"))
+    return apply_recipe(src, [act("REPLACE_WITH_RANDOM_BETWEEN", lowerBound="1", upperBound="50", sourceColumns=["p_size"])],
+                        _ctx(options={"random_key_columns": ["p_partkey"]}))
 
 
 # ---------------------------------------------------------------- T10 / A8
 @query("shuffle_rows", f"""
 WITH slots AS (
   SELECT c_custkey, c_nationkey, c_mktsegment,
-         row_number() OVER (PARTITION BY c_nationkey
-                            ORDER BY md5('slot-{SEED}|' || CAST(c_custkey AS VARCHAR))) AS pos
+         row_number() OVER (PARTITION BY c_nationkey ORDER BY {_sql_hmac("'slot|' || CAST(c_custkey AS VARCHAR)")}) AS pos
   FROM customer),
 vals AS (
   SELECT c_nationkey, c_acctbal,
-         row_number() OVER (PARTITION BY c_nationkey
-                            ORDER BY md5('value-{SEED}|' || CAST(c_custkey AS VARCHAR))) AS pos
+         row_number() OVER (PARTITION BY c_nationkey ORDER BY {_sql_hmac("'value|' || CAST(c_custkey AS VARCHAR)")}) AS pos
   FROM customer)
 SELECT s.c_custkey, s.c_nationkey, s.c_mktsegment, v.c_acctbal
 FROM slots s JOIN vals v ON s.c_nationkey = v.c_nationkey AND s.pos = v.pos
 """)
 def shuffle_rows(spark, sf):
     src = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    ctx = _ctx(options={"shuffle_key_columns": ["c_custkey"]})
-    out = apply_recipe(src, [act("SHUFFLE_ROWS", groupByColumns=["c_nationkey"], sourceColumns=["c_acctbal"])],
-                       ctx)
-    return out
+    ctx = _ctx(options={"shuffle_key_columns": ["c_custkey"], "shuffle_secret_id": DEMO_KEY_ID})
+    return apply_recipe(src, [act("SHUFFLE_ROWS", groupByColumns=["c_nationkey"], sourceColumns=["c_acctbal"])], ctx)
+
+
+@query("shuffle_rows_default", """
+SELECT c_nationkey, 'kept' AS side, c_custkey, NULL::DOUBLE AS c_acctbal FROM customer
+UNION ALL SELECT c_nationkey, 'moved', NULL, c_acctbal FROM customer
+""")
+def shuffle_rows_default(spark, sf):
+    """The default order: each group keeps its rows and its multiset of moved values."""
+    src = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    out = apply_recipe(src, [act("SHUFFLE_ROWS", groupByColumns=["c_nationkey"], sourceColumns=["c_acctbal"])], _ctx())
+    none = F.lit(None)
+    sides = F.array(F.struct(F.lit("kept").alias("side"), F.col("c_custkey"), none.cast("double").alias("c_acctbal")),
+                    F.struct(F.lit("moved").alias("side"), none.cast("long").alias("c_custkey"), F.col("c_acctbal")))
+    return out.select("c_nationkey", F.explode(sides).alias("s")).select("c_nationkey", "s.*")
 
 
 # ---------------------------------------------------------------- T11
@@ -255,14 +274,16 @@ def deterministic_encrypt(spark, sf):
 
 # ---------------------------------------------------------------- T12
 @query("encrypt_round_trip", """
-SELECT c_custkey, c_name, true AS is_ciphertext FROM customer
+SELECT c_custkey, c_name, true AS is_ciphertext, CAST(1 AS BIGINT) AS n_same FROM customer
 """)
 def encrypt_round_trip(spark, sf):
     from ladle.operators.crypto import decrypt
     src = table(spark, sf, "customer").select("c_custkey", "c_name")
     enc = apply_recipe(src, [act("ENCRYPT", kmsKeyArn=DEMO_KEY_ID, sourceColumns=["c_name"])], _ctx())
-    return enc.select("c_custkey", decrypt(spark, F.col("c_name"), DEMO_KEY).alias("c_name"),
-                      (F.col("c_name") != F.col("c_name").substr(1, 0)).alias("is_ciphertext"))
+    # each value encrypted on its own: no ciphertext twice, none equal to or holding its plain text
+    twice = enc.groupBy("c_name").agg(F.count(F.lit(1)).alias("n_same"), F.min("c_custkey").alias("c_custkey"))
+    plain = decrypt(spark, F.col("c_name"), DEMO_KEY)
+    return twice.select("c_custkey", plain.alias("c_name"), (F.instr(F.col("c_name"), plain) == 0).alias("is_ciphertext"), "n_same")
 
 
 # ---------------------------------------------------------------- T13 / T14
@@ -285,7 +306,7 @@ _PHONE_SQL = _PHONE_EXPR.format(t="VARCHAR")
 @query("keyed_hash_filtered", f"""
 WITH src AS (SELECT c_custkey, {_PHONE_SQL} AS phone FROM customer)
 SELECT c_custkey,
-       CASE WHEN regexp_full_match(trim(phone), '(?:\\+?1[ .-])?\\(?\\d{{3}}\\)?[ .-]?\\d{{3}}[ .-]\\d{{4}}')
+       CASE WHEN regexp_full_match(trim(phone), '[0-9][0-9][0-9][ -][0-9][0-9][0-9]-[0-9][0-9][0-9][0-9]')
             THEN {_sql_hmac_b64('phone')} ELSE phone END AS phone
 FROM src
 """)
@@ -347,17 +368,25 @@ _LUHN_SQL = ("list_sum(list_transform(list_reverse(regexp_extract_all(m, '(\\d)'
              "ELSE CAST(d AS INTEGER) * 2 END) ELSE CAST(d AS INTEGER) END)) % 10 = 0")
 
 
-def _entity_sql() -> str:
-    from ladle.functions.patterns import CHECKSUM_ENTITIES, ENTITY_FIND
+# Written apart from the library's patterns: word boundaries in place of look-arounds.
+_SQL_ENTITIES = {
+    "EMAIL": r"[[:alnum:]._%+-]+@[[:alnum:].-]+[.][[:alpha:]][[:alpha:]]+",
+    "PHONE_NUMBER": r"([+]?1[ .-]?)?([(]\d\d\d[)]|\b\d\d\d)[ .-]?\d\d\d[ .-]?\d\d\d\d\b",
+    "SSN": r"\b\d\d\d-\d\d-\d\d\d\d\b",
+    "CREDIT_CARD": r"\b(\d\d\d\d[ -]?\d\d\d\d[ -]?\d\d\d\d[ -]?\d\d\d\d|\d\d\d\d[ -]?\d\d\d\d\d\d[ -]?\d\d\d\d\d)\b",
+    "IP_ADDRESS": r"\b((\d|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])[.]){3}(\d|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])\b",
+}
+
 
+def _entity_sql() -> str:
     def cond(e: str, p: str) -> str:
-        if e in CHECKSUM_ENTITIES:
-            return f"len(list_filter(regexp_extract_all(text, '{p}', 1), lambda m: {_LUHN_SQL})) > 0"
+        if e == "CREDIT_CARD":
+            return f"len(list_filter(regexp_extract_all(text, '{p}'), lambda m: {_LUHN_SQL})) > 0"
         return f"regexp_matches(text, '{p}')"
     return "\nUNION ALL\n".join(
         f"SELECT 'text' AS column_name, '{e}' AS entity_type, count(text) AS n_values, "
         f"CAST(count_if({cond(e, p)}) AS BIGINT) AS n_matches FROM documents"
-        for e, p in ENTITY_FIND.items())
+        for e, p in _SQL_ENTITIES.items())
 
 
 @query("entity_counts", _entity_sql())
@@ -439,15 +468,13 @@ def quiet_period(spark, sf):
 # ---------------------------------------------------------------- J1 / J2 / E7-E9 / K5
 _JOB_SQL = "'job-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')"
 _LEDGER_SQL = f"""
-starts AS (SELECT {_JOB_SQL} AS job_id, md5('token-' || CAST(event_id AS VARCHAR)) AS task_token,
-                  ts AS started_at FROM events WHERE event_type = 'view'),
-ledger AS (SELECT job_id, task_token, started_at,
-                  CAST(floor(epoch(started_at)) AS BIGINT) + 604800 AS exp_timestamp
-           FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY started_at DESC, task_token DESC) AS rn
-                 FROM starts) WHERE rn = 1),
+starts AS (SELECT {_JOB_SQL} AS job_id, max(md5('token-' || CAST(event_id AS VARCHAR))) AS task_token, ts AS started_at
+           FROM events WHERE event_type = 'view' GROUP BY 1, 3),
 comp AS (SELECT event_id AS completion_id, {_JOB_SQL} AS job_id, ts AS completed_at,
                 CASE WHEN value >= 1.0 THEN 'SUCCEEDED' ELSE 'FAILED' END AS state
-         FROM events WHERE event_type = 'purchase')"""
+         FROM events WHERE event_type = 'purchase'),
+open AS (SELECT c.*, CASE WHEN floor(epoch(c.completed_at)) <= floor(epoch(s.started_at)) + 604800 THEN s.task_token END AS task_token
+         FROM comp c ASOF LEFT JOIN starts s ON c.job_id = s.job_id AND c.completed_at >= s.started_at)"""
 
 
 def _ledger_inputs(spark, sf):
@@ -464,36 +491,31 @@ def _ledger_inputs(spark, sf):
 
 @query("run_outcomes", f"""
 WITH {_LEDGER_SQL},
-j AS (SELECT c.*, l.task_token,
-             CASE WHEN l.task_token IS NOT NULL AND c.state = 'SUCCEEDED' THEN 'Success' ELSE 'Fail' END AS result,
-             CASE WHEN l.task_token IS NULL THEN 'no open run for the job id'
-                  WHEN c.state <> 'SUCCEEDED' THEN 'run ended in state ' || c.state END AS cause
-      FROM comp c LEFT JOIN ledger l ON c.job_id = l.job_id AND l.started_at <= c.completed_at
-                                   AND CAST(floor(epoch(c.completed_at)) AS BIGINT) <= l.exp_timestamp)
+j AS (SELECT *, CASE WHEN task_token IS NOT NULL AND state = 'SUCCEEDED' THEN 'Success' ELSE 'Fail' END AS result,
+             CASE WHEN task_token IS NULL THEN 'no open run for the job id'
+                  WHEN state <> 'SUCCEEDED' THEN 'run ended in state ' || state END AS cause FROM open)
 SELECT completion_id, job_id, completed_at, state, task_token, result, cause, 'transform' AS source,
-       'Run result [' || result || ']' AS subject,
+       'Pipeline result [' || result || ']' AS subject,
        CASE WHEN result = 'Success' THEN 'Job run ' || job_id || ' completed with state ' || state || '.'
             ELSE 'Job fails to launch or finish, error: ' || state || ', cause: ' || cause END AS message
 FROM j
 """)
 def run_outcomes(spark, sf):
-    from ladle.streaming.ledger import build_ledger, match_completions, outcome_rows
+    from ladle.streaming.ledger import match_completions, outcome_rows
     starts, comps = _ledger_inputs(spark, sf)
-    out = outcome_rows(match_completions(comps, build_ledger(starts)))
+    out = outcome_rows(match_completions(comps, starts))
     return out.select("completion_id", "job_id", "completed_at", "state", "task_token", "result", "cause",
                       "source", "subject", "message")
 
 
 @query("orphan_completions", f"""
 WITH {_LEDGER_SQL}
-SELECT c.* FROM comp c
-WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE c.job_id = l.job_id AND l.started_at <= c.completed_at
-                  AND CAST(floor(epoch(c.completed_at)) AS BIGINT) <= l.exp_timestamp)
+SELECT completion_id, job_id, completed_at, state FROM open WHERE task_token IS NULL
 """)
 def orphan_completions(spark, sf):
-    from ladle.streaming.ledger import build_ledger, orphan_completions as orphans
+    from ladle.streaming.ledger import orphan_completions as orphans
     starts, comps = _ledger_inputs(spark, sf)
-    return orphans(comps, build_ledger(starts))
+    return orphans(comps, starts)
 
 
 # ---------------------------------------------------------------- S1-S8, P2, K1, K2
@@ -652,13 +674,14 @@ def completion_filter(spark, sf):
 
 # ---------------------------------------------------------------- T14 inside free text
 def _within_sql() -> str:
-    from ladle.functions.patterns import ENTITY_FIND
-    found = ", ".join(f"regexp_extract_all(text, '{ENTITY_FIND[e]}', 1)" for e in ("EMAIL", "PHONE_NUMBER"))
+    either = f"{_SQL_ENTITIES['EMAIL']}|{_SQL_ENTITIES['PHONE_NUMBER']}"
     return f"""
-SELECT doc_id,
-       list_reduce(list_sort(list_distinct(list_concat({found}))),
-                   lambda acc, m: replace(acc, m, {_sql_hmac_b64('m')}), text) AS text
-FROM documents
+WITH cut AS (SELECT doc_id, text, string_split_regex(text, '{either}') AS between, regexp_extract_all(text, '{either}') AS found
+             FROM documents),
+rows AS (SELECT doc_id, unnest(range(1, len(between) + 1)) AS i, between, found FROM cut WHERE len(found) > 0),
+done AS (SELECT doc_id, string_agg(between[i] || CASE WHEN i <= len(found) THEN {_sql_hmac_b64('found[i]')} ELSE '' END, '' ORDER BY i) AS t
+         FROM rows GROUP BY doc_id)
+SELECT cut.doc_id, coalesce(done.t, cut.text) AS text FROM cut LEFT JOIN done USING (doc_id)
 """
 
 
@@ -698,3 +721,166 @@ def single_flight(spark, sf):
     launches = quiet_sessions(table(spark, sf, "events"), "event_type", "ts", 30 * 60) \
         .select("event_type", F.col("launch_at").alias("requested_at"))
     return flight(launches, "event_type", "requested_at", 2 * 3600)
+
+
+# ---------------------------------------------------------------- S1 / S2: CSV as exported
+@query("land_csv_mixed_headers", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ', "the ' || c_mktsegment || '"' || chr(10) || 'second line' AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CASE WHEN c_custkey % 2 = 1 THEN CAST(c_acctbal AS VARCHAR) END AS c_acctbal
+FROM customer
+""")
+def land_csv_mixed_headers(spark, sf):
+    """Two exports under one prefix: other column order, one column more, quotes and line breaks in quotes."""
+    from ladle.sources.entities import stringify
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = f"{_landing(spark)}/{PUSH_PREFIX}"
+    name = F.concat("c_name", F.lit(', "the '), "c_mktsegment", F.lit('"\nsecond line'))
+    src = stringify(table(spark, sf, "customer").withColumn("c_name", name))
+    for odd, columns in ((0, ["c_custkey", "c_name", "c_nationkey"]), (1, ["c_acctbal", "c_nationkey", "c_name", "c_custkey"])):
+        (src.where(F.col("c_custkey").cast("long") % 2 == odd).select(*columns)
+         .write.option("header", True).option("escape", '"').csv(f"{root}drop{odd}"))
+    return read_inbound(spark, root, "CsvWithHeaderRow", "Incremental", multi_line=True).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+
+
+# ---------------------------------------------------------------- S3
+@query("land_json_document", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def land_json_document(spark, sf):
+    """JSON documents over many lines, one array per file, written by as many tasks."""
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = f"{_landing(spark)}/{PUSH_PREFIX}"
+    src = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    one = F.to_json(F.struct(*src.columns), {"pretty": "true"})
+    doc = src.groupBy((F.col("c_custkey") % 64).alias("file")).agg(F.concat(
+        F.lit("["), F.concat_ws(",\n", F.collect_list(one)), F.lit("]")).alias("value"))
+    doc.repartition(64, "file").select("value").write.option("maxRecordsPerFile", 1).text(root)
+    return read_inbound(spark, root, "JSON", "Incremental", schema=src.schema)
+
+
+# ---------------------------------------------------------------- S5 / A5
+@query("land_bulk_newest", "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region")
+def land_bulk_newest(spark, sf):
+    """Bulk: of all drops of orders and the region file that came last, only the newest file is read."""
+    from ladle.sources.entities import stringify
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = f"{_landing(spark)}/{PUSH_PREFIX}"
+    stringify(table(spark, sf, "orders")).write.option("header", True).csv(f"{root}a-orders")
+    region = stringify(table(spark, sf, "region").select("r_regionkey", "r_name"))
+    region.coalesce(1).write.option("header", True).csv(f"{root}z-region")  # a few rows by definition
+    return read_inbound(spark, root, "CsvWithHeaderRow", "Bulk")
+
+
+# ---------------------------------------------------------------- S9 / P1 / K3
+@query("entity_landing", """
+SELECT 'ClickEvent' AS entity, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey
+FROM customer WHERE c_mktsegment = 'BUILDING'
+""")
+def entity_landing(spark, sf):
+    """One entity of a mixed extract, all fields mapped as text, landed as one JSON file and read back."""
+    from ladle.sinks.tables import write_single_json
+    from ladle.sources.entities import land_entity
+    from ladle.sources.files import flow_prefix, read_inbound
+    root = f"{_landing(spark)}/{flow_prefix('customers')}"
+    src = table(spark, sf, "customer").select(
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("ClickEvent")).otherwise(F.lit("OpenEvent")).alias("entity"),
+        "c_custkey", "c_name", "c_nationkey")
+    out = land_entity(src, "ClickEvent", "entity")
+    write_single_json(out, root)
+    return read_inbound(spark, root, "JSONMultiLine", "Bulk", schema=out.schema, connector="pull")
+
+
+# ---------------------------------------------------------------- K4 with F1, F2, F3
+@query("profile_job", """
+WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part),
+cells AS (SELECT 'p_partkey' AS c, p_partkey AS v FROM p UNION ALL SELECT 'p_name', p_name FROM p UNION ALL SELECT 'p_brand', p_brand FROM p),
+top AS (SELECT c, v, n, row_number() OVER (PARTITION BY c ORDER BY n DESC, v) AS r
+        FROM (SELECT c, v, count(*) AS n FROM cells WHERE v IS NOT NULL GROUP BY c, v))
+SELECT 'profile' AS report, c AS column_name, min(v) AS a, max(v) AS b, count(v) AS n FROM cells GROUP BY c
+UNION ALL SELECT 'top', c, v, CAST(r AS VARCHAR), n FROM top WHERE r <= 10
+UNION ALL SELECT 'entity', c, e, '', CAST(count_if(regexp_matches(v, q)) AS BIGINT)
+          FROM cells, (VALUES ('SSN', '\\b[0-9]{3}-[0-9]{2}-[0-9]{4}\\b')) AS t(e, q) GROUP BY c, e
+""")
+def profile_job(spark, sf):
+    """The profile job's three reports over landed data, read back from where they were written."""
+    from ladle.plans.job import run_profile_job
+    from ladle.sources.entities import stringify
+    root = _landing(spark)
+    part = stringify(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"))
+    part.write.option("header", True).csv(f"{root}/inbound/drop")
+    _, _, out = run_profile_job(spark, f"{root}/inbound/", f"{root}/transform/part", entities=["SSN"], exact_distinct=True)
+    prof, top, ents = (spark.read.json(f"{out}{x}") for x in ("*.json", "top_values/", "entities/"))
+    return (prof.select(F.lit("profile").alias("report"), "column_name", F.col("min_value").alias("a"), F.col("max_value").alias("b"),
+                        (F.col("n_rows") - F.col("n_null")).alias("n"))
+            .unionByName(top.select(F.lit("top").alias("report"), "column_name", F.col("value").alias("a"),
+                                    F.col("rank").cast("string").alias("b"), F.col("frequency").alias("n")))
+            .unionByName(ents.select(F.lit("entity").alias("report"), "column_name", F.col("entity_type").alias("a"),
+                                     F.lit("").alias("b"), F.col("n_matches").alias("n"))))
+
+
+# ---------------------------------------------------------------- P4
+@query("empty_recipe", "SELECT * FROM supplier")
+def empty_recipe(spark, sf):
+    return apply_recipe(table(spark, sf, "supplier"), "", _ctx())
+
+
+# ---------------------------------------------------------------- C4
+@query("iso_compare", """
+SELECT event_id, epoch_us(ts) - 7200000000 * (event_id % 2) AS us, (event_id % 2 = 0) AS not_before FROM events
+""")
+def iso_compare(spark, sf):
+    """Times as text in several forms and zones, compared as instants."""
+    from ladle.functions.time import iso_micros
+    wall = lambda p: F.date_format("ts", p)
+    text = (F.when(F.col("event_id") % 4 == 0, F.concat(wall("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+            .when(F.col("event_id") % 4 == 2, wall("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .otherwise(F.concat(wall("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00"))))
+    own = iso_micros(F.concat(wall("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+    return table(spark, sf, "events").select("event_id", iso_micros(text).alias("us"), (iso_micros(text) >= own).alias("not_before"))
+
+
+# ---------------------------------------------------------------- E1 / E8 / E10: replays
+def _replayed(spark, df: DataFrame) -> str:
+    path = f"{_landing(spark)}/stream"
+    df.write.parquet(path)
+    return path
+
+
+def _stream_table(spark) -> tuple[str, str]:
+    import uuid
+    spark.sql("CREATE DATABASE IF NOT EXISTS ladle_out")
+    return f"ladle_out.stream_{uuid.uuid4().hex[:12]}", f"{_landing(spark)}/_checkpoint"
+
+
+@query("arrivals_on_demand", "SELECT event_id, event_type, true AS has_file FROM events")
+def arrivals_on_demand(spark, sf):
+    """E1 + E10: all rows of arriving files with the file they came from, taken in on demand until none is left."""
+    from ladle.streaming.envelope import arrivals
+    from ladle.streaming.live import run_available_now
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    stream = arrivals(spark, _replayed(spark, ev), "parquet", ev.schema)
+    name, checkpoint = _stream_table(spark)
+    run_available_now(stream.select("event_id", "event_type", (F.length("file_path") > 0).alias("has_file")), name, checkpoint)
+    return spark.read.table(name)
+
+
+@query("stream_completions", f"""
+WITH s AS (SELECT 'job-' || CAST(event_id AS VARCHAR) AS job_id, md5(CAST(event_id AS VARCHAR)) AS token, ts AS started_at
+           FROM events WHERE event_id % 3 <> 0),
+c AS (SELECT 'job-' || CAST(event_id AS VARCHAR) AS job_id, ts + INTERVAL 1 DAY * (event_id % 10) AS completed_at FROM events)
+SELECT c.job_id, c.completed_at, s.token AS task_token FROM c JOIN s ON c.job_id = s.job_id AND c.completed_at <= s.started_at + INTERVAL 7 DAY
+""")
+def stream_completions(spark, sf):
+    """Completions joined with the runs they finish, stream with stream; matched rows (an unmatched one is
+    given out only once the watermark has passed it, which a finite replay does not reach for the last ones)."""
+    from ladle.streaming.live import completions_with_runs, run_available_now
+    ev = table(spark, sf, "events")
+    job = F.concat(F.lit("job-"), F.col("event_id").cast("string")).alias("job_id")
+    starts = ev.where("event_id % 3 <> 0").select(job, F.md5(F.col("event_id").cast("string")).alias("task_token"),
+                                                  F.col("ts").alias("started_at"))
+    comps = ev.select(job, (F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 10).cast("int"))).alias("completed_at"))
+    s, c = (spark.readStream.schema(d.schema).parquet(_replayed(spark, d)) for d in (starts, comps))
+    name, checkpoint = _stream_table(spark)
+    out = completions_with_runs(c, s).where("task_token is not null").select("job_id", "completed_at", "task_token")
+    run_available_now(out, name, checkpoint)
+    return spark.read.table(name).withColumn("completed_at", F.col("completed_at").cast("timestamp_ntz"))

@@ -2,9 +2,11 @@
 
 A recipe is a JSON list of ``{"Action": {"Operation": ..., "Parameters":
 {...}}}``.  Every parameter value arrives as a *string*; lists and maps
-are JSON text inside that string.  We decode on the driver, validate
-every step against the schema the previous steps produce (analysis only,
-no job runs), and fold the steps into one lazy DataFrame.
+are JSON text inside that string.  We decode on the driver, check every
+step (operation, parameters, keys, and its columns against those the steps
+before it leave) before the first job, and then fold the steps into one
+DataFrame.  Most of it is lazy; steps that need a first pass over the data
+(group sizes, ranks) run it while the plan is built.
 
 Steps come in two kinds:
 
@@ -16,8 +18,9 @@ Steps come in two kinds:
 
 from __future__ import annotations
 
+import inspect
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any, Callable
 
 from pyspark.sql import Column, DataFrame
@@ -35,13 +38,33 @@ class _StepDef:
     fn: Callable[..., Any]
     kind: str  # "expr" or "frame"
     reads: Callable[[dict], list[str]]
+    writes: Callable[[dict, list[str]], list[str] | None]
 
 
-def step(name: str, kind: str = "frame", reads: Callable[[dict], list[str]] | None = None):
-    """Register ``fn(df, ctx, **params)`` as recipe operation ``name``."""
+def _unknown(params: dict, columns: list[str]) -> None:
+    return None
+
+
+def same_columns(params: dict, columns: list[str]) -> list[str]:
+    return columns
+
+
+def target_column(params: dict, columns: list[str]) -> list[str]:
+    return [*columns, *as_list(params.get("targetColumn"))]
+
+
+def step(name: str, kind: str = "frame", reads: Callable[[dict], list[str]] | None = None,
+         writes: Callable[[dict, list[str]], list[str] | None] = _unknown):
+    """Register ``fn(df, ctx, **params)`` as recipe operation ``name``.
+
+    ``reads``: the columns it needs.  ``writes``: the columns it leaves, from
+    its parameters and those before it, so a recipe can be checked without
+    running it; None (the default) means only the data can tell, and the
+    columns of later steps are checked when they are applied.
+    """
 
     def deco(fn):
-        _REGISTRY[name] = _StepDef(name, fn, kind, reads or source_columns)
+        _REGISTRY[name] = _StepDef(name, fn, kind, reads or source_columns, writes)
         return fn
 
     return deco
@@ -68,6 +91,8 @@ class RecipeContext:
     # Operation names after which the frame is checkpointed (reliable
     # checkpoint in spark.checkpoint.dir) to cut a long lineage.
     checkpoint_after: tuple[str, ...] = ()
+    # Place of the step being applied; random steps seed with it.
+    step_index: int = 0
 
     def secret(self, key_id: str) -> bytes:
         if key_id not in self.secrets:
@@ -139,11 +164,33 @@ def source_columns(params: dict) -> list[str]:
     return [c for c in cols if isinstance(c, str)]
 
 
-def _check_columns(df: DataFrame, st: Step, sdef: _StepDef) -> None:
-    have = set(df.columns)
-    missing = [c for c in sdef.reads(st.params) if c not in have]
+def _check_columns(st: Step, sdef: _StepDef, columns: list[str]) -> None:
+    missing = [c for c in sdef.reads(st.params) if c not in columns]
     if missing:
-        raise RecipeError(f"{st.operation}: unknown column(s) {missing}; have {sorted(have)}")
+        raise RecipeError(f"{st.operation}: unknown column(s) {missing}; have {sorted(set(columns))}")
+
+
+def validate(columns: list[str], recipe: str | list | Recipe | None, ctx: "RecipeContext | None" = None) -> None:
+    """Check every step of a recipe on column names alone; no job runs."""
+    _load_builtin_steps()
+    known: list[str] | None = list(columns)
+    for st in parse_recipe(recipe).steps:
+        if st.operation not in _REGISTRY:
+            raise RecipeError(f"unknown operation {st.operation!r}")
+        sdef = _REGISTRY[st.operation]
+        try:
+            inspect.signature(sdef.fn).bind(None, ctx, **st.params)
+        except TypeError as err:
+            raise RecipeError(f"{st.operation}: {err}") from None
+        for name in ("secretId", "kmsKeyArn"):
+            if ctx is not None and st.params.get(name) is not None:
+                ctx.secret(st.params[name])
+        for name in ("firstN", "lowerBound", "upperBound", "topX"):
+            if name in st.params and not str(st.params[name]).strip().lstrip("+-").isdigit():
+                raise RecipeError(f"{st.operation}: {name} must be a whole number, not {st.params[name]!r}")
+        if known is not None:
+            _check_columns(st, sdef, known)
+            known = sdef.writes(st.params, known)
 
 
 def _load_builtin_steps() -> None:
@@ -154,13 +201,11 @@ def _load_builtin_steps() -> None:
 
 def apply_recipe(df: DataFrame, recipe: str | list | Recipe | None,
                  ctx: RecipeContext | None = None) -> DataFrame:
-    """Apply the steps in list order; returns one lazy DataFrame."""
+    """Apply the steps in list order (checked first); returns one DataFrame."""
     _load_builtin_steps()
     ctx = ctx or RecipeContext()
     rec = parse_recipe(recipe)
-    for st in rec.steps:  # validate every operation name up front
-        if st.operation not in _REGISTRY:
-            raise RecipeError(f"unknown operation {st.operation!r}")
+    validate(df.columns, rec, ctx)
 
     pending: dict[str, Column] = {}
 
@@ -171,16 +216,13 @@ def apply_recipe(df: DataFrame, recipe: str | list | Recipe | None,
         pending.clear()
         return out
 
-    for st in rec.steps:
+    for i, st in enumerate(rec.steps):
         sdef = _REGISTRY[st.operation]
+        ctx = replace(ctx, step_index=i)
         reads = set(sdef.reads(st.params))
         if pending and reads & set(pending):
             df = flush(df)
-        # Validation sees pending targets as existing columns.
-        probe_cols = set(df.columns) | set(pending)
-        missing = [c for c in sdef.reads(st.params) if c not in probe_cols]
-        if missing:
-            raise RecipeError(f"{st.operation}: unknown column(s) {missing}; have {sorted(probe_cols)}")
+        _check_columns(st, sdef, [*df.columns, *pending])
         if sdef.kind == "expr":
             exprs = sdef.fn(df, ctx, **st.params)
             if set(exprs) & set(pending):

@@ -13,6 +13,36 @@ def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
 
+def write_batch(df: DataFrame, table: str, batch_id: str, location: str | None = None) -> None:
+    """K1 for a batch that may be repeated: its rows are the table's partition ``batch_id``.
+
+    Writing the batch again replaces that partition, so a run that failed
+    after its append, or is replayed, leaves each row once.
+    """
+    spark = df.sparkSession
+    df = df.withColumn("batch_id", F.lit(batch_id))
+    if not spark.catalog.tableExists(table):
+        w = df.write.format("parquet").partitionBy("batch_id")
+        (w.option("path", location) if location else w).saveAsTable(table)
+        return
+    df = _aligned(df, table)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the table's column order; new columns are added to the table, missing ones are null."""
+    spark = df.sparkSession
+    have = {f.name.lower() for f in spark.read.table(table).schema}
+    new = [f for f in df.schema.fields if f.name.lower() not in have]
+    if new:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+    current = spark.read.table(table).schema
+    mine = {c.lower() for c in df.columns}
+    return df.select(*[F.col(f.name) if f.name.lower() in mine else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in current.fields])
+
+
 def write_table(df: DataFrame, table: str, location: str | None = None, mode: str = "append") -> None:
     """K1: append Parquet to a catalog table (created on first write).
 
@@ -22,17 +52,7 @@ def write_table(df: DataFrame, table: str, location: str | None = None, mode: st
     """
     spark = df.sparkSession
     if mode == "append" and spark.catalog.tableExists(table):
-        current = spark.read.table(table).schema
-        have = {f.name.lower() for f in current}
-        new = [f for f in df.schema.fields if f.name.lower() not in have]
-        if new:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
-        mine = {c.lower() for c in df.columns}
-        missing = [f for f in current.fields if f.name.lower() not in mine]
-        if missing:
-            df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
-        df = df.select(*[f.name for f in current.fields], *[f.name for f in new])
+        df = _aligned(df, table)
     w = df.write.mode(mode).format("parquet")
     if location:
         w = w.option("path", location)

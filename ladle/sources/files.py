@@ -10,10 +10,14 @@ the prefix) and ``Incremental`` (every file under the prefix).
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ladle.operators.joins import attach_checked
+
 FORMATS = ("CSV", "CsvWithHeaderRow", "JSON", "JSONMultiLine")
 UPLOAD_TYPES = ("Bulk", "Incremental")
 PUSH_PREFIX = "inbound/"  # fixed value: pushed files land under this prefix
@@ -36,7 +40,7 @@ def check_combination(connector: str, upload_type: str, fmt: str) -> None:
 
 
 def _reader(spark: SparkSession, fmt: str, schema: StructType | str | None,
-            infer_sampling_ratio: float | None = None):
+            infer_sampling_ratio: float | None = None, multi_line: bool = False):
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
@@ -45,8 +49,10 @@ def _reader(spark: SparkSession, fmt: str, schema: StructType | str | None,
         # schema, or infer from a sample of the records.
         r = r.option("samplingRatio", infer_sampling_ratio)
     if fmt in ("CSV", "CsvWithHeaderRow"):
-        # Every column as text; steps cast with try_cast (ANSI mode is on).
-        return r.format("csv").option("header", fmt == "CsvWithHeaderRow").option("inferSchema", False)
+        # Every column as text; steps cast with try_cast (ANSI mode is on).  A quote
+        # inside quotes is doubled, as spreadsheet exports write it.
+        return (r.format("csv").option("header", fmt == "CsvWithHeaderRow").option("inferSchema", False)
+                .option("escape", '"').option("multiLine", multi_line))
     if fmt == "JSON":
         return r.format("json").option("multiLine", True)
     if fmt == "JSONMultiLine":
@@ -74,26 +80,95 @@ def latest_file(spark: SparkSession, prefix: str) -> str | None:
     return row["p"] if row else None
 
 
+MAX_HEADERS = 1000
+
+
+def header_lines(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The distinct first lines of the files (few; at most ``MAX_HEADERS`` reach the driver).
+
+    Only a file's first split can hold its first line, and one task reads
+    that split in order, so ``first`` is the first line.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(paths)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")))
+    heads = (lines.where(F.col("start") == 0).groupBy("file").agg(F.first("value").alias("head"))
+             .select("head").distinct().limit(MAX_HEADERS + 1).collect())
+    if len(heads) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different header lines")
+    return sorted(r["head"] for r in heads)
+
+
+def _header_names(line: str) -> list[str]:
+    return next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+
+
+def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: list[str], multi_line: bool) -> DataFrame:
+    """CSV files whose headers differ in order or columns -> the union of their columns by name.
+
+    One scan without headers; each row is mapped by its file's header, which
+    is the row of the file that equals it.  Columns a file lacks are null.
+    """
+    layouts = [_header_names(h) for h in heads]
+    width = max(map(len, layouts))
+    own = [f"_c{i}" for i in range(width)]
+    raw = (_reader(spark, "CSV", ", ".join(f"{c} string" for c in own), multi_line=multi_line)
+           .option("recursiveFileLookup", True).load(paths))
+    raw = raw.select("*", F.col("_metadata.file_path").alias("__file"))
+
+    def is_header(names: list[str]):
+        cells = F.array(*[F.col(c) for c in own])
+        want = F.array(*[F.lit(n) for n in names], *[F.lit(None).cast("string")] * (width - len(names)))
+        return cells == want  # null cells are equal to null cells in arrays
+
+    layout = F.lit(None).cast("int")
+    for i, names in enumerate(layouts):
+        layout = F.when(is_header(names), F.lit(i)).otherwise(layout)
+    tagged = raw.withColumn("__layout", layout)
+    files = tagged.where("__layout is not null").groupBy("__file").agg(F.min("__layout").alias("__of"))
+    rows = attach_checked(tagged.where("__layout is null"), files, ["__file"])
+    columns = list(dict.fromkeys(n for names in layouts for n in names))
+
+    def value(name: str):
+        out = F.lit(None).cast("string")
+        for i, names in enumerate(layouts):
+            if name in names:
+                out = F.when(F.col("__of") == i, F.col(own[names.index(name)])).otherwise(out)
+        return out.alias(name)
+
+    return rows.select(*[value(n) for n in columns])
+
+
 def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow", upload_type: str = "Incremental",
                  schema: StructType | str | None = None, connector: str = "push",
-                 column_names: list[str] | None = None, infer_sampling_ratio: float | None = None) -> DataFrame:
+                 column_names: list[str] | None = None, infer_sampling_ratio: float | None = None,
+                 multi_line: bool = False, same_header: bool = False, files: list[str] | None = None) -> DataFrame:
     """Read landed data under ``path`` with the connector's settings.
 
-    Incremental reads every file under the prefix (recursively); Bulk reads
-    only the newest file.  Zero-byte placeholders contribute no rows.
+    Incremental reads every file under the prefix (recursively), or only
+    ``files`` (what arrived since the last run); Bulk reads only the newest
+    file.  Zero-byte placeholders contribute no rows.
     ``column_names`` names the generated ``_c0.._cN`` columns of headerless CSV.
+    ``multi_line`` reads CSV with line breaks inside quotes (a file is then
+    read by one task).  ``same_header`` promises that all CSV headers are
+    alike and saves the look at each file's first split.
     """
     check_combination(connector, upload_type, fmt)
     if upload_type == "Bulk":
         newest = latest_file(spark, path)
         if newest is None:
             raise FileNotFoundError(f"no non-empty file under {path}")
-        df = _reader(spark, fmt, schema, infer_sampling_ratio).load(newest)
-    else:
-        df = _reader(spark, fmt, schema, infer_sampling_ratio).option("recursiveFileLookup", True).load(path)
-    if column_names and fmt == "CSV":
-        df = df.toDF(*column_names)
-    return df
+        return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).load(newest), fmt, column_names)
+    paths = path if files is None else [f for f in files if not f.endswith("/" + PLACEHOLDER_OBJECT)]
+    if fmt == "CsvWithHeaderRow" and schema is None and not same_header:
+        heads = header_lines(spark, paths)
+        if len({tuple(_header_names(h)) for h in heads}) > 1:
+            return _read_mixed_headers(spark, paths, heads, multi_line)
+    return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).option("recursiveFileLookup", True).load(paths),
+                  fmt, column_names)
+
+
+def _named(df: DataFrame, fmt: str, column_names: list[str] | None) -> DataFrame:
+    return df.toDF(*column_names) if column_names and fmt == "CSV" else df
 
 
 def with_source_file(df: DataFrame) -> DataFrame:

@@ -8,11 +8,15 @@ Arrivals are detected from file metadata only (the binary-file source with
 ``content`` pruned), so landing a large file costs no read until the run.
 Launch rows are few (one per quiet burst and key) and ``foreachBatch``
 runs them one after another on the driver, which is also what makes the
-runs single-flight.  Each run is an ordinary distributed batch job.
+runs single-flight.  Each run is an ordinary distributed batch job over the
+burst's new files alone, and its rows are the table's partition of the
+burst: when a batch is replayed the burst's rows and outcome are replaced,
+not added again.  A failed run is tried ``attempts`` times in all.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +24,10 @@ from pyspark.sql import functions as F
 
 from ladle.plans.job import run_recipe_job
 from ladle.plans.recipe import RecipeContext
+from ladle.sinks.tables import write_batch
 from ladle.streaming.ledger import MSG_FAIL, MSG_OK, RESULT_FAIL, RESULT_OK, SOURCE, SUBJECT
 from ladle.streaming.live import quiet_period_live
-from ladle.streaming.quiet import DEFAULT_GAP_SECONDS
+from ladle.streaming.quiet import DEFAULT_GAP_SECONDS, check_gap
 
 OUTCOME_SCHEMA = ("job_id string, watching_key string, first_arrival timestamp, last_arrival timestamp, "
                   "n_files long, started_at timestamp, finished_at timestamp, rows_written long, state string, "
@@ -42,7 +47,13 @@ class Connector:
     upload_type: str = "Incremental"
     table_location: str | None = None
     gap_seconds: float = DEFAULT_GAP_SECONDS
-    max_files_per_trigger: int = 30
+    max_files_per_trigger: int = 30   # files taken in per trigger; more wait for the next
+    attempts: int = 2                 # tries of a run in all
+    short_gaps: bool = False          # allow gaps below the minimum (tests)
+
+    def __post_init__(self):
+        if not self.short_gaps:
+            check_gap(self.gap_seconds)
 
     def arrivals(self) -> DataFrame:
         files = (self.spark.readStream.format("binaryFile")
@@ -50,18 +61,23 @@ class Connector:
                  .option("recursiveFileLookup", True)
                  .option("maxFilesPerTrigger", self.max_files_per_trigger).load(self.landing))
         return (files.where(F.col("length") > 0)
-                .select(F.lit(self.landing).alias("watching_key"), F.col("modificationTime").alias("ts")))
+                .select(F.lit(self.landing).alias("watching_key"), F.col("modificationTime").alias("ts"), "path"))
 
     def launches(self) -> DataFrame:
-        return quiet_period_live(self.arrivals(), "watching_key", "ts", self.gap_seconds)
+        return quiet_period_live(self.arrivals(), "watching_key", "ts", self.gap_seconds, item="path")
 
     def _run(self, launch) -> dict:
-        res = run_recipe_job(self.spark, self.landing, self.table, self.recipe, self.ctx, self.fmt,
-                             self.upload_type, self.table_location)
-        ok = res["state"] == "SUCCEEDED"
+        files = list(launch["items"])
+        burst = hashlib.sha256("\n".join([str(launch["key"]), *files]).encode()).hexdigest()[:32]
+        for _ in range(max(1, self.attempts)):
+            res = run_recipe_job(self.spark, self.landing, self.table, self.recipe, self.ctx, self.fmt, self.upload_type,
+                                 self.table_location, files=files if self.upload_type == "Incremental" else None, batch_id=burst)
+            ok = res["state"] == "SUCCEEDED"
+            if ok:
+                break
         result = RESULT_OK if ok else RESULT_FAIL
         return {**res, "watching_key": launch["key"], "first_arrival": launch["first_arrival"],
-                "last_arrival": launch["last_arrival"], "n_files": launch["n_events"], "result": result,
+                "last_arrival": launch["last_arrival"], "n_files": len(files), "result": result,
                 "source": SOURCE, "subject": SUBJECT.format(result),
                 "message": (MSG_OK.format(res["job_id"], res["state"]) if ok
                             else MSG_FAIL.format(res["state"], res["cause"]))}
@@ -70,8 +86,8 @@ class Connector:
         launches = batch.collect()  # one row per finished quiet burst: small by construction
         if not launches:
             return
-        outcomes = [self._run(row) for row in launches]
-        self.spark.createDataFrame(outcomes, OUTCOME_SCHEMA).write.mode("append").saveAsTable(self.outcomes_table)
+        outcomes = self.spark.createDataFrame([self._run(row) for row in launches], OUTCOME_SCHEMA)
+        write_batch(outcomes, self.outcomes_table, f"epoch-{epoch_id}")
 
     def start(self, trigger: dict | None = None):
         return (self.launches().writeStream.option("checkpointLocation", self.checkpoint)

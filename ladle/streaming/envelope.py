@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ladle.functions.time import iso_from_micros, iso_micros
+
 # The notification payload schema.
 RECORD_SCHEMA = StructType([
     StructField("eventTime", StringType()),
@@ -68,15 +70,17 @@ def rejects(records: DataFrame) -> DataFrame:
 def key_and_latest(records: DataFrame, batch_cols: list[str]) -> DataFrame:
     """A4 per batch: distinct buckets sorted and joined by ';', latest event time.
 
-    Buckets are de-duplicated per batch first (partial aggregation), so the
-    collected set holds distinct bucket names only.
+    Times are compared as instants (offsets and fractions differ in the
+    text) and given back as UTC text; one that cannot be read counts as
+    none.  Buckets are de-duplicated per batch first (partial aggregation),
+    so the collected set holds distinct bucket names only.
     """
-    good = accepted(records)
-    per_bucket = good.groupBy(*batch_cols, "bucket").agg(F.max("event_time").alias("__t"),
+    good = accepted(records).withColumn("__us", iso_micros(F.col("event_time")))
+    per_bucket = good.groupBy(*batch_cols, "bucket").agg(F.max("__us").alias("__t"),
                                                          F.count(F.lit(1)).alias("__n"))
     return per_bucket.groupBy(*batch_cols).agg(
         F.concat_ws(";", F.array_sort(F.collect_list("bucket"))).alias("watching_key"),
-        F.max("__t").alias("latest_event_time"),
+        iso_from_micros(F.max("__t")).alias("latest_event_time"),
         F.sum("__n").alias("n_records"))
 
 

@@ -5,84 +5,96 @@ The greedy rule is a chain: the first request of a key starts; after a
 start at ``t`` the next start is the first request at or after
 ``t + run``.  Computed exactly without handing a key to one task:
 
-1. positions of the requests within their key (``operators/positions``,
-   sub-chunked, so a hot key is spread over many tasks);
-2. each request's successor ``next(p)`` = number of requests before
-   ``t_p + run``: requests and shifted probes are ranked together, and a
-   probe's rank minus its own position is that count;
-3. pointer doubling: ``R`` holds the first 2^k chain members and ``J`` the
-   2^k-th successor of every request; each round ``R += J(R)`` and
-   ``J = J(J)`` -- log2(n) rounds of equi-joins.  ``J(J)`` is a self-join,
-   so the plan would double every round; each round's ``R`` and ``J`` are
-   written as reliable checkpoints in ``spark.checkpoint.dir`` instead
-   (this also makes the rounds survive executor loss).
+1. the requests are cut into chunks of contiguous time per key
+   (``operators/positions``: sampled ranges, whatever the spread);
+2. per chunk, where a chain leaves it depends only on the request it
+   enters at; neighbouring requests mostly leave alike, so the chunk's map
+   from entry time to exit time is kept as one row per stretch;
+3. per key, these few rows are composed from chunk to chunk, which gives
+   each chunk's entry time;
+4. per chunk, the chain is followed from its entry and its starts marked.
+
+Requests with equal times are told apart by the tie-break and a row
+number: exactly one of them can start.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.time import epoch_micros
-from ladle.operators.joins import attach, attach_checked
-from ladle.operators.positions import DEFAULT_CHUNK_ROWS, positions_within
-from ladle.session import checkpoint_root
+from ladle.operators.joins import attach
+from ladle.operators.positions import CHUNK, DEFAULT_CHUNK_ROWS, ROW_ID, chunked, materialized, with_row_id
+
+NEVER = -(1 << 62)  # entry time of a key's first chunk
+
+
+def _exits(t: np.ndarray, run: int) -> np.ndarray:
+    """For each request of a sorted chunk, when a chain entering there is free again."""
+    nxt = np.searchsorted(t, t + run).tolist()
+    out = (t + run).tolist()
+    for i in range(len(out) - 1, -1, -1):
+        if nxt[i] < len(out):
+            out[i] = out[nxt[i]]
+    return np.array(out, np.int64)
+
+
+def _exit_map(run: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["__t"].to_numpy())
+        out = _exits(t, run)
+        last = np.append(out[1:] != out[:-1], True)  # the last request of each stretch
+        return pd.DataFrame({"__key": pdf["__key"].iloc[0], CHUNK: pdf[CHUNK].iloc[0], "__upto": t[last], "__exit": out[last]})
+    return work
 
 
-def _time_positions(frame: DataFrame, key: str, t: str, ties: list[str], pos: str, chunk_rows: int) -> DataFrame:
-    """Positions by (t, *ties) within key; ``u`` is the key's time scaled to [0, 1)."""
-    bounds = frame.groupBy(key).agg(F.min(t).alias("__lo"), F.max(t).alias("__hi"))
-    x = attach_checked(frame, bounds, [key])
-    u = (F.col(t) - F.col("__lo")).cast("double") / (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
-    out = positions_within(x, [key], u, [F.col(t), *[F.col(c) for c in ties]], pos, chunk_rows)
-    return out.drop("__lo", "__hi")
+def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Entry time of each of a key's chunks."""
+    free, out = NEVER, []
+    for chunk, rows in pdf.sort_values([CHUNK, "__upto"]).groupby(CHUNK, sort=True):
+        out.append((chunk, free))
+        i = int(np.searchsorted(rows["__upto"].to_numpy(), free))
+        if i < len(rows):
+            free = int(rows["__exit"].iloc[i])
+    return pd.DataFrame({"__key": pdf["__key"].iloc[0], CHUNK: [c for c, _ in out], "__entry": [e for _, e in out]})
 
 
-def _same_key(a: str, b: str):
-    return F.col(a).eqNullSafe(F.col(b))
+def _mark(run: int, order: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        t = pdf["__t"].to_numpy()
+        started = np.zeros(len(t), bool)
+        i = int(np.searchsorted(t, pdf["__entry"].iloc[0]))
+        while i < len(t):
+            started[i] = True
+            i = int(np.searchsorted(t, t[i] + run))
+        return pd.DataFrame({ROW_ID: pdf[ROW_ID].to_numpy(), "started": started})
+    return work
 
 
 def single_flight(df: DataFrame, key: str, ts: str, run_seconds: float, tiebreak: str | None = None,
                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``df`` plus ``started`` (null when the request has no time)."""
-    spark = df.sparkSession
-    run_us = int(round(run_seconds * 1_000_000))
+    run = int(round(run_seconds * 1_000_000))
+    base = with_row_id(df)
     ties = [tiebreak] if tiebreak else []
-    reqs = (df.where(F.col(ts).isNotNull())
+    reqs = (base.where(F.col(ts).isNotNull())
             .select(F.col(key).alias("__key"), epoch_micros(df, ts).alias("__t"),
-                    *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)]))
-    tie_cols = [f"__tie{i}" for i in range(len(ties))]
-    checkpoint_root(spark)
-    ranked = _time_positions(reqs, "__key", "__t", tie_cols, "__p", chunk_rows).checkpoint(eager=True)
-
-    # successor: rank requests (kind 1) and probes at t + run (kind 0) together
-    probes = ranked.select("__key", (F.col("__t") + F.lit(run_us)).alias("__t"), F.lit(0).alias("__kind"),
-                           F.col("__p").alias("__idx"))
-    points = ranked.select("__key", "__t", F.lit(1).alias("__kind"), F.col("__p").alias("__idx"))
-    both = _time_positions(probes.unionByName(points), "__key", "__t", ["__kind", "__idx"], "__u", chunk_rows)
-    jump = both.where(F.col("__kind") == 0).select("__key", F.col("__idx").alias("__p"),
-                                                   (F.col("__u") - F.col("__idx")).alias("__j")).checkpoint(eager=True)
-
-    max_n = ranked.groupBy("__key").count().agg(F.max("count")).first()[0] or 0
-    rounds = max(0, math.ceil(math.log2(max_n))) if max_n > 1 else 0
-    chain = ranked.where(F.col("__p") == 0).select("__key", "__p")
-    for k in range(rounds):
-        step = (chain.join(jump.withColumnRenamed("__key", "__jk").withColumnRenamed("__p", "__jp"),
-                           _same_key("__key", "__jk") & (F.col("__p") == F.col("__jp")))
-                .select("__key", F.col("__j").alias("__p")))
-        chain = chain.unionByName(step).checkpoint(eager=True)
-        if k + 1 < rounds:
-            right = jump.select(F.col("__key").alias("__k2"), F.col("__p").alias("__p2"), F.col("__j").alias("__j2"))
-            jump = (jump.join(right, _same_key("__key", "__k2") & (F.col("__j") == F.col("__p2")))
-                    .select("__key", "__p", F.col("__j2").alias("__j"))).checkpoint(eager=True)
-
-    marked = (ranked.join(chain.withColumn("__on", F.lit(True)), ["__key", "__p"], "left")
-              .select("__key", "__t", *tie_cols, F.coalesce(F.col("__on"), F.lit(False)).alias("started")))
-    # back to the caller's rows (null times: started is null)
-    src = df.withColumn("__key", F.col(key)).withColumn("__t", epoch_micros(df, ts))
-    for i, c in enumerate(ties):
-        src = src.withColumn(f"__tie{i}", F.col(c))
-    return attach(src, marked.dropDuplicates(["__key", "__t", *tie_cols]), ["__key", "__t", *tie_cols]) \
-        .drop("__key", "__t", *tie_cols)
+                    *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)], ROW_ID))
+    order = ["__t", *[f"__tie{i}" for i in range(len(ties))], ROW_ID]
+    x, several = chunked(reqs, ["__key"], [F.col(c) for c in order], chunk_rows)
+    if several:
+        kind = df.schema[key].dataType.simpleString()
+        maps = x.select("__key", CHUNK, "__t").groupBy("__key", CHUNK).applyInPandas(
+            _exit_map(run), f"__key {kind}, {CHUNK} int, __upto long, __exit long")
+        entries = materialized(maps.groupBy("__key").applyInPandas(_entries, f"__key {kind}, {CHUNK} int, __entry long"))
+        x = attach(x, entries, ["__key", CHUNK])
+    else:
+        x = x.withColumn("__entry", F.lit(NEVER))
+    marked = x.groupBy("__key", CHUNK).applyInPandas(_mark(run, order), f"{ROW_ID} long, started boolean")
+    return base.join(marked, ROW_ID, "left").drop(ROW_ID)

@@ -1,10 +1,10 @@
 """Structured Streaming forms of the event logic.
 
 Per-key state lives in the state store (RocksDB provider); Python only
-runs inside the stateful processors, once per key per micro-batch, with
-O(1) state per key.  A micro-batch is bounded by the source's
-``maxFilesPerTrigger`` (the queue's batch size), so no call ever holds an
-unbounded group.
+runs inside the stateful processors, once per key per micro-batch.  A call
+gets its key's rows in Arrow chunks and orders them all together, so what
+a call holds is one key's rows of one micro-batch: bound it at the source
+with ``maxFilesPerTrigger`` or, where files are large, ``maxBytesPerTrigger``.
 
 * ``NewerOnly`` (E4): emit an event only when it is strictly newer than
   every earlier event of its key.
@@ -27,8 +27,10 @@ under a processing-time trigger; ``availableNow`` suits the others.
 
 from __future__ import annotations
 
+import bisect
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,11 @@ from ladle.functions.time import LEDGER_TTL_DAYS
 _US = 1_000_000
 
 
+def _all(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """All of a key's rows in this call."""
+    return pd.concat(list(rows), ignore_index=True)
+
+
 def _epoch_us(s: pd.Series) -> pd.Series:
     return pd.to_datetime(s, utc=True).astype("int64") // 1000
 
@@ -54,21 +61,17 @@ class NewerOnly(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         best = self.best.get()[0] if self.best.exists() else None
-        kept = []
-        for pdf in rows:
-            pdf = pdf.sort_values(self.seq, kind="stable")
-            us = _epoch_us(pdf[self.ts])
-            prior = us.cummax().shift(1)
-            if best is not None:
-                prior = prior.fillna(best).clip(lower=best)
-            mask = prior.isna() | (us > prior)
-            kept.append(pdf[mask.to_numpy()])
-            top = int(us.max())
-            best = top if best is None else max(best, top)
-        if best is not None:
-            self.best.update((best,))
-        if kept:
-            yield pd.concat(kept, ignore_index=True)
+        pdf = _all(rows)
+        pdf = pdf[pdf[self.ts].notna()].sort_values(self.seq, kind="stable")
+        if not len(pdf):
+            return
+        us = _epoch_us(pdf[self.ts]).to_numpy()
+        start = best if best is not None else int(us.min()) - 1
+        prior = np.maximum.accumulate(np.append(start, us))[:-1]
+        self.best.update((int(max(start, us.max())),))
+        kept = pdf[us > prior]
+        if len(kept):
+            yield kept.reset_index(drop=True)
 
     def close(self) -> None:
         pass
@@ -80,11 +83,16 @@ def newer_only_stream(df: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
-LAUNCH_SCHEMA = "key string, first_arrival timestamp, last_arrival timestamp, n_events long, launched_at timestamp"
+LAUNCH_SCHEMA = ("key string, first_arrival timestamp, last_arrival timestamp, n_events long, launched_at timestamp, "
+                 "items array<string>")
 
 
 class QuietPeriod(StatefulProcessor):
-    """Rows: key, ts.  Output: one launch per quiet burst (LAUNCH_SCHEMA)."""
+    """Rows: key, ts, item.  Output: one launch per quiet burst (LAUNCH_SCHEMA).
+
+    State per key: the burst's bounds and the names of its items (files),
+    so the run can read just these; nothing else grows with the burst.
+    """
 
     def __init__(self, ts: str, gap_seconds: float):
         self.ts, self.gap_ms = ts, int(gap_seconds * 1000)
@@ -92,6 +100,7 @@ class QuietPeriod(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.burst = handle.getValueState("burst", "first_us long, last_us long, n long, timer_ms long")
+        self.items = handle.getListState("items", "item string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = last = None
@@ -105,6 +114,9 @@ class QuietPeriod(StatefulProcessor):
             first = lo if first is None else min(first, lo)
             last = hi if last is None else max(last, hi)
             n += len(pdf)
+            items = [(x,) for x in pdf["item"] if x is not None]
+            if items:
+                self.items.appendList(items)
         timer = timerValues.getCurrentProcessingTimeInMs() + self.gap_ms
         self.handle.registerTimer(timer)
         self.burst.update((first, last, n, timer))
@@ -114,19 +126,22 @@ class QuietPeriod(StatefulProcessor):
         if not self.burst.exists():
             return
         first, last, n, _ = self.burst.get()
+        items = sorted({x[0] for x in self.items.get()}) if self.items.exists() else []
         self.burst.clear()
+        self.items.clear()
         now = timerValues.getCurrentProcessingTimeInMs()
         yield pd.DataFrame({"key": [str(key[0])],
                             "first_arrival": [pd.Timestamp(first, unit="us")],
                             "last_arrival": [pd.Timestamp(last, unit="us")],
-                            "n_events": [n], "launched_at": [pd.Timestamp(now, unit="ms")]})
+                            "n_events": [n], "launched_at": [pd.Timestamp(now, unit="ms")], "items": [items]})
 
     def close(self) -> None:
         pass
 
 
-def quiet_period_live(df: DataFrame, key: str, ts: str, gap_seconds: float) -> DataFrame:
-    src = df.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("ts"))
+def quiet_period_live(df: DataFrame, key: str, ts: str, gap_seconds: float, item: str | None = None) -> DataFrame:
+    src = df.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("ts"),
+                    (F.col(item) if item else F.lit(None)).cast("string").alias("item"))
     return src.groupBy("key").transformWithStateInPandas(
         statefulProcessor=QuietPeriod("ts", gap_seconds), outputStructType=LAUNCH_SCHEMA,
         outputMode="Append", timeMode="ProcessingTime")
@@ -146,13 +161,12 @@ class SingleFlight(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         until = self.until.get()[0] if self.until.exists() else None
-        out = []
-        for pdf in rows:
-            for t in sorted(_epoch_us(pdf["requested_at"]).tolist()):
-                start = until is None or t >= until
-                if start:
-                    until = t + self.run_us
-                out.append((str(key[0]), pd.Timestamp(t, unit="us"), start, pd.Timestamp(until, unit="us")))
+        out, pdf = [], _all(rows)
+        for t in sorted(_epoch_us(pdf["requested_at"][pdf["requested_at"].notna()]).tolist()):
+            start = until is None or t >= until
+            if start:
+                until = t + self.run_us
+            out.append((str(key[0]), pd.Timestamp(t, unit="us"), start, pd.Timestamp(until, unit="us")))
         if until is not None:
             self.until.update((until,))
         if out:
@@ -199,36 +213,37 @@ LEDGER_OUT_SCHEMA = ("job_id string, completed_at timestamp, state string, task_
 
 class RunLedger(StatefulProcessor):
     """E7 + J1/J2 on one keyed stream: rows are run starts and completions
-    for a ``job_id``.  A start stores (token, start time) in state with a
-    time-to-live (last write wins); a completion looks the run up and emits
-    one outcome.  A completion after the expiry, or with no stored run, is
-    a failure, as is a run that ended in a state other than SUCCEEDED."""
+    for a ``job_id``.  A start adds (token, start time) to the job's list in
+    state, each with a time-to-live; a completion takes the last run
+    started by its time (ties: the greatest token) and emits one outcome,
+    like the batch form.  A completion after the expiry, or with no such
+    run in this or an earlier micro-batch, is a failure, as is a run that
+    ended in a state other than SUCCEEDED."""
 
     def __init__(self, ttl_days: int = LEDGER_TTL_DAYS):
         self.ttl_us = ttl_days * 86400 * _US
         self.ttl_ms = ttl_days * 86400 * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "task_token string, started_us long", ttlDurationMs=self.ttl_ms)
+        self.runs = handle.getListState("runs", "task_token string, started_us long", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run = self.run.get() if self.run.exists() else None
+        pdf = _all(rows)
+        pdf = pdf[pdf["at"].notna()].assign(at_us=lambda x: _epoch_us(x["at"]))
+        new = [(r.task_token, int(r.at_us)) for r in pdf[pdf["kind"] == "start"].itertuples(index=False)]
+        if new:
+            self.runs.appendList(new)
+        done = pdf[pdf["kind"] != "start"].sort_values("at_us", kind="stable")
         out = []
-        for pdf in rows:
-            pdf = pdf.assign(at_us=_epoch_us(pdf["at"]), is_completion=(pdf["kind"] != "start").astype(int))
-            for r in pdf.sort_values(["at_us", "is_completion"], kind="stable").itertuples(index=False):
-                if r.kind == "start":
-                    run = (r.task_token, int(r.at_us))
-                    continue
-                live = run is not None and run[1] <= r.at_us <= run[1] + self.ttl_us
-                ok = live and r.state == "SUCCEEDED"
-                cause = None if ok else ("no open run for the job id" if not live
-                                         else f"run ended in state {r.state}")
-                out.append((str(key[0]), pd.Timestamp(int(r.at_us), unit="us"), r.state,
-                            run[0] if live else None, pd.Timestamp(run[1], unit="us") if live else None,
-                            "Success" if ok else "Fail", cause))
-        if run is not None:
-            self.run.update(run)
+        runs = sorted((int(us), token) for token, us in self.runs.get()) if len(done) and self.runs.exists() else []
+        for r in done.itertuples(index=False):
+            i = bisect.bisect_right(runs, int(r.at_us), key=lambda x: x[0])
+            started, token = runs[i - 1] if i else (None, None)
+            live = started is not None and r.at_us // _US <= started // _US + self.ttl_us // _US
+            ok = live and r.state == "SUCCEEDED"
+            cause = None if ok else ("no open run for the job id" if not live else f"run ended in state {r.state}")
+            out.append((str(key[0]), pd.Timestamp(int(r.at_us), unit="us"), r.state, token if live else None,
+                        pd.Timestamp(started, unit="us") if live else None, "Success" if ok else "Fail", cause))
         if out:
             yield pd.DataFrame(out, columns=["job_id", "completed_at", "state", "task_token", "started_at",
                                              "result", "cause"])

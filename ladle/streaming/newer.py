@@ -1,52 +1,21 @@
 """Act only on events strictly newer than everything seen for the key.
 
 Batch twin of the keyed state: a row is kept when its time is greater
-than the maximum time of all rows of the same key that arrived before it.
-
-A window ``max(ts) over (partition by key order by arrival)`` would hand a
-whole key to one task.  This is a segmented prefix-max instead:
-
-1. cut each key's arrival order into chunks of about ``chunk_rows`` rows:
-   the chunk width is the key's arrival span times ``chunk_rows / size``
-   (key sizes and spans come from one partial aggregation), or a fixed
-   ``chunk_seconds`` when given;
-2. running max inside (key, chunk) -- a window over one chunk only;
-3. per-(key, chunk) maxima -> carry = max over the earlier chunks, a
-   window over the small chunk table;
-4. join the carry back (size-checked broadcast: the rows are not shuffled
-   for it when the chunk table is small).
+than the maximum time of all rows of the same key that arrived before it
+(``positions.max_before``: chunks of the arrival order by sampled ranges, so
+neither a hot key nor a burst of arrivals meets in one task).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.functions.time import epoch_micros
-from ladle.operators.joins import attach_checked
-from ladle.operators.positions import DEFAULT_CHUNK_ROWS
+from ladle.operators.positions import DEFAULT_CHUNK_ROWS, ROW_ID, max_before, with_row_id
 
 
 def newer_only(df: DataFrame, key: str, ts: str, arrival: str, tiebreak: str | None = None,
-               chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_seconds: int | None = None) -> DataFrame:
-    order = [F.col(arrival)] + ([F.col(tiebreak)] if tiebreak else [])
-    x = df.withColumn("__us", epoch_micros(df, arrival))
-    if chunk_seconds:
-        x = x.withColumn("__chunk", F.floor(F.col("__us") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    else:
-        span = x.groupBy(key).agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
-                                  F.count(F.lit(1)).alias("__n"))
-        width = F.greatest(F.lit(1.0), (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
-                           * F.lit(float(chunk_rows)) / F.col("__n").cast("double"))
-        x = (attach_checked(x, span, [key])
-             .withColumn("__chunk", F.floor((F.col("__us") - F.col("__lo")).cast("double") / width).cast("long"))
-             .drop("__lo", "__hi", "__n"))
-    x = x.drop("__us")
-    within = Window.partitionBy(key, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("__prev", F.max(ts).over(within))
-    chunk_max = x.groupBy(key, "__chunk").agg(F.max(ts).alias("__cmax"))
-    before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunk_max.withColumn("__carry", F.max("__cmax").over(before)).drop("__cmax")
-    y = attach_checked(x, carry, [key, "__chunk"])
-    best = F.greatest(F.col("__prev"), F.col("__carry"))  # greatest skips nulls
-    return y.where(best.isNull() | (F.col(ts) > best)).drop("__chunk", "__prev", "__carry")
+               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    order = [F.col(arrival), *([F.col(tiebreak)] if tiebreak else []), F.col(ROW_ID)]
+    x = max_before(with_row_id(df), [key], order, F.col(ts), "__best", chunk_rows)
+    return x.where(F.col("__best").isNull() | (F.col(ts) > F.col("__best"))).drop("__best", ROW_ID)

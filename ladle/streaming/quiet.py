@@ -8,8 +8,9 @@ Batch and replay form (``quiet_sessions``): arrivals are bucketed into
 ``gap``-wide time buckets.  Two arrivals in one bucket are less than
 ``gap`` apart, so a bucket never splits a session: sessions are decided
 on the per-(key, bucket) summary alone.  The raw rows only go through a
-partial aggregation (skew-proof); the ordered window runs over the small
-bucket table.
+partial aggregation (skew-proof); the ordered window of a key runs over its
+buckets, at most time span / gap rows however many arrivals there are
+(about a million per key and year at 30 seconds).
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ DEFAULT_GAP_SECONDS = 60  # fixed value: default quiet period, 1 minute
 MIN_GAP_SECONDS = 30  # fixed value: shortest allowed quiet period
 
 
-def _check_gap(gap_seconds: int) -> None:
+def check_gap(gap_seconds: int) -> None:
     if gap_seconds < MIN_GAP_SECONDS:
         raise ValueError(f"quiet period must be at least {MIN_GAP_SECONDS} s")
 
 
 def quiet_sessions(df: DataFrame, key: str, ts: str, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
     """key, session_start, session_end, n_events, launch_at (= end + gap)."""
-    _check_gap(gap_seconds)
+    check_gap(gap_seconds)
     gap_us = gap_seconds * 1_000_000
     src = df.where(F.col(ts).isNotNull()).withColumn("__us", epoch_micros(df, ts))
     buckets = (src.groupBy(key, F.floor(F.col("__us") / F.lit(gap_us)).cast("long").alias("__b"))
@@ -55,7 +56,7 @@ def quiet_sessions_stream(df: DataFrame, key: str, ts: str, gap_seconds: int = D
     (the batch form: strictly more than ``gap``); they differ only for
     arrivals exactly ``gap`` apart.
     """
-    _check_gap(gap_seconds)
+    check_gap(gap_seconds)
     t = F.col(ts).cast("timestamp")
     src = df.withColumn("__ts", t).withWatermark("__ts", watermark or f"{gap_seconds} seconds")
     return (src.groupBy(F.col(key), F.session_window("__ts", f"{gap_seconds} seconds").alias("__s"))

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ladle.plans.catalog import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -29,15 +30,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF_SMALL)
     cols = sorted(sdf.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
-    rel = duck.execute(E.oracle_sql()[name])
+    rel = duck.execute(ORACLES[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(dcols) == cols
     idx = [dcols.index(c) for c in cols]

@@ -31,7 +31,7 @@ def test_two_level_envelope_and_rejects(spark):
     rj = rejects(recs).collect()
     assert len(rj) == 1 and rj[0].batch == 2 and "s3" in rj[0].reject_reason
     got = {r.batch: (r.watching_key, r.latest_event_time, r.n_records) for r in key_and_latest(recs, ["batch"]).collect()}
-    assert got == {1: ("bucket-a;bucket-b", "2024-01-01T00:00:09.000Z", 3)}
+    assert got == {1: ("bucket-a;bucket-b", "2024-01-01T00:00:09.000000Z", 3)}
 
 
 def _events(spark, n=400, seed=1):
@@ -54,7 +54,7 @@ def test_newer_only_matches_brute_force(spark):
         if k not in best or ts > best[k]:
             keep.add(i)
         best[k] = max(best.get(k, ts), ts)
-    got = {r.id for r in newer_only(df, "k", "ts", "arr", tiebreak="id", chunk_seconds=600).collect()}
+    got = {r.id for r in newer_only(df, "k", "ts", "arr", tiebreak="id").collect()}
     assert got == keep
     adaptive = {r.id for r in newer_only(df, "k", "ts", "arr", tiebreak="id", chunk_rows=13).collect()}
     assert adaptive == keep
@@ -83,9 +83,9 @@ def test_quiet_sessions_match_brute_force(spark):
 
 def test_quiet_period_minimum():
     import pytest
-    from ladle.streaming.quiet import _check_gap
+    from ladle.streaming.quiet import check_gap
     with pytest.raises(ValueError):
-        _check_gap(10)
+        check_gap(10)
 
 
 def test_ledger_expiry_is_seven_days_and_last_write_wins(spark):
@@ -102,12 +102,12 @@ def test_ledger_expiry_is_seven_days_and_last_write_wins(spark):
         (4, "job-2", t0 + dt.timedelta(days=2), "FAILED")],
         "completion_id int, job_id string, completed_at timestamp_ntz, state string")
     res = {r.completion_id: (r.result, r.task_token, r.cause)
-           for r in match_completions(comps, build_ledger(starts)).collect()}
+           for r in match_completions(comps, starts).collect()}
     assert res[1] == ("Success", "tok-b", None)
     assert res[2][0] == "Fail" and res[2][1] is None
     assert res[3][0] == "Fail"
     assert res[4] == ("Fail", "tok-c", "run ended in state FAILED")
-    assert sorted(r.completion_id for r in orphan_completions(comps, build_ledger(starts)).collect()) == [2, 3]
+    assert sorted(r.completion_id for r in orphan_completions(comps, starts).collect()) == [2, 3]
 
 
 def test_single_flight_batch_matches_greedy(spark):

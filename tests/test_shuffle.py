@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ladle.operators.positions import positions_within, uniform_from_long
+from ladle.operators.positions import CHUNK, chunked, positions_within
 from ladle.operators.randomize import shuffle_rows
 
 
@@ -18,8 +18,7 @@ def _skewed(spark, n=3000):
 def test_positions_match_row_number(spark):
     df = _skewed(spark)
     h = F.xxhash64(F.lit(5), F.col("id"))
-    mine = positions_within(df.withColumn("h", h), ["g"], uniform_from_long(F.col("h")), [F.col("h"), F.col("id")],
-                            "pos", chunk_rows=50)
+    mine = positions_within(df.withColumn("h", h), ["g"], [F.col("h"), F.col("id")], "pos", chunk_rows=50)
     ref = df.withColumn("h", h).withColumn(
         "pos", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")) - 1)
     a = sorted((r.id, r.pos) for r in mine.select("id", "pos").collect())
