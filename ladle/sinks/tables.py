@@ -20,13 +20,13 @@ def write_batch(df: DataFrame, table: str, batch_id: str, location: str | None =
     after its append, or is replayed, leaves each row once.
     """
     spark = df.sparkSession
-    df = df.withColumn("batch_id", F.lit(batch_id))
     if not spark.catalog.tableExists(table):
-        w = df.write.format("parquet").partitionBy("batch_id")
+        w = df.withColumn("batch_id", F.lit(batch_id)).write.format("parquet").partitionBy("batch_id")
         (w.option("path", location) if location else w).saveAsTable(table)
         return
-    df = _aligned(df, table)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    rows = _aligned(df.withColumn("batch_id", F.lit(batch_id)), table).drop("batch_id")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = :batch) SELECT * FROM {{rows}}".replace(
+        ":batch", "'" + batch_id.replace("'", "") + "'"), rows=rows)
 
 
 def _aligned(df: DataFrame, table: str) -> DataFrame:

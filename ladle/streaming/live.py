@@ -213,8 +213,9 @@ LEDGER_OUT_SCHEMA = ("job_id string, completed_at timestamp, state string, task_
 
 class RunLedger(StatefulProcessor):
     """E7 + J1/J2 on one keyed stream: rows are run starts and completions
-    for a ``job_id``.  A start adds (token, start time) to the job's list in
-    state, each with a time-to-live; a completion takes the last run
+    for a ``job_id``.  A start adds (token, start time) to the job's runs in
+    state, which have a time-to-live and drop out once they are older than
+    it by event time; a completion takes the last run
     started by its time (ties: the greatest token) and emits one outcome,
     like the batch form.  A completion after the expiry, or with no such
     run in this or an earlier micro-batch, is a failure, as is a run that
@@ -225,17 +226,22 @@ class RunLedger(StatefulProcessor):
         self.ttl_ms = ttl_days * 86400 * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.runs = handle.getListState("runs", "task_token string, started_us long", ttlDurationMs=self.ttl_ms)
+        self.runs = handle.getValueState("runs", "tokens array<string>, started_us array<long>", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _all(rows)
         pdf = pdf[pdf["at"].notna()].assign(at_us=lambda x: _epoch_us(x["at"]))
-        new = [(r.task_token, int(r.at_us)) for r in pdf[pdf["kind"] == "start"].itertuples(index=False)]
-        if new:
-            self.runs.appendList(new)
-        done = pdf[pdf["kind"] != "start"].sort_values("at_us", kind="stable")
+        if not len(pdf):
+            return
+        tokens, times = self.runs.get() if self.runs.exists() else ([], [])
+        start = pdf["kind"] == "start"
+        runs = sorted({*zip(map(int, times), tokens), *zip(map(int, pdf["at_us"][start]), pdf["task_token"][start])})
+        if start.any():
+            since = int(pdf["at_us"].max()) - self.ttl_us - _US
+            kept = runs[bisect.bisect_left(runs, since, key=lambda x: x[0]):]
+            self.runs.update(([token for _, token in kept], [us for us, _ in kept]))
+        done = pdf[~start].sort_values("at_us", kind="stable")
         out = []
-        runs = sorted((int(us), token) for token, us in self.runs.get()) if len(done) and self.runs.exists() else []
         for r in done.itertuples(index=False):
             i = bisect.bisect_right(runs, int(r.at_us), key=lambda x: x[0])
             started, token = runs[i - 1] if i else (None, None)

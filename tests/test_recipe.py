@@ -183,8 +183,8 @@ def test_size_checked_join_both_paths(spark):
     from ladle.operators.joins import attach_checked
     big = spark.createDataFrame([(i % 5 if i % 7 else None, i) for i in range(200)], "k int, v int")
     table = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    small = attach_checked(big, table, ["k"], max_rows=1000)
-    large = attach_checked(big, table, ["k"], max_rows=2)
+    small = attach_checked(big, table, ["k"], max_bytes=1 << 20)
+    large = attach_checked(big, table, ["k"], max_bytes=1)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     a = sorted((r.k if r.k is not None else -1, r.v, r.n) for r in small.collect())
     b = sorted((r.k if r.k is not None else -1, r.v, r.n) for r in large.collect())

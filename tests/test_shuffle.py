@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ladle.operators.positions import CHUNK, chunked, positions_within
+from ladle.operators.positions import positions_within
 from ladle.operators.randomize import shuffle_rows
 
 

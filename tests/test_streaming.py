@@ -106,7 +106,7 @@ def test_connector_end_to_end(spark):
         "maskSymbol": "#", "sourceColumns": "[\"email\"]", "stop": "5"}}}])
     name = os.path.basename(root).replace("-", "_")
     c = Connector(spark, f"{root}/inbound/", f"ladle_conn.t_{name}", f"ladle_conn.o_{name}", f"{root}/_ckpt",
-                  recipe=recipe, ctx=RecipeContext(), table_location=f"{root}/transform/t", gap_seconds=2)
+                  recipe=recipe, ctx=RecipeContext(), table_location=f"{root}/transform/t", gap_seconds=2, short_gaps=True)
     q = c.start(trigger={"processingTime": "1 second"})
     deadline = time.time() + 40
     while time.time() < deadline and not spark.catalog.tableExists(c.outcomes_table):
