@@ -137,13 +137,19 @@ def hidden(m: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> np.ndar
     return np.tanh(h, out=h)
 
 
-def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities (in place) and log of the normalizer."""
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z - max) in place, its sum, and the log of the normalizer."""
     top = z.max(axis=1, keepdims=True)
     z -= top
     np.exp(z, out=z)
     s = z.sum(axis=1, keepdims=True)
-    return z, (np.log(s) + top)[:, 0]
+    return s, (np.log(s) + top)[:, 0]
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Probabilities, in place."""
+    z /= _exp(z)[0]
+    return z
 
 
 def log_probs(m: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -152,14 +158,14 @@ def log_probs(m: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> np.n
     cls, member = np.divmod(ids[at], MEMBERS)
     z = h @ m["class_w"] + m["class_b"]
     own = z[np.arange(len(at)), cls]
-    out = own - _softmax(z)[1]
+    out = own - _exp(z)[1]
     order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     for c in np.flatnonzero(np.diff(cuts)):
         rows = order[cuts[c]:cuts[c + 1]]
         z = h[rows] @ m["member_w"][c] + m["member_b"][c]
         own = z[np.arange(len(rows)), member[rows]]
-        out[rows] += own - _softmax(z)[1]
+        out[rows] += own - _exp(z)[1]
     return out
 
 
@@ -169,7 +175,7 @@ def train_step(flat: np.ndarray, seen: np.ndarray, ids: np.ndarray, at: np.ndarr
     g, n = unpack(grad), len(at)
     h = hidden(m, ids, at)
     cls, member = np.divmod(ids[at], MEMBERS)
-    p, _ = _softmax(h @ m["class_w"] + m["class_b"])
+    p = _softmax(h @ m["class_w"] + m["class_b"])
     p[np.arange(n), cls] -= 1
     g["class_w"][:], g["class_b"][:] = h.T @ p, p.sum(axis=0)
     dh = p @ m["class_w"].T
@@ -177,7 +183,7 @@ def train_step(flat: np.ndarray, seen: np.ndarray, ids: np.ndarray, at: np.ndarr
     cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     for c in np.flatnonzero(np.diff(cuts)):
         rows = order[cuts[c]:cuts[c + 1]]
-        p, _ = _softmax(h[rows] @ m["member_w"][c] + m["member_b"][c])
+        p = _softmax(h[rows] @ m["member_w"][c] + m["member_b"][c])
         p[np.arange(len(rows)), member[rows]] -= 1
         g["member_w"][c], g["member_b"][c] = h[rows].T @ p, p.sum(axis=0)
         dh[rows] += p @ m["member_w"][c].T

@@ -1,0 +1,80 @@
+import gzip
+import hashlib
+import random
+
+import pytest
+
+from ladle.llm import warc
+from ladle.llm.queries import QUERIES
+from llm_rows import SF_SMALL
+
+SCHEMA = "page_id long, url string, html string"
+BIG = "same page " * 200
+NOISE = "".join(random.Random(1).choices("abcdefghij", k=20_000_000))  # a member of more than 16 MiB before compression
+
+
+def pages(spark):
+    rows = [(1, "http://a/", BIG), (2, "http://b/\r\nX: y", BIG), (9, None, BIG), (None, "http://c/", BIG), (3, "u", None), (4, "u", ""),
+            (5, "u", "short"), (6, "u", "short"), (7, "ü", "é" * 600), (8, "u", "é" * 600), (8, "u", "é" * 600), (20, "u", NOISE)]
+    return rows, spark.createDataFrame(rows, SCHEMA).withColumnRenamed("url", "url").repartition(3)
+
+
+def test_round_trip(spark, tmp_path):
+    rows, df = pages(spark)
+    warc.write_warc(df, str(tmp_path / "w"), file_bytes=1 << 20)
+    got = warc.read_warc(spark, str(tmp_path / "w"), keep_payload=True).collect()
+    last = {}
+    for k, _, h in rows:
+        data = (h or "").encode()
+        if len(data) >= 1000 and k is not None:
+            last[data] = max(last.get(data, k), k)
+    want = []
+    for k, u, h in rows:
+        data = (h or "").encode()
+        ref = last[data] if data in last and last[data] != k else None
+        want.append((k, len(data), hashlib.sha1(data).hexdigest(), "response" if ref is None else "revisit", ref,
+                     data if ref is None else None))
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to,
+                    None if r.payload is None else bytes(r.payload)) for r in got), key=lambda r: repr(r[:5])) == sorted(
+        want, key=lambda r: repr(r[:5]))
+    assert {r.url for r in got if r.page_id == 2} == {"http://b/X: y"}
+
+
+def test_files_are_plain_gzip_members(spark, tmp_path):
+    df = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    warc.write_warc(df, str(tmp_path / "w"))
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "w").iterdir() if p.name.startswith("part-"))
+    assert text.count(b"WARC/1.1\r\n") == df.count()
+    assert QUERIES["op9_warc"](spark, SF_SMALL).count() == df.count()
+
+
+def test_empty_table(spark, tmp_path):
+    warc.write_warc(pages(spark)[1].limit(0), str(tmp_path / "w"))
+    assert warc.read_warc(spark, str(tmp_path / "w")).count() == 0
+
+
+def one(**change):
+    data = warc.record(1, "u", b"payload", None, hashlib.sha1(b"payload").digest())
+    for a, b in change.get("swap", []):
+        assert a in data
+        data = data.replace(a, b)
+    return warc.gzip_member(data)
+
+
+def short():
+    data = warc.record(1, "u", b"payload", None, hashlib.sha1(b"payload").digest())
+    size = len(data) - data.find(b"\r\n\r\n") - 8
+    return warc.gzip_member(data.replace(b"Content-Length: %d" % size, b"Content-Length: %d" % (size - 1)))
+
+
+def read(data):
+    return [warc.read_record(p) for p in warc.members(memoryview(data))]
+
+
+def test_damage_is_reported():
+    good = one()
+    assert [r[3] for r in read(good + b"\0" + good)] == [b"payload"] * 2
+    for bad in (good[:-9], good[:30] + b"\x55" + good[31:], one(swap=[(b"\r\n\r\npayload", b"\r\n\r\npayloaD")]),
+                short(), b"no gzip at all"):
+        with pytest.raises(warc.WarcError):
+            read(bad)
