@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             s.add_argument("--outcomes", required=True)
             s.add_argument("--checkpoint", required=True)
             s.add_argument("--quiet-seconds", type=float, default=60)
+            s.add_argument("--max-files", type=int, default=30, help="files taken in per trigger; more wait for the next")
     args = p.parse_args(argv)
     spark = spark or build_session()
     if args.cmd == "run":
@@ -65,7 +66,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from ladle.streaming.connector import Connector
     c = Connector(spark, args.landing, args.table, args.outcomes, args.checkpoint,
                   recipe=load_recipe(spark, args.recipe), ctx=_ctx(args), fmt=args.format,
-                  upload_type=args.upload_type, table_location=args.table_location, gap_seconds=args.quiet_seconds)
+                  upload_type=args.upload_type, table_location=args.table_location, gap_seconds=args.quiet_seconds,
+                  max_files_per_trigger=args.max_files)
     c.start().awaitTermination()
     return 0
 

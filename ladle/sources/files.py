@@ -169,8 +169,3 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
 
 def _named(df: DataFrame, fmt: str, column_names: list[str] | None) -> DataFrame:
     return df.toDF(*column_names) if column_names and fmt == "CSV" else df
-
-
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the file each row came from (prefix filters: ``startswith``)."""
-    return df.withColumn("source_file", F.col("_metadata.file_path"))

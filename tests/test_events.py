@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from ladle.streaming.envelope import accepted, key_and_latest, rejects, unpack_messages
-from ladle.streaming.ledger import build_ledger, match_completions, orphan_completions
+from ladle.streaming.ledger import build_ledger, live_ledger, match_completions, orphan_completions
 from ladle.streaming.newer import newer_only
 from ladle.streaming.quiet import quiet_sessions
 
@@ -95,6 +95,8 @@ def test_ledger_expiry_is_seven_days_and_last_write_wins(spark):
     led = {r.job_id: r for r in build_ledger(starts).collect()}
     assert led["job-1"].task_token == "tok-b"
     assert led["job-2"].exp_timestamp - int(t0.replace(tzinfo=dt.timezone.utc).timestamp()) == 7 * 86400
+    now = F.lit(t0 + dt.timedelta(days=7, minutes=30)).cast("timestamp_ntz")
+    assert [r.job_id for r in live_ledger(build_ledger(starts), now).collect()] == ["job-1"]
     comps = spark.createDataFrame([
         (1, "job-1", t0 + dt.timedelta(days=1), "SUCCEEDED"),
         (2, "job-2", t0 + dt.timedelta(days=8), "SUCCEEDED"),   # expired
