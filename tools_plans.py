@@ -4,7 +4,7 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from ladle.plans.catalog import QUERIES  # noqa: E402
 from ladle.session import build_session  # noqa: E402
 
 
@@ -27,10 +27,15 @@ def main(sf_dir="/root/testdata/sf0.01"):
              "sort-merge join to a broadcast join, coalesce partitions or split skewed ones at run time). "
              "Look for `partial_` aggregates before each `Exchange`, `PushedFilters`, and `ReadSchema` with only "
              "the used columns.\n"]
-    for name, fn in E.queries().items():
+    sc = spark.sparkContext
+    for name, fn in QUERIES.items():
+        sc.setJobGroup(name, name)
         df = fn(spark, sf_dir)
+        eager = len(sc.statusTracker().getJobIdsForGroup(name))
+        sc.setLocalProperty("spark.jobGroup.id", None)
         plan = df._jdf.queryExecution().executedPlan().toString()
-        parts.append(f"## {name}\n\n```\n{compact(plan)}\n```\n")
+        jobs = f"Jobs while the plan is built (materialized inputs, measured tables, landing files): {eager}.\n\n" if eager else ""
+        parts.append(f"## {name}\n\n{jobs}```\n{compact(plan)}\n```\n")
     with open("PLANS.md", "w") as f:
         f.write("\n".join(parts))
 
