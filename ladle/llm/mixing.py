@@ -150,8 +150,14 @@ def _decided(docs: DataFrame, seed: int, weights: tuple[int, ...], share: float,
              source: str, weight: str | None, narrow: bool) -> DataFrame:
     own = {"source": F.col(source).cast("string"), "size": words(text), "id": F.col(key),
            "weight": F.col(weight).cast("double") if weight else F.lit(1.0), "u": uniform(F.col(key), seed),
-           "b": tie_break(F.col(key), F.col(text), F.monotonically_increasing_id())}
+           "b": tie_break(F.col(key), F.col(text), *([F.monotonically_increasing_id()] if narrow else []))}
     sized = saved(docs.select(*[c.alias(k) for k, c in own.items()]), "sized")
+    columns = docs.columns
+    if not narrow and sized.groupBy("b").count().where("count > 1").take(1):
+        # rows that repeat id and text: number them, in a copy that is written once, so each can decide for itself
+        docs = saved(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "numbered")
+        own["b"] = tie_break(F.col(key), F.col(text), F.col("__mix_row"))
+        sized = saved(docs.select(*[c.alias(k) for k, c in own.items()]), "sized")
     goals = saved(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, limit), "targets")
     grades = saved(_copies(sized, goals, limit), "copies")
     need = grades.groupBy("source").agg((F.max("target") - F.sum(F.col("whole") * F.col("s"))).alias("need"))
@@ -162,7 +168,7 @@ def _decided(docs: DataFrame, seed: int, weights: tuple[int, ...], share: float,
         big, names = ranked, {k: k for k in ("source", "weight", "a", "b")}
     else:  # the documents themselves: the same decisions, taken again row by row
         names = {k: f"__mix_{k}" for k in ("source", "weight", "a", "b", "u")}
-        big = docs.select("*", *[own[k].alias(names[k]) for k in ("source", "weight", "b", "u")])
+        big = docs.select(*columns, *[own[k].alias(names[k]) for k in ("source", "weight", "b", "u")])
         grade = grade.toDF(names["source"], names["weight"], "__mix_whole", "__mix_p")
         big = attach_small(big, grade, [names["source"], names["weight"]])
         big = big.withColumn(names["a"], pareto_rank(F.col(names["u"]), F.col("__mix_p")))
@@ -188,9 +194,8 @@ def mix(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, s
         key: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None) -> DataFrame:
     """The mixture: ``docs`` rows, each as often as it is taken.
 
-    ``docs`` is read twice; it must be a scan or another plan whose
-    partitions come out alike each time (repeated rows are told apart by
-    their place in it).
+    ``docs`` is read twice, and written once more if rows repeat both id
+    and text.
     """
     d = _decided(docs, seed, weights, share, limit, key, text, source, weight, narrow=False)
     return (d.where("__copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))

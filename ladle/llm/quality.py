@@ -22,8 +22,8 @@ Labels: at most ``LABEL_ROWS`` labelled rows are used, by a hash of the id
 all documents.  The k-th largest key is found by histograms, not by a sort.
 
 Defined cases: null or empty texts have no n-gram and are rejected; null ids have no label; an id with several labels counts as bad
-if one is; repeated rows are scored each, and the noise depends on id, text
-and place; without good labels
+if one is; the noise depends on id and text, so rows that repeat both are
+kept or rejected together; without good labels
 all ratios, tau and odds are 0 (nothing with a token is rejected), without bad
 ones tau is the lowest good score;
 other columns are kept by ``keep_good`` and ignored by ``scores``.
@@ -87,8 +87,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFr
     good = (F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) == 0)
     known = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("lid"))
              .agg(good.cast("int").alias("cls")).orderBy(F.xxhash64("lid", F.lit(SEED))).limit(LABEL_ROWS))
-    d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"),
-                    tie_break(F.col(key), F.col(text), F.monotonically_increasing_id()).alias("b"))
+    d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), tie_break(F.col(key), F.col(text)).alias("b"))
     return d.join(F.broadcast(saved(known, "labels")), F.col("id") == F.col("lid"), "left").select(
         "id", "t", "b", F.coalesce("cls", F.lit(UNKNOWN)).alias("cls"))
 
@@ -187,7 +186,8 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     ranked = keyed.withColumn("a", a).withColumn("all", F.lit("all"))
     k = keyed.where("n_grams > 0 and weight >= 0").count()
     need = docs.sparkSession.createDataFrame([("all", float(k))], "all string, need double")
-    at = cut(ranked.where("n_grams > 0").select("all", "a", "b", F.lit(1).alias("size")), need, key="all").first()
+    once = ranked.where("n_grams > 0").groupBy("all", "a", "b").agg(F.count(F.lit(1)).alias("size"))  # repeated rows as one
+    at = cut(once, need, key="all").first()
     inside = F.lit(False) if at is None or not k else (F.col("n_grams") > 0) & (
         (F.col("a") < at.cut_a) | ((F.col("a") == at.cut_a) & (F.col("b") <= at.cut_b)))
     return ranked.select(F.col("id").alias(key), "n_grams", "log_ratio", "weight", "sample_key", (~inside).alias("rejected"), "b")
@@ -196,11 +196,11 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rejected rows; only ids and tie-breaks of rejected rows are joined."""
     s = scores(docs, labels, key, text)
-    out = saved(s.where("rejected").select(F.col(key).cast("long").alias("__id"), F.col("b").alias("__b")), "rejected")
+    out = saved(s.where("rejected").select(F.col(key).cast("long").alias("__id"), F.col("b").alias("__b")).distinct(), "rejected")
     if not (n := out.count()):
         return docs
     side = F.broadcast(out) if n <= BROADCAST_ROWS else out
-    own = tie_break(F.col(key), F.col(text), F.monotonically_increasing_id())
+    own = tie_break(F.col(key), F.col(text))
     return (docs.withColumn("__tie", own).join(side, F.col(key).cast("long").eqNullSafe(F.col("__id")) & (
         F.col("__tie") == F.col("__b")), "left_anti").select(*docs.columns))
 
