@@ -747,14 +747,14 @@ def land_csv_mixed_headers(spark, sf):
 # ---------------------------------------------------------------- S3
 @query("land_json_document", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def land_json_document(spark, sf):
-    """JSON documents over many lines, one array per file, written by as many tasks."""
+    """JSON documents over many lines, one array of at most 1,000 rows per file."""
     from ladle.sources.files import PUSH_PREFIX, read_inbound
     root = f"{_landing(spark)}/{PUSH_PREFIX}"
     src = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     one = F.to_json(F.struct(*src.columns), {"pretty": "true"})
-    doc = src.groupBy((F.col("c_custkey") % 64).alias("file")).agg(F.concat(
+    doc = src.groupBy(F.floor(F.col("c_custkey") / 1000).alias("file")).agg(F.concat(
         F.lit("["), F.concat_ws(",\n", F.collect_list(one)), F.lit("]")).alias("value"))
-    doc.repartition(64, "file").select("value").write.option("maxRecordsPerFile", 1).text(root)
+    doc.select("value").write.option("maxRecordsPerFile", 1).text(root)
     return read_inbound(spark, root, "JSON", "Incremental", schema=src.schema)
 
 
