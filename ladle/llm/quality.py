@@ -49,7 +49,7 @@ LABEL_ROWS = 200_000
 TEMPERATURE = 0.25
 BACKOFF = 0.05
 SEED = 42
-MEMO = 500_000
+MEMO = 150_000
 GRID = 2_000  # bins of the mean log ratio from -10 to 10
 TOKEN = regex.compile(r"\w+|[^\w\s]+")
 

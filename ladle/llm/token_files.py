@@ -46,9 +46,9 @@ from ladle.llm.common import saved, text_or_empty, total_bytes
 
 MAGIC = b"LADLTOK1"
 TRAILER = "<8sQQQBB"  # magic, docs, tokens, index bytes, id bytes, zero
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 FLUSH_BYTES = 4 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 # ---- text -> ids ------------------------------------------------------------
 
