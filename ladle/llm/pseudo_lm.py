@@ -7,7 +7,15 @@ score is the sum of the conditional log-probabilities of all its tokens.
 Tokens are lower-cased words: the most frequent ones by counts over the whole
 corpus, and hash buckets for all others.  The output is a softmax in two
 steps, first the token's class (of neighbouring frequency ranks), then the
-token in its class; its biases start at the corpus frequencies.
+token in its class; its biases start at the corpus frequencies.  A word in a
+bucket has besides its own probability within the bucket, ``n / (N + 1)`` for
+``n`` of the bucket's ``N`` tokens; words that the corpus lacks share the one
+part left over by their spelling (``257 ** -(bytes + 1)`` each).  So every word has its own
+probability, and those of all words sum to at most one.
+
+Texts are written once as token numbers.  Words in buckets are numbered within
+chunks of rows; one equi-join of the chunks' distinct words with the word
+counts gives their probabilities, which go back to the chunk's rows.
 
 Training covers all documents: in every round each partition trains on its
 own documents, starting from the common weights, with every
@@ -25,10 +33,11 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +56,8 @@ STEP_TOKENS = 4096
 RATE = 0.1
 BATCH_TOKENS = 1 << 16
 COUNTER_WORDS = 300_000
+CHUNK_WORDS = 300_000
+PACKED_ROWS = 1 << 19
 BLOCK = 4096
 SPREAD = 16
 SEED = 42
@@ -80,9 +91,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def vocabulary(texts: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n) of every word of the corpus, written once."""
+    return saved(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(texts: DataFrame, words: DataFrame | None = None) -> tuple[dict[bytes, int], np.ndarray]:
     """Known words by number, and the corpus count of every token number."""
-    words = saved(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    words = word_counts(texts) if words is None else words
     top = words.orderBy(F.col("n").desc(), "word").limit(KNOWN).collect()
     known = {bytes(r.word): i for i, r in enumerate(top)}
     counts = np.zeros(TOKENS)
@@ -94,6 +110,60 @@ def vocabulary(texts: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
     return known, counts
 
 
+# ---- texts as numbers -------------------------------------------------------
+
+_CODED = "chunk long, id long, tokens binary, odd binary, at long, word binary"
+
+
+def _coder(known: dict[bytes, int]):
+    """Rows of texts (token numbers, and the places of their bucket words in the chunk's list), and the lists' words."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        own: dict[bytes, int] = {}
+
+        def out(chunks, ids, tokens, odd, at, words) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(chunks, pa.int64()), ids, pa.array(tokens, pa.binary()), pa.array(odd, pa.binary()),
+                 pa.array(at, pa.int64()), pa.array(words, pa.binary())], ["chunk", "id", "tokens", "odd", "at", "word"])
+
+        def listed() -> pa.RecordBatch:
+            n = len(own)
+            rows = out(np.full(n, chunk), pa.nulls(n, pa.int64()), [None] * n, [None] * n, np.arange(n), list(own))
+            own.clear()
+            return rows
+
+        for b in batches:
+            chunks, tokens, odd = [], [], []
+            for k, t in enumerate(b.column(1)):
+                words = split(t.as_py())
+                chunks.append(chunk)
+                tokens.append(numbers(words, known).astype(np.uint16).tobytes())
+                odd.append(np.array([own.setdefault(w, len(own)) for w in words if w not in known], np.uint32).tobytes())
+                if len(own) > CHUNK_WORDS:
+                    yield listed()
+                    chunk += 1
+            n = len(chunks)
+            yield out(chunks, b.column(0), tokens, odd, pa.nulls(n, pa.int64()), [None] * n)
+        if own:
+            yield listed()
+
+    return work
+
+
+def coded(docs: DataFrame, known: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every text as token numbers and the chunks' words (rows with a word), written once."""
+    d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    return saved(d.mapInArrow(_coder(known), _CODED), "token-numbers")
+
+
+def word_log_probs(words: DataFrame, counts: DataFrame, sizes: np.ndarray) -> DataFrame:
+    """``words`` with ``lp``, the log-probability of the word in its bucket; ``sizes`` has the corpus count of every token number."""
+    left = F.element_at(F.array(*[F.lit(float(np.log(max(n, 0) + 1))) for n in sizes[KNOWN:]]),
+                        (F.crc32("word") % HASHED + 1).cast("int"))
+    spelled = -(F.octet_length("word") + 1) * F.lit(float(np.log(257)))
+    return words.join(counts, "word", "left").withColumn("lp", F.coalesce(F.ln("n"), spelled) - left).drop("n")
+
+
 # ---- network ----------------------------------------------------------------
 
 SHAPES = {"embed": (2 * SIDE, TOKENS + 1, HIDDEN), "bias": (HIDDEN,), "class_w": (HIDDEN, CLASSES), "class_b": (CLASSES,),
@@ -198,7 +268,11 @@ def train_step(flat: np.ndarray, seen: np.ndarray, ids: np.ndarray, at: np.ndarr
 
 # ---- training over the corpus -----------------------------------------------
 
-def _trainer(known: dict[bytes, int], start: np.ndarray, turn: int):
+def _tokens(cell: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), np.uint16).astype(np.int64)
+
+
+def _trainer(read: Callable[[pa.Scalar], np.ndarray], start: np.ndarray, turn: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen, done, salt = start.copy(), np.full(SIZE, 1e-4, np.float32), 0, 0
         held: list[np.ndarray] = []
@@ -214,7 +288,7 @@ def _trainer(known: dict[bytes, int], start: np.ndarray, turn: int):
 
         for b in batches:
             for t in b.column(0):
-                x = numbers(split(t.as_py()), known)
+                x = read(t)
                 held.append(x)
                 size += len(x)
                 salt = zlib.crc32(x[:64].tobytes(), salt)
@@ -252,9 +326,17 @@ _WEIGHTS = "block long, salt long, n long, weights binary"
 
 
 def train(texts: DataFrame, known: dict[bytes, int], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    return _rounds(texts, lambda t: numbers(split(t.as_py()), known), counts, rounds)
+
+
+def train_coded(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    return _rounds(rows.where("word is null").select("tokens"), _tokens, counts, rounds)
+
+
+def _rounds(rows: DataFrame, read: Callable[[pa.Scalar], np.ndarray], counts: np.ndarray, rounds: int) -> np.ndarray:
     flat = initial(counts)
     for turn in range(rounds):
-        parts = texts.mapInArrow(_trainer(known, flat, turn), _WEIGHTS)
+        parts = rows.mapInArrow(_trainer(read, flat, turn), _WEIGHTS)
         some = parts.repartition("block", "salt").mapInArrow(_sum_blocks, _WEIGHTS).withColumn("salt", F.lit(0).cast("long"))
         got = some.repartition("block").mapInArrow(_sum_blocks, _WEIGHTS).orderBy("block").collect()
         if got:
@@ -262,26 +344,31 @@ def train(texts: DataFrame, known: dict[bytes, int], counts: np.ndarray, rounds:
     return flat
 
 
+def _sums(m: dict[str, np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of tokens and summed log-probability of every document."""
+    sizes = np.array([len(x) for x in docs], np.int64)
+    sums = np.zeros(len(docs))
+    start = 0
+    while start < len(docs):
+        end, held = start, 0
+        while end < len(docs) and (held == 0 or held + sizes[end] <= BATCH_TOKENS):
+            held += sizes[end]
+            end += 1
+        if held:
+            ids, at = joined(docs[start:end])
+            lp = np.concatenate([log_probs(m, ids, at[s:s + STEP_TOKENS]) for s in range(0, len(at), STEP_TOKENS)])
+            whose = np.repeat(np.arange(start, end), sizes[start:end])
+            sums += np.bincount(whose, weights=lp, minlength=len(docs))
+        start = end
+    return sizes, sums
+
+
 def score(docs: DataFrame, known: dict[bytes, int], flat: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_tokens, log_likelihood and its mean per token, of every row."""
+    """id, n_tokens, log_likelihood and its mean per token, of every row, from the network alone (buckets as tokens)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = unpack(flat)
         for b in batches:
-            docs_ = [numbers(split(t.as_py()), known) for t in b.column(1)]
-            sizes = np.array([len(x) for x in docs_], np.int64)
-            sums = np.zeros(len(docs_))
-            start = 0
-            while start < len(docs_):
-                end, held = start, 0
-                while end < len(docs_) and (held == 0 or held + sizes[end] <= BATCH_TOKENS):
-                    held += sizes[end]
-                    end += 1
-                if held:
-                    ids, at = joined(docs_[start:end])
-                    lp = np.concatenate([log_probs(m, ids, at[s:s + BATCH_TOKENS]) for s in range(0, len(at), BATCH_TOKENS)])
-                    whose = np.repeat(np.arange(start, end), sizes[start:end])
-                    sums += np.bincount(whose, weights=lp, minlength=len(docs_))
-                start = end
+            sizes, sums = _sums(m, [numbers(split(t.as_py()), known) for t in b.column(1)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(sums),
                                               pa.array(sums / np.maximum(sizes, 1))],
                                              ["id", "n_tokens", "log_likelihood", "mean_log_prob"])
@@ -290,7 +377,89 @@ def score(docs: DataFrame, known: dict[bytes, int], flat: np.ndarray, key: str =
     return d.mapInArrow(work, "id long, n_tokens long, log_likelihood double, mean_log_prob double").withColumnRenamed("id", key)
 
 
+_PARTS = "chunk long, kind int, id long, n_tokens long, log_likelihood double, odd binary, lp binary"
+
+
+def _parts(chunk, kind: int, n: int, **own) -> pa.RecordBatch:
+    """Rows of ``_PARTS``; columns not given are null."""
+    kinds = {"id": pa.int64(), "n_tokens": pa.int64(), "log_likelihood": pa.float64(), "odd": pa.binary(), "lp": pa.binary()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(chunk, pa.int64()), pa.array([kind] * n, pa.int32()),
+         *[own[k] if k in own else pa.nulls(n, t) for k, t in kinds.items()]], ["chunk", "kind", *kinds])
+
+
+def _networked(flat: np.ndarray):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = unpack(flat)
+        for b in batches:
+            sizes, sums = _sums(m, [_tokens(t) for t in b.column(2)])
+            yield _parts(b.column(0), 1, len(sizes), id=b.column(1), n_tokens=pa.array(sizes), log_likelihood=pa.array(sums),
+                         odd=b.column(3))
+
+    return work
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, at, lp) rows as one row per chunk and some hundred thousand rows: places, then log-probabilities."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        chunk, at, lp = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(chunk, kind="stable")
+        chunk, at, lp = chunk[order], at[order], lp[order]
+        names, starts = np.unique(chunk, return_index=True)
+        ends = [*starts[1:], len(chunk)]
+        held.clear()
+        return _parts(names, 0, len(names),
+                      odd=pa.array([at[a:b].astype(np.uint32).tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                      lp=pa.array([lp[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()))
+
+    for b in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+        size += b.num_rows
+        if size >= PACKED_ROWS:
+            yield out()
+            size = 0
+    if size:
+        yield out()
+
+
+def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores of the rows; a chunk's words come before its rows."""
+    now, table = None, np.zeros(0)
+    for b in batches:
+        ids, sizes, sums = [], [], []
+        for chunk, kind, id_, n, total, odd, lp in zip(*[c.to_pylist() for c in b.columns]):
+            if chunk != now:
+                now, table = chunk, np.zeros(0)
+            at = np.frombuffer(odd, np.uint32)
+            if kind == 0:
+                if at.max() >= len(table):
+                    table = np.concatenate([table, np.zeros(int(at.max()) + 1 + len(table))])
+                table[at] = np.frombuffer(lp, np.float64)
+            else:
+                ids.append(id_)
+                sizes.append(n)
+                sums.append(total + float(table[at].sum()))
+        n = np.array(sizes, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(n), pa.array(sums, pa.float64()),
+             pa.array(np.array(sums, np.float64) / np.maximum(n, 1))], ["id", "n_tokens", "log_likelihood", "mean_log_prob"])
+
+
+def score_words(rows: DataFrame, words: DataFrame, counts: np.ndarray, flat: np.ndarray, key: str = "doc_id") -> DataFrame:
+    """As ``score``, over ``coded`` rows, with every word's probability in its bucket."""
+    nets = rows.where("word is null").select("chunk", "id", "tokens", "odd").mapInArrow(_networked(flat), _PARTS)
+    lps = word_log_probs(rows.where("word is not null").select("chunk", "at", "word"), words, counts).select("chunk", "at", "lp")
+    both = nets.union(lps.mapInArrow(_packed, _PARTS)).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return both.mapInArrow(_with_words, "id long, n_tokens long, log_likelihood double, mean_log_prob double"
+                           ).withColumnRenamed("id", key)
+
+
 def train_and_score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     texts = docs.select(F.col(text).alias("t"))
-    known, counts = vocabulary(texts)
-    return score(docs, known, train(texts, known, counts), key, text)
+    words = word_counts(texts)
+    known, counts = vocabulary(texts, words)
+    rows = coded(docs, known, key, text)
+    return score_words(rows, words, counts, train_coded(rows, counts), key)

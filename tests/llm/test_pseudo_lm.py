@@ -1,5 +1,7 @@
 import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -94,3 +96,30 @@ def test_odd_rows(spark, make):
     assert all(r.log_likelihood < 0 for r in got if r.n_tokens)
     assert lm.train_and_score(make(ODD).limit(0)).count() == 0
     assert QUERIES["op5_pseudo_likelihood"](spark, SF_SMALL).count() == 200
+
+
+def test_words_in_one_bucket_have_their_own_probability(spark, make, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_WORDS", 50)
+    common = [f"w{i:04}" for i in range(lm.KNOWN)]
+    often = next(w for w in (f"often{i}" for i in range(9999)) if zlib.crc32(w.encode()) % lm.HASHED == 7)
+    rare = next(w for w in (f"rare{i}" for i in range(9999)) if zlib.crc32(w.encode()) % lm.HASHED == 7)
+    rows = [(i, " ".join(common)) for i in range(6)] + [(10 + i, f"w0001 {often} w0002") for i in range(5)] + [(20, f"w0001 {rare} w0002")]
+    rows += [(30 + i, " ".join(f"x{i}y{j}" for j in range(40))) for i in range(4)]
+    got = {r.doc_id: r for r in lm.train_and_score(make(rows)).collect()}
+    assert len(got) == len(rows)
+    assert got[10].log_likelihood - got[20].log_likelihood == pytest.approx(math.log(5), abs=1e-3)
+
+    texts = make(rows).selectExpr("text as t")
+    words = lm.word_counts(texts)
+    known, counts = lm.vocabulary(texts, words)
+    flat = lm.initial(counts)
+    docs = make(rows + [(99, f"w0001 unseen-{rare}")])
+    net = {r.doc_id: r for r in lm.score(docs, known, flat).collect()}
+    full = {r.doc_id: r for r in lm.score_words(lm.coded(docs, known), words, counts, flat).collect()}
+    n = Counter(w for _, t in rows for w in lm.split(t))
+    for k, t in rows + [(99, f"w0001 unseen-{rare}")]:
+        odd = [w for w in lm.split(t) if w not in known]
+        want = sum((math.log(n[w]) if w in n else -(len(w) + 1) * math.log(257)) - math.log(counts[lm.KNOWN + zlib.crc32(w) % lm.HASHED] + 1)
+                   for w in odd)
+        assert full[k].n_tokens == net[k].n_tokens
+        assert full[k].log_likelihood == pytest.approx(net[k].log_likelihood + want, rel=1e-4)
