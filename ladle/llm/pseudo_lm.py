@@ -17,10 +17,11 @@ Texts are written once as token numbers.  Words in buckets are numbered within
 chunks of rows; one equi-join of the chunks' distinct words with the word
 counts gives their probabilities, which go back to the chunk's rows.
 
-Training covers all documents: in every round each partition trains on its
-own documents, starting from the common weights, with every
-``MASK_EVERY``-th token masked (a different one each round), and the weights
-are averaged by the number of tokens.  The partitions' weights are summed
+Training covers every token of all documents once: in every round each
+partition trains on its own documents, starting from the common weights, with
+every ``MASK_EVERY``-th token masked at a time.  The rounds share the
+``MASK_EVERY`` offsets among them, so over all rounds each token is masked in
+exactly one step.  The weights are averaged by the number of tokens.  The partitions' weights are summed
 in Spark in two steps by block of weights, so neither a task nor the driver
 receives more than a few models; the driver holds one.
 
@@ -259,8 +260,10 @@ def train_step(flat: np.ndarray, seen: np.ndarray, ids: np.ndarray, at: np.ndarr
         dh[rows] += p @ m["member_w"][c].T
     dz = dh * (1 - h * h)
     g["bias"][:] = dz.sum(axis=0)
+    columns = np.arange(HIDDEN)
     for k, o in enumerate(OFFSETS):
-        np.add.at(g["embed"][k], ids[at + o], dz)
+        cells = (ids[at + o] * HIDDEN)[:, None] + columns
+        g["embed"][k] = np.bincount(cells.ravel(), dz.ravel(), (TOKENS + 1) * HIDDEN).reshape(TOKENS + 1, HIDDEN)
     grad /= n
     seen += grad * grad
     flat -= RATE * grad / (np.sqrt(seen) + 1e-6)
@@ -272,7 +275,13 @@ def _tokens(cell: pa.Scalar) -> np.ndarray:
     return np.frombuffer(cell.as_buffer(), np.uint16).astype(np.int64)
 
 
-def _trainer(read: Callable[[pa.Scalar], np.ndarray], start: np.ndarray, turn: int):
+def masked(n: int, turn: int, rounds: int) -> Iterator[np.ndarray]:
+    """The masked ones of ``n`` tokens, one offset after the other, in round ``turn``; all rounds together mask each once."""
+    for offset in range(turn, MASK_EVERY, rounds):
+        yield np.arange(offset, n, MASK_EVERY)
+
+
+def _trainer(read: Callable[[pa.Scalar], np.ndarray], start: np.ndarray, turn: int, rounds: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen, done, salt = start.copy(), np.full(SIZE, 1e-4, np.float32), 0, 0
         held: list[np.ndarray] = []
@@ -281,10 +290,11 @@ def _trainer(read: Callable[[pa.Scalar], np.ndarray], start: np.ndarray, turn: i
         def learn() -> None:
             nonlocal done, held, size
             ids, at = joined(held)
-            at = at[(np.arange(len(at)) + turn) % MASK_EVERY == 0]
-            for s in range(0, len(at), STEP_TOKENS):
-                train_step(flat, seen, ids, at[s:s + STEP_TOKENS])
-            done, held, size = done + len(at), [], 0
+            for places in masked(len(at), turn, rounds):
+                for s in range(0, len(places), STEP_TOKENS):
+                    train_step(flat, seen, ids, at[places[s:s + STEP_TOKENS]])
+                done += len(places)
+            held, size = [], 0
 
         for b in batches:
             for t in b.column(0):
@@ -336,7 +346,7 @@ def train_coded(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> np
 def _rounds(rows: DataFrame, read: Callable[[pa.Scalar], np.ndarray], counts: np.ndarray, rounds: int) -> np.ndarray:
     flat = initial(counts)
     for turn in range(rounds):
-        parts = rows.mapInArrow(_trainer(read, flat, turn), _WEIGHTS)
+        parts = rows.mapInArrow(_trainer(read, flat, turn % MASK_EVERY, min(rounds, MASK_EVERY)), _WEIGHTS)
         some = parts.repartition("block", "salt").mapInArrow(_sum_blocks, _WEIGHTS).withColumn("salt", F.lit(0).cast("long"))
         got = some.repartition("block").mapInArrow(_sum_blocks, _WEIGHTS).orderBy("block").collect()
         if got:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ladle.llm import pseudo_lm as lm
@@ -123,3 +124,17 @@ def test_words_in_one_bucket_have_their_own_probability(spark, make, monkeypatch
                    for w in odd)
         assert full[k].n_tokens == net[k].n_tokens
         assert full[k].log_likelihood == pytest.approx(net[k].log_likelihood + want, rel=1e-4)
+
+
+def test_every_token_is_masked_once(spark, make, monkeypatch):
+    for n, rounds in ((1, 2), (7, 2), (100, 2), (100, 1), (33, 8), (5, 3)):
+        places = np.concatenate([p for turn in range(rounds) for p in lm.masked(n, turn, rounds)])
+        assert sorted(places) == list(range(n))
+    seen = []
+    monkeypatch.setattr(lm, "train_step", lambda flat, squares, ids, at: seen.extend(ids[at]))
+    known = {b"w%d" % i: i for i in range(50)}
+    text = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{i}" for i in range(50)), "w1 w2", None])], ["t"])
+    for turn in range(lm.ROUNDS):
+        for _ in lm._trainer(lambda t: lm.numbers(lm.split(t.as_py()), known), lm.initial(np.ones(lm.TOKENS)), turn, lm.ROUNDS)(iter([text])):
+            pass
+    assert sorted(seen) == sorted([*range(50), 1, 2])
