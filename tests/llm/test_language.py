@@ -32,3 +32,21 @@ def test_odd_rows(spark, make):
     assert {(1, "und"), (2, "und"), (3, "und"), (8, "en"), (9, "en")} <= got
     assert lg.learn_and_identify(make(ODD).limit(0)).count() == 0
     assert {r.lang_pred for r in lg.learn_and_identify(make([(1, "abc", None)])).collect()} == {"und"}
+
+
+def test_every_part_of_a_long_text_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    contents = lg.dictionaries(docs.where(~lg.held_out("doc_id")), "text", "lang")
+    by_lang = {}
+    for r in docs.where(lg.held_out("doc_id")).select("lang", "text").collect():
+        by_lang.setdefault(r.lang, []).append(r.text or "")
+    texts = {k: " ".join(v) for k, v in by_lang.items()}
+    long = {k: (t * (1 + 1_000_000 // len(t)))[:1_000_000] for k, t in texts.items()}
+    classify = lg.Classifier(contents)
+    for lang in contents:
+        if lang != "en":
+            for parts in ((long[lang][:100_000], long["en"]), (long["en"], long[lang][:100_000])):
+                assert classify(" ".join(parts))[0] == "en"
+        got = classify(long[lang])
+        assert got[0] == lang and got[2] >= lg.MIN_MARGIN
+    assert b"".join(lg.pieces(b"ab " * 9999)) == b"ab " * 9999 and max(map(len, lg.pieces(b"ab " * 9999))) <= lg.PIECE_BYTES
