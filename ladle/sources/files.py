@@ -11,7 +11,10 @@ the prefix) and ``Incremental`` (every file under the prefix).
 from __future__ import annotations
 
 import csv
+import io
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -83,32 +86,62 @@ def latest_file(spark: SparkSession, prefix: str) -> str | None:
 MAX_HEADERS = 1000
 
 
-def header_lines(spark: SparkSession, paths: str | list[str]) -> list[str]:
+def header_lines(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> list[str]:
     """The distinct first lines of the files (few; at most ``MAX_HEADERS`` reach the driver).
 
     Only a file's first split can hold its first line, and one task reads
-    that split in order, so ``first`` is the first line.
+    that split in order, so ``first`` is the first line.  With ``multi_line``
+    a line break in quotes does not end the header.
     """
     lines = (spark.read.option("recursiveFileLookup", True).text(paths)
              .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")))
-    heads = (lines.where(F.col("start") == 0).groupBy("file").agg(F.first("value").alias("head"))
-             .select("head").distinct().limit(MAX_HEADERS + 1).collect())
+    firsts = lines.where(F.col("start") == 0)
+    if multi_line:
+        heads = firsts.select("file", "value").mapInArrow(_first_records, "head string")
+    else:
+        heads = firsts.groupBy("file").agg(F.first("value").alias("head")).select("head")
+    heads = heads.distinct().limit(MAX_HEADERS + 1).collect()
     if len(heads) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} different header lines")
     return sorted(r["head"] for r in heads)
 
 
+def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, line) rows in order -> the first record of each file: its first line, and further ones while a quote is open."""
+    now, head, done = None, "", True
+    for b in batches:
+        out = []
+        for file, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if file != now:
+                if not done:
+                    out.append(head)
+                now, head, done = file, line, False
+            elif not done:
+                head += "\n" + line
+            if not done and head.count('"') % 2 == 0:
+                out.append(head)
+                done = True
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["head"])
+    if not done:
+        yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], ["head"])
+
+
 def _header_names(line: str) -> list[str]:
-    return next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+    return next(csv.reader(io.StringIO(line.lstrip("\ufeff").rstrip("\r"), newline="")), [])
 
 
 def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: list[str], multi_line: bool) -> DataFrame:
     """CSV files whose headers differ in order or columns -> the union of their columns by name.
 
     One scan without headers; each row is mapped by its file's header, which
-    is the row of the file that equals it.  Columns a file lacks are null.
+    is the row of the file that equals it.  Columns a file lacks are null.  A
+    column without a name is ``_c`` and its place, as Spark names it.  A file
+    with rows but no header row raises an error.
     """
-    layouts = [_header_names(h) for h in heads]
+    # of two that differ in empty cells at the end the wider one holds; a blank line is no header
+    layouts = sorted((names for names in map(_header_names, heads) if any(names)), key=len)
+    if not layouts:
+        raise ValueError("no file has a header row")
     width = max(map(len, layouts))
     own = [f"_c{i}" for i in range(width)]
     raw = (_reader(spark, "CSV", ", ".join(f"{c} string" for c in own), multi_line=multi_line)
@@ -116,9 +149,9 @@ def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: list
     raw = raw.select("*", F.col("_metadata.file_path").alias("__file"))
 
     def is_header(names: list[str]):
-        cells = F.array(*[F.col(c) for c in own])
-        want = F.array(*[F.lit(n) for n in names], *[F.lit(None).cast("string")] * (width - len(names)))
-        return cells == want  # null cells are equal to null cells in arrays
+        # the reader gives null for an empty cell
+        cells = F.array(*[F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n?", "\n") for c in own])
+        return cells == F.array(*[F.lit(n) for n in names], *[F.lit("")] * (width - len(names)))
 
     layout = F.lit(None).cast("int")
     for i, names in enumerate(layouts):
@@ -126,6 +159,9 @@ def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: list
     tagged = raw.withColumn("__layout", layout)
     files = tagged.where("__layout is not null").groupBy("__file").agg(F.min("__layout").alias("__of"))
     rows = attach_checked(tagged.where("__layout is null"), files, ["__file"])
+    lost = F.raise_error(F.concat(F.lit("no header row found in "), F.col("__file"))).cast("boolean")
+    rows = rows.where(F.when(F.col("__of").isNull(), lost).otherwise(True))
+    layouts = [[n or f"_c{i}" for i, n in enumerate(names)] for names in layouts]
     columns = list(dict.fromkeys(n for names in layouts for n in names))
 
     def value(name: str):
@@ -160,7 +196,7 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
         return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).load(newest), fmt, column_names)
     paths = path if files is None else [f for f in files if not f.endswith("/" + PLACEHOLDER_OBJECT)]
     if fmt == "CsvWithHeaderRow" and schema is None and not same_header:
-        heads = header_lines(spark, paths)
+        heads = header_lines(spark, paths, multi_line)
         if len({tuple(_header_names(h)) for h in heads}) > 1:
             return _read_mixed_headers(spark, paths, heads, multi_line)
     return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).option("recursiveFileLookup", True).load(paths),

@@ -325,3 +325,19 @@ def test_latest_event_time_is_the_latest_instant(spark):
     rows = [(1, t, "b", "k", None) for t in ("2024-01-01T00:00:00Z", "2024-01-01T00:00:00.500Z", "2024-01-01T01:00:00+02:00")]
     df = spark.createDataFrame(rows, "batch int, event_time string, bucket string, object_key string, reject_reason string")
     assert key_and_latest(df, ["batch"]).first().latest_event_time == "2024-01-01T00:00:00.500000Z"
+
+
+def test_csv_headers_with_empty_cells_and_line_breaks(spark):
+    root = _folder(spark, "csv-odd")
+    _write(f"{root}/in/a.csv", "id,email\r\n1,a@x.com\r\n")
+    _write(f"{root}/in/b.csv", "email,id,\r\nb@x.com,2,\r\nc@x.com,3,more\r\n")
+    _write(f"{root}/in/c.csv", "id,email,\r\n4,d@x.com,last\r\n")
+    got = read_inbound(spark, f"{root}/in/").select("id", "email", "_c2").collect()
+    assert sorted(map(tuple, got)) == [("1", "a@x.com", None), ("2", "b@x.com", None), ("3", "c@x.com", "more"), ("4", "d@x.com", "last")]
+    _write(f"{root}/lines/a.csv", 'id,"full\r\nname"\r\n1,"x\r\ny"\r\n')
+    _write(f"{root}/lines/b.csv", 'note,id,"full\nname"\nn,2,z\n')
+    got = read_inbound(spark, f"{root}/lines/", multi_line=True).select("id", "full\nname", "note").collect()
+    assert sorted((r.id, r[1].replace("\r", ""), r.note) for r in got) == [("1", "x\ny", None), ("2", "z", "n")]
+    _write(f"{root}/in/d.csv", "\r\nid,other\r\n9,z\r\n,\r\n")
+    with pytest.raises(Exception, match="no header row found"):
+        read_inbound(spark, f"{root}/in/").count()
