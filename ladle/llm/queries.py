@@ -10,6 +10,7 @@ from ladle.llm.oracles import ORACLES  # noqa: F401
 from ladle.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path() -> str:
@@ -18,6 +19,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def byte_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(BYTE_TOKENIZER)
+
+
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladle.llm.token_files import read_token_files, write_token_files
 
@@ -90,6 +97,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.packing import pack_pieces
+
+    return pack_pieces(table(spark, sf_dir, "documents"), byte_tokenizer_path(), with_ids=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,5 +120,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
