@@ -97,6 +97,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.conversations import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations")), copies="copies")
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladle.llm.packing import pack_pieces
 
@@ -120,6 +126,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op12_conversations": op12_conversations,
     "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
