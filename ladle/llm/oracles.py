@@ -50,4 +50,92 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to FROM g
 """
 
-ORACLES = {"op4_decontaminate": OP4, "op6_pareto_mix": OP6, "op9_warc": OP9}
+OP11 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, e.vec_id, e.label, list_dot_product(a.v, e.v)::BIGINT AS score
+      FROM e AS a JOIN e ON e.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+def _edit(state: str, cost: str, letter: str, turn: str | None = None) -> str:
+    turns = f"({state}).t" if turn is None else f"list_append(({state}).t, {turn})"
+    return f"{{'c': ({state}).c + {cost}, 'a': ({state}).a || '{letter}', 't': {turns}}}"
+
+
+def _least(*states: str) -> str:
+    return f"list_sort([{', '.join(states)}])[1]"
+
+
+def _op12() -> str:
+    """States z (nothing yet), s, u, a hold (cost, audit, repaired turns); u1 and a1 are u and a with inserts added."""
+    free = "NOT gone AND"
+    stay = "role || ':' || text"
+    far = "{'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]}"
+    key = "coalesce({}::VARCHAR, ' ')"
+    return rf"""
+WITH RECURSIVE f AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295::BIGINT],
+               list_transform(string_split({key.format('conv_id')} || ':' || {key.format('turn')}, ''), lambda x: ord(x)::BIGINT)),
+             lambda h, b: list_reduce(list_concat([xor(h, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+               lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS fault
+  FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM f WHERE fault <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+             NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS late,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) || substr(role, 1, 1) AS pair
+      FROM d),
+n AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+             count(*) FILTER (NOT blank AND NOT again AND late) AS truncated,
+             count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+q AS (SELECT conv_id, i, role, text, substr(role, 1, 1) AS k, blank OR again AS gone, late::INT AS x FROM r),
+w AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS z, {far} AS s, {far} AS u, {far} AS a
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i,
+         {_edit('z', '3', 'D')},
+         CASE WHEN {free} k = 's' THEN {_least(_edit('s', '3', 'D'), _edit('z', 'x', 'K', stay))} ELSE {_edit('s', '3', 'D')} END,
+         CASE WHEN gone THEN {_edit('u1', '3', 'D')}
+              WHEN k = 'u' THEN {_least(_edit('u1', '3', 'D'), *[_edit(p, 'x + 2', 'R', "'user:' || text") for p in ('z', 's', 'a1')],
+                                        *[_edit(p, 'x', 'K', stay) for p in ('z', 's', 'a1')])}
+              ELSE {_least(_edit('u1', '3', 'D'), *[_edit(p, 'x + 2', 'R', "'user:' || text") for p in ('z', 's', 'a1')])} END,
+         CASE WHEN gone THEN {_edit('a1', '3', 'D')}
+              WHEN k = 'a' THEN {_least(_edit('a1', '3', 'D'), _edit('u1', 'x + 2', 'R', "'assistant:' || text"),
+                                        _edit('u1', 'x', 'K', stay))}
+              ELSE {_least(_edit('a1', '3', 'D'), _edit('u1', 'x + 2', 'R', "'assistant:' || text"))} END
+  FROM (SELECT w.conv_id, q.i, role, text, k, gone, x, z, s, u1, {_least('a', _edit('u1', '2', 'I', "'assistant:'"))} AS a1
+        FROM (SELECT *, {_least('u', *[_edit(p, '2', 'I', "'user:'") for p in ('z', 's', 'a')])} AS u1 FROM w) AS w
+        JOIN q ON q.conv_id IS NOT DISTINCT FROM w.conv_id AND q.i = w.i + 1) AS step(conv_id, i, role, text, k, gone, x, z, s, u1, a1)),
+e AS (SELECT w.conv_id, n.* EXCLUDE (conv_id), {_least('z', 'a', _edit('u', '2', 'I', "'assistant:'"),
+                                    _edit(_edit('s', '2', 'I', "'user:'"), '2', 'I', "'assistant:'"))} AS best
+      FROM w LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id WHERE w.i = coalesce(n.n, 0))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(array_to_string(best.t, chr(10))) AS repaired_sha256 FROM e
+"""
+
+
+OP12 = _op12()
+
+ORACLES = {"op4_decontaminate": OP4, "op6_pareto_mix": OP6, "op9_warc": OP9, "op11_hard_negatives": OP11,
+           "op12_conversations": OP12}

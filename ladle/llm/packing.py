@@ -92,7 +92,8 @@ class ByteEncoder:
         self.special = [t["content"] for t in cfg["added_tokens"]]
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.letters = _byte_letters()
+        self.letters = _byte_letters()  # by byte, which is the code of its Latin-1 character
+        self.model, self.blank = self.tok.model, self.letters[32]
         self.chunks, self.pieces = Memo(self._after_blank), Memo(self._piece)
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -102,7 +103,7 @@ class ByteEncoder:
         return out.tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return self._pack([t.id for t in self.tok.model.tokenize("".join([self.letters[b] for b in piece.encode()]))])
+        return self._pack([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
 
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
@@ -114,12 +115,17 @@ class ByteEncoder:
 
     def _after_blank(self, chunk: str) -> bytes:
         """Ids of a blank and ``chunk``; the word that the chunk begins with is remembered by itself."""
+        if chunk.isascii() and chunk.isalpha():
+            return self._pack([t.id for t in self.model.tokenize(self.blank + chunk)])
         word = _WORD.match(chunk)
-        if not word or not _PLAIN.fullmatch(chunk):
+        if not word:
             return self._chunk(" " + chunk)
-        if word.end() == len(chunk):
+        tail = chunk[word.end():]
+        if not tail:
             return self._piece(" " + chunk)
-        return self.chunks[word.group()] + self._chunk(chunk[word.end():])
+        if not _PLAIN.fullmatch(tail):
+            return self._whole(" " + chunk)
+        return self.chunks[word.group()] + (self.pieces[tail] if len(tail) == 1 else self._chunk(tail))
 
     def __call__(self, text: str) -> bytes:
         if not self.by_chunk or any(s in text for s in self.special):

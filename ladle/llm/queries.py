@@ -97,6 +97,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.negatives import mine, usable
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(usable(moved), F.col("id") % 100 == 0)
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladle.llm.conversations import damage, repair
 
@@ -126,6 +134,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_conversations": op12_conversations,
     "op13_packing": op13_packing,
     "pipeline": pipeline,

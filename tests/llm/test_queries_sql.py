@@ -15,7 +15,7 @@ def _norm(v):
 @pytest.mark.parametrize("sf_dir", [SF_SMALL, "/root/testdata/sf0.01"])
 def test_query_matches_sql(spark, name, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = QUERIES[name](spark, sf_dir)
     got = sorted((tuple(_norm(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
@@ -27,4 +27,4 @@ def test_query_matches_sql(spark, name, sf_dir):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
