@@ -55,8 +55,9 @@ from ladle.llm.token_files import Memo, _byte_letters
 CAPACITY = 1024
 GROUP_DOCS = 256
 GROUP_IDS = 4 << 20
-CACHE_CHUNKS = 400_000
-CACHE_PIECES = 40_000
+#: Chunks remembered, and how many of them may hold other characters than letters: words come back more often.
+CACHE_CHUNKS = 800_000
+CACHE_MIXED = 200_000
 TASK_SHIFT = 36
 
 # ---- text -> ids ------------------------------------------------------------
@@ -94,7 +95,7 @@ class ByteEncoder:
         self.code = "H" if self.dtype == "<u2" else "I"
         self.letters = _byte_letters()  # by byte, which is the code of its Latin-1 character
         self.model, self.blank = self.tok.model, self.letters[32]
-        self.chunks, self.pieces = Memo(self._after_blank), Memo(self._piece)
+        self.chunks, self.mixed, self.pieces = Memo(self._after_blank), [], Memo(self._piece)
 
     def _pack(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
@@ -114,26 +115,32 @@ class ByteEncoder:
         return b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk)))
 
     def _after_blank(self, chunk: str) -> bytes:
-        """Ids of a blank and ``chunk``; the word that the chunk begins with is remembered by itself."""
-        if chunk.isascii() and chunk.isalpha():
-            return self._pack([t.id for t in self.model.tokenize(self.blank + chunk)])
+        """Ids of a blank and ``chunk``; the word that a chunk begins with is remembered by itself."""
         word = _WORD.match(chunk)
-        if not word:
-            return self._chunk(" " + chunk)
-        tail = chunk[word.end():]
-        if not tail:
+        if word and word.end() == len(chunk):
             return self._piece(" " + chunk)
-        if not _PLAIN.fullmatch(tail):
-            return self._whole(" " + chunk)
+        self.mixed.append(chunk)
+        tail = chunk[word.end():] if word else ""
+        if not word or not _PLAIN.fullmatch(tail):
+            return self._chunk(" " + chunk)
         return self.chunks[word.group()] + (self.pieces[tail] if len(tail) == 1 else self._chunk(tail))
 
-    def __call__(self, text: str) -> bytes:
-        if not self.by_chunk or any(s in text for s in self.special):
-            return self._whole(text)
+    def _forget(self) -> None:
+        """Keeps the memos bounded."""
         if len(self.chunks) > CACHE_CHUNKS:
             self.chunks.clear()
-        if len(self.pieces) > CACHE_PIECES:
+            self.mixed.clear()
+        if len(self.mixed) > CACHE_MIXED:
+            for chunk in self.mixed:
+                del self.chunks[chunk]
+            self.mixed.clear()
+        if len(self.pieces) > CACHE_MIXED:
             self.pieces.clear()
+
+    def __call__(self, text: str) -> bytes:
+        if not self.by_chunk or any(s in text for s in self.special):
+            return self._whole(text)
+        self._forget()
         first, *rest = _BLANK.split(text) if _UNEVEN.search(text) else text.split(" ")
         if not first and rest:  # the text begins with a blank
             return b"".join(map(self.chunks.__getitem__, rest))

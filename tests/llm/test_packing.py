@@ -154,8 +154,8 @@ def test_other_tokenizers_encode_whole_texts():
 
 
 def test_memos_are_bounded(monkeypatch):
-    monkeypatch.setattr(pk, "CACHE_CHUNKS", 3)
-    monkeypatch.setattr(pk, "CACHE_PIECES", 2)
+    monkeypatch.setattr(pk, "CACHE_CHUNKS", 9)
+    monkeypatch.setattr(pk, "CACHE_MIXED", 2)
     enc = pk.ByteEncoder(byte_tokenizer_path())
     texts = [f"w{i} and, some {i} more! {i}" for i in range(20)]
     assert [np.frombuffer(enc(t), "<u2").tolist() + [0] for t in texts] == library(texts)
