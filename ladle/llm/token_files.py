@@ -48,7 +48,8 @@ MAGIC = b"LADLTOK1"
 TRAILER = "<8sQQQBB"  # magic, docs, tokens, index bytes, id bytes, zero
 SHARD_BYTES = 16 << 20
 FLUSH_BYTES = 4 << 20
-CACHE_WORDS = 150_000
+CACHE_WORDS = 280_000
+CACHE_PIECES = 46_000
 
 # ---- text -> ids ------------------------------------------------------------
 
@@ -117,13 +118,13 @@ class Encoder:
         return out.tobytes()
 
     def _piece(self, p: str) -> bytes:
-        q = p if p.isascii() else "".join([self.letters[b] for b in p.encode()])
+        q = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
         return self._pack([t.id for t in self.model.tokenize(q)])
 
     def _plain_word(self, w: str) -> bytes:
         """Ids of a lower-cased word of plain characters: its pieces, by the BPE model."""
         if w.isalpha():
-            return self.pieces[w]
+            return self._piece(w)
         return b"".join(map(self.pieces.__getitem__, _PIECE.findall(w)))
 
     def _encode(self, text: str) -> bytes:
@@ -132,7 +133,7 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not self.by_word:
             return self._encode(text)
-        if len(self.words) > CACHE_WORDS or len(self.pieces) > CACHE_WORDS:
+        if len(self.words) > CACHE_WORDS or len(self.pieces) > CACHE_PIECES:
             self.words.clear()
             self.pieces.clear()
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
