@@ -23,7 +23,7 @@ def _ctx(args) -> RecipeContext:
     for item in args.secret or []:
         key_id, _, path = item.partition("=")
         with open(path, "rb") as f:
-            secrets[key_id] = f.read().strip()
+            secrets[key_id] = f.read()  # the whole file: a key may hold any byte
     return RecipeContext(secrets=secrets, seed=args.seed,
                          day_first_when_ambiguous=args.day_first_when_ambiguous)
 

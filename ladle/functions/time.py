@@ -21,14 +21,13 @@ def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+_ISO_FORM = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,9})?(Z|[+-]\d\d:\d\d)?$"
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text -> timestamp (C4): compare parsed times, not strings."""
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")),
-        # a text without a zone is UTC
-        F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")),
-        F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]XXX")),
-    )
+    """ISO-8601 text -> timestamp (C4): compare parsed times, not strings.  A text without a zone is UTC."""
+    zoned = text.endswith("Z") | F.substring(text, -6, 1).isin("+", "-")
+    return F.when(text.rlike(_ISO_FORM), F.when(zoned, text).otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp"))
 
 
 def recipe_pattern(fmt: str) -> tuple[str, bool]:

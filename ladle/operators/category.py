@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators.joins import attach
+from ladle.operators.joins import attach_checked
 from ladle.plans.recipe import RecipeError, step
 
 # Maps up to this many entries are inlined as a map literal in the
@@ -16,7 +16,6 @@ from ladle.plans.recipe import RecipeError, step
 # broadcast hint -- its size is the recipe's own size, known here.  Both
 # work on the same texts, so the result does not depend on the size.
 INLINE_MAP_LIMIT = 1000
-BROADCAST_TOP_X_LIMIT = 100_000
 
 
 def _text(value) -> str | None:
@@ -77,7 +76,7 @@ def map_top_x(df: DataFrame, source: str, target: str, k: int,
               other: str = "Other", delete_other_rows: bool = False) -> DataFrame:
     """Keep the top-``k`` values, map the rest to ``other``."""
     top = top_values(df, source, k).withColumn("__keep", F.lit(True))
-    joined = attach(df, top, [source], broadcast=k <= BROADCAST_TOP_X_LIMIT)  # k rows: a proven bound
+    joined = attach_checked(df, top, [source])  # k values of any length: their bytes are measured
     out = F.when(F.col("__keep"), F.col(source).cast("string")).otherwise(F.lit(other))
     res = joined.withColumn(target, out)
     if delete_other_rows:
@@ -89,7 +88,7 @@ def _added(params: dict, columns: list[str]) -> list[str]:
     return [*columns, params.get("targetColumn") or f"{params['sourceColumn']}_mapped"]
 
 
-@step("CATEGORICAL_MAPPING", writes=_added)
+@step("CATEGORICAL_MAPPING", writes=_added, kinds={"categoryMap": "map", "deleteOtherRows": "flag"})
 def _categorical_step(df, ctx, sourceColumn, targetColumn=None, categoryMap=None, other=None,
                       deleteOtherRows=False, mapType="TEXT", mappingOption=None, topX=None, **_):
     target = targetColumn or f"{sourceColumn}_mapped"

@@ -148,7 +148,7 @@ def _encrypt_step(df, ctx, sourceColumns, kmsKeyArn=None, secretId=None, **_):
     return {c: encrypt(df.sparkSession, F.col(c), key_id, master, False) for c in as_list(sourceColumns)}
 
 
-@step("CRYPTOGRAPHIC_HASH", writes=same_columns)
+@step("CRYPTOGRAPHIC_HASH", writes=same_columns, kinds={"entityTypeFilter": "list"})
 def _hash_step(df, ctx, sourceColumns, secretId, entityTypeFilter=None, **_):
     key = ctx.secret(secretId)
     spark = df.sparkSession

@@ -73,7 +73,7 @@ def mask_date(c: Column, redact: list[str], symbol: str = "#",
     return F.when(c.isNotNull() & valid, out)
 
 
-@step("MASK_DATE", kind="expr", writes=same_columns)
+@step("MASK_DATE", kind="expr", writes=same_columns, kinds={"redact": "list"})
 def _mask_date_step(df, ctx, sourceColumns, redact, maskSymbol="#", **_):
     compat = bool(ctx.day_first_when_ambiguous)
     return {c: mask_date(F.col(c), as_list(redact), maskSymbol, compat, _is_datetime(df, c))

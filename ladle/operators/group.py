@@ -72,7 +72,7 @@ def _leaves(params: dict, columns: list[str]) -> list[str]:
     return [*(as_list(params.get("sourceColumns")) if params.get("useNewDataFrame", True) else columns), *targets]
 
 
-@step("GROUP_BY", reads=_reads, writes=_leaves)
+@step("GROUP_BY", reads=_reads, writes=_leaves, kinds={"groupByAggFunctionOptions": "list", "useNewDataFrame": "flag"})
 def _group_step(df, ctx, sourceColumns, groupByAggFunctionOptions, useNewDataFrame=True, **_):
     keys, opts = as_list(sourceColumns), as_list(groupByAggFunctionOptions)
     if useNewDataFrame:

@@ -31,7 +31,7 @@ def mask_first_n(c: Column, n: int, symbol: str = "#", alphabet: list[str] | Non
     return F.concat(masked, F.substring(text, n + 1, 2147483647))
 
 
-@step("MASK_RANGE", kind="expr", writes=same_columns)
+@step("MASK_RANGE", kind="expr", writes=same_columns, kinds={"alphabet": "list"})
 def _mask_range_step(df, ctx, sourceColumns, maskMode="MASK_FIRST_N", firstN=None, stop=None,
                      maskSymbol="#", alphabet=None, **_):
     if str(maskMode).upper() != "MASK_FIRST_N":

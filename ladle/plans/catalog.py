@@ -101,6 +101,22 @@ def flag_pattern(spark, sf):
                                   targetColumn="event_type_flagged")], _ctx())
 
 
+@query("flag_class_pattern", """
+SELECT event_id, event_type, regexp_matches(event_type, '[ep][a-z]+(or|ase)') AS by_class,
+       regexp_matches(event_type, '(cli|vi)[a-z]{2}') AS by_group,
+       CASE WHEN event_type IN ('error', 'view') THEN event_type ELSE 'True' END AS as_word,
+       CASE WHEN event_type = 'click' THEN 'a click' ELSE '[x]' END AS as_mark FROM events
+""")
+def flag_class_pattern(spark, sf):
+    """Patterns and replacement values that begin like JSON or read like a boolean stay text."""
+    src = table(spark, sf, "events").select("event_id", "event_type")
+    flag = lambda pattern, to: act("FLAG_COLUMN_FROM_PATTERN", pattern=pattern, sourceColumn="event_type", targetColumn=to)
+    mapped = lambda to, other, **m: act("CATEGORICAL_MAPPING", categoryMap=m, other=other, sourceColumn="event_type",
+                                        targetColumn=to, deleteOtherRows="false")
+    return apply_recipe(src, [flag("[ep][a-z]+(or|ase)", "by_class"), flag("(cli|vi)[a-z]{2}", "by_group"),
+                              mapped("as_word", "True", error="error", view="view"), mapped("as_mark", "[x]", click="a click")], _ctx())
+
+
 # ---------------------------------------------------------------- T4 / T5
 _GROUP_OPTS = [
     {"sourceColumnName": "c_custkey", "targetColumnName": "n_customers", "functionName": "COUNT"},
@@ -864,23 +880,4 @@ def arrivals_on_demand(spark, sf):
     return spark.read.table(name)
 
 
-@query("stream_completions", f"""
-WITH s AS (SELECT 'job-' || CAST(event_id AS VARCHAR) AS job_id, md5(CAST(event_id AS VARCHAR)) AS token, ts AS started_at
-           FROM events WHERE event_id % 3 <> 0),
-c AS (SELECT 'job-' || CAST(event_id AS VARCHAR) AS job_id, ts + INTERVAL 1 DAY * (event_id % 10) AS completed_at FROM events)
-SELECT c.job_id, c.completed_at, s.token AS task_token FROM c JOIN s ON c.job_id = s.job_id AND c.completed_at <= s.started_at + INTERVAL 7 DAY
-""")
-def stream_completions(spark, sf):
-    """Completions joined with the runs they finish, stream with stream; matched rows (an unmatched one is
-    given out only once the watermark has passed it, which a finite replay does not reach for the last ones)."""
-    from ladle.streaming.live import completions_with_runs, run_available_now
-    ev = table(spark, sf, "events")
-    job = F.concat(F.lit("job-"), F.col("event_id").cast("string")).alias("job_id")
-    starts = ev.where("event_id % 3 <> 0").select(job, F.md5(F.col("event_id").cast("string")).alias("task_token"),
-                                                  F.col("ts").alias("started_at"))
-    comps = ev.select(job, (F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 10).cast("int"))).alias("completed_at"))
-    s, c = (spark.readStream.schema(d.schema).parquet(_replayed(spark, d)) for d in (starts, comps))
-    name, checkpoint = _stream_table(spark)
-    out = completions_with_runs(c, s).where("task_token is not null").select("job_id", "completed_at", "task_token")
-    run_available_now(out, name, checkpoint)
-    return spark.read.table(name).withColumn("completed_at", F.col("completed_at").cast("timestamp_ntz"))
+from ladle.plans import streams  # noqa: E402,F401  (registers the replays of streams)

@@ -2,7 +2,9 @@
 
 A recipe is a JSON list of ``{"Action": {"Operation": ..., "Parameters":
 {...}}}``.  Every parameter value arrives as a *string*; lists and maps
-are JSON text inside that string.  We decode on the driver, check every
+are JSON text inside that string.  Which parameters these are is part of an
+operation's registration, so a pattern may begin with a bracket and a value
+may be ``True``.  We decode on the driver, check every
 step (operation, parameters, keys, and its columns against those the steps
 before it leave) before the first job, and then fold the steps into one
 DataFrame.  Most of it is lazy; steps that need a first pass over the data
@@ -39,6 +41,12 @@ class _StepDef:
     kind: str  # "expr" or "frame"
     reads: Callable[[dict], list[str]]
     writes: Callable[[dict, list[str]], list[str] | None]
+    kinds: dict[str, str] = field(default_factory=dict)
+
+
+#: Parameters that mean the same in every operation.
+COMMON_KINDS = {"sourceColumns": "list", "groupByColumns": "list"}
+KINDS = ("text", "list", "map", "flag")
 
 
 def _unknown(params: dict, columns: list[str]) -> None:
@@ -54,17 +62,25 @@ def target_column(params: dict, columns: list[str]) -> list[str]:
 
 
 def step(name: str, kind: str = "frame", reads: Callable[[dict], list[str]] | None = None,
-         writes: Callable[[dict, list[str]], list[str] | None] = _unknown):
+         writes: Callable[[dict, list[str]], list[str] | None] = _unknown, kinds: dict[str, str] | None = None):
     """Register ``fn(df, ctx, **params)`` as recipe operation ``name``.
 
+    ``kinds``: how to decode its parameters, by name: ``list`` (JSON list, or
+    one text), ``map`` (JSON object), ``flag`` (true or false).  All others are
+    text and reach ``fn`` as they are written, whatever they begin with.
+
     ``reads``: the columns it needs.  ``writes``: the columns it leaves, from
     its parameters and those before it, so a recipe can be checked without
     running it; None (the default) means only the data can tell, and the
     columns of later steps are checked when they are applied.
     """
 
+    unknown = set((kinds or {}).values()) - set(KINDS)
+    if unknown:
+        raise ValueError(f"unknown kinds {sorted(unknown)}; expected some of {KINDS}")
+
     def deco(fn):
-        _REGISTRY[name] = _StepDef(name, fn, kind, reads or source_columns, writes)
+        _REGISTRY[name] = _StepDef(name, fn, kind, reads or source_columns, writes, {**COMMON_KINDS, **(kinds or {})})
         return fn
 
     return deco
@@ -112,7 +128,9 @@ class Step:
         if not op:
             raise RecipeError(f"step without Operation: {action!r}")
         raw = body.get("Parameters", {}) or {}
-        return Step(op, {k: decode_param(v) for k, v in raw.items()})
+        _load_builtin_steps()
+        kinds = _REGISTRY[op].kinds if op in _REGISTRY else {}  # an unknown operation is refused when checked
+        return Step(op, {k: decode_param(v, kinds.get(k, "text"), f"{op}: {k}") for k, v in raw.items()})
 
 
 @dataclass(frozen=True)
@@ -123,18 +141,25 @@ class Recipe:
         return len(self.steps)
 
 
-def decode_param(value: Any) -> Any:
-    """Decode one string parameter: JSON lists/maps, booleans, else text."""
-    if not isinstance(value, str):
+def decode_param(value: Any, kind: str | None = None, what: str = "parameter") -> Any:
+    """One string parameter by its kind (``step``); without one, by its looks: JSON lists/maps, booleans, else text."""
+    if not isinstance(value, str) or kind == "text":
         return value
     text = value.strip()
-    if text[:1] in "[{":
+    if kind == "flag" or (kind is None and text.lower() in ("true", "false")):
+        if text.lower() not in ("true", "false"):
+            raise RecipeError(f"{what} must be true or false, not {value!r}")
+        return text.lower() == "true"
+    if kind == "map" and not text:
+        return {}
+    if kind == "map" or text[:1] == "[" or (kind is None and text[:1] == "{"):
         try:
-            return json.loads(text)
+            got = json.loads(text)
         except json.JSONDecodeError as err:
-            raise RecipeError(f"bad JSON parameter {value!r}: {err}") from None
-    if text.lower() in ("true", "false"):
-        return text.lower() == "true"
+            raise RecipeError(f"{what}: bad JSON {value!r}: {err}") from None
+        if kind is not None and not isinstance(got, dict if kind == "map" else list):
+            raise RecipeError(f"{what} must be a JSON {'object' if kind == 'map' else 'list'}, not {value!r}")
+        return got
     return value
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ladle.functions.time import iso_from_micros, iso_micros
+from ladle.functions.time import iso_from_micros, iso_micros, parse_iso
 
 # The notification payload schema.
 RECORD_SCHEMA = StructType([
@@ -84,6 +84,22 @@ def key_and_latest(records: DataFrame, batch_cols: list[str]) -> DataFrame:
         F.sum("__n").alias("n_records"))
 
 
+def message_key_and_latest(df: DataFrame, message_col: str = "message", keep: list[str] | None = None) -> DataFrame:
+    """A4 per message, within the row: watching_key, latest (timestamp), n_records.
+
+    The same as ``key_and_latest`` of each message by itself, but without a shuffle or state, so it can stand
+    before stateful steps of a stream.  Messages without a usable record are left out.
+    """
+    m = F.from_json(F.col(message_col), MESSAGE_SCHEMA)
+    bodies = F.transform(F.col("__m.Records"), lambda r: F.coalesce(F.from_json(r["body"], BODY_SCHEMA)["Records"], F.array()))
+    good = F.filter(F.flatten(bodies), lambda r: r["s3"]["bucket"]["arn"].isNotNull() & r["s3"]["object"]["key"].isNotNull()
+                    & r["eventTime"].isNotNull())
+    keyed = df.select(*(keep or []), m.alias("__m")).select(*(keep or []), good.alias("__r")).where(F.size("__r") > 0)
+    return keyed.select(
+        *(keep or []), F.array_join(F.array_sort(F.array_distinct(F.transform("__r", lambda r: r["s3"]["bucket"]["arn"]))), ";").alias("watching_key"),
+        F.array_max(F.transform("__r", lambda r: parse_iso(r["eventTime"]))).alias("latest"), F.size("__r").cast("long").alias("n_records"))
+
+
 def arrivals(spark: SparkSession, path: str, fmt: str = "text", schema: StructType | str | None = None,
              max_files_per_trigger: int | None = 30, min_bytes: int = 1) -> DataFrame:
     """A file stream with each row's source file, its size and time.

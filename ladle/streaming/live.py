@@ -47,6 +47,9 @@ def _all(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 def _epoch_us(s: pd.Series) -> pd.Series:
+    """Microseconds of timestamps; whole numbers are microseconds already."""
+    if pd.api.types.is_integer_dtype(s):
+        return s
     return pd.to_datetime(s, utc=True).astype("int64") // 1000
 
 

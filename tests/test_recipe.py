@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ladle.plans.recipe import RecipeContext, RecipeError, apply_recipe, decode_param, parse_recipe
+from ladle.plans.recipe import step as register_step
 
 SAMPLE_RECIPE = json.dumps([
     {"Action": {"Operation": "FILL_WITH_MOST_FREQUENT", "Parameters": {"sourceColumn": "cc_type"}}},
@@ -53,6 +54,41 @@ def test_decode_param():
     assert decode_param("{\"a\": \"b\"}") == {"a": "b"}
 
 
+def test_parameters_are_decoded_by_kind():
+    step = lambda op, **p: parse_recipe([{"Action": {"Operation": op, "Parameters": p}}]).steps[0].params
+    assert step("FLAG_COLUMN_FROM_PATTERN", pattern="[a-z]+@x", sourceColumn="c", targetColumn="true")["pattern"] == "[a-z]+@x"
+    for text in ("[1]", "{2}", "(x)", "True", "false", " [ ", ""):
+        got = step("CATEGORICAL_MAPPING", sourceColumn="c", categoryMap='{"a": "[b]"}', other=text, deleteOtherRows="TRUE")
+        assert got == {"sourceColumn": "c", "categoryMap": {"a": "[b]"}, "other": text, "deleteOtherRows": True}
+    assert step("MASK_DATE", sourceColumns='["a", "b"]', redact="YEAR", maskSymbol="[") == {
+        "sourceColumns": ["a", "b"], "redact": "YEAR", "maskSymbol": "["}
+    assert step("GROUP_BY", sourceColumns="c", groupByAggFunctionOptions="[]", useNewDataFrame="false")["useNewDataFrame"] is False
+    for op, bad in (("MASK_DATE", {"redact": "[YEAR"}), ("GROUP_BY", {"useNewDataFrame": "maybe"}), ("CATEGORICAL_MAPPING", {"categoryMap": "[1]"}),
+                    ("CATEGORICAL_MAPPING", {"categoryMap": "a"}), ("CATEGORICAL_MAPPING", {"deleteOtherRows": "0"})):
+        with pytest.raises(RecipeError):
+            step(op, **bad)
+    with pytest.raises(ValueError):
+        register_step("X", kinds={"a": "number"})
+
+
+def test_patterns_that_begin_with_a_bracket_run(spark):
+    df = spark.createDataFrame([("ab@x",), ("12",), (None,), ("[x]",)], "c string")
+    recipe = [{"Action": {"Operation": "FLAG_COLUMN_FROM_PATTERN", "Parameters": {"pattern": p, "sourceColumn": "c", "targetColumn": t}}}
+              for p, t in (("[a-z]+@x", "f"), ("(1|2){2}", "g"), ("\\[x\\]", "h"))]
+    assert [tuple(r)[1:] for r in apply_recipe(df, recipe).collect()] == [
+        (True, False, False), (False, True, False), (None, None, None), (False, False, True)]
+
+
+def test_key_files_are_read_whole(tmp_path):
+    from argparse import Namespace
+
+    from ladle.__main__ import _ctx
+    key = b"\n \tkey\x00 \r\n"
+    (tmp_path / "k").write_bytes(key)
+    args = Namespace(secret=[f"id={tmp_path / 'k'}"], seed=1, day_first_when_ambiguous=False)
+    assert _ctx(args).secrets == {"id": key}
+
+
 def test_empty_recipe_is_identity(spark):
     df = spark.createDataFrame(_rows(5), SCHEMA)
     assert apply_recipe(df, None) is df
