@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             s.add_argument("--secret", action="append")
             s.add_argument("--seed", type=int, default=42)
             s.add_argument("--day-first-when-ambiguous", action="store_true")
+        if name == "run":
+            s.add_argument("--manifest", help="table of the files taken in; only new files are read")
         if name == "profile":
             s.add_argument("--report", required=True)
         if name == "watch":
@@ -52,6 +54,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             s.add_argument("--max-files", type=int, default=30, help="files taken in per trigger; more wait for the next")
     args = p.parse_args(argv)
     spark = spark or build_session()
+    if args.cmd == "run" and args.manifest:
+        from ladle.sources.manifest import IncrementalJob
+        job = IncrementalJob(spark, args.landing, args.table, args.manifest, load_recipe(spark, args.recipe), _ctx(args), args.format,
+                             args.table_location)
+        out = job.run()
+        print(json.dumps(out, default=str))
+        return 0 if all(o["state"] == "SUCCEEDED" for o in out) else 1
     if args.cmd == "run":
         from ladle.plans.job import run_recipe_job
         out = run_recipe_job(spark, args.landing, args.table, load_recipe(spark, args.recipe), _ctx(args),

@@ -787,6 +787,44 @@ def land_bulk_newest(spark, sf):
     return read_inbound(spark, root, "CsvWithHeaderRow", "Bulk")
 
 
+# ---------------------------------------------------------------- S6: only what is new
+@query("land_incremental_new", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_acctbal AS VARCHAR) AS c_acctbal, 2::BIGINT AS n_batches FROM customer
+""")
+def land_incremental_new(spark, sf):
+    """Two drops with a run after each and a third run that finds nothing: each run takes only new files, every row stands once."""
+    import uuid
+
+    from ladle.sources.entities import stringify
+    from ladle.sources.files import PUSH_PREFIX
+    from ladle.sources.manifest import IncrementalJob
+    root, name = f"{_landing(spark)}/{PUSH_PREFIX}", f"ladle_out.new_{uuid.uuid4().hex[:12]}"
+    src = stringify(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"))
+    job = IncrementalJob(spark, root, name, f"{name}_files")
+    for odd in (0, 1):
+        src.where(F.col("c_custkey").cast("long") % 2 == odd).write.option("header", True).csv(f"{root}drop{odd}")
+        job.run()
+    job.run()
+    rows = spark.read.table(name)
+    batches = rows.select(F.count_distinct("batch_id").alias("n"))
+    return rows.select("c_custkey", "c_name", "c_acctbal", batches.scalar().alias("n_batches"))
+
+
+# ---------------------------------------------------------------- K6 as a table
+@query("keyed_upsert", """
+SELECT user_id, max(ts) AS ts, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value,
+       arg_max(event_id, (ts, event_id)) AS event_id, 3::BIGINT AS version FROM events GROUP BY user_id
+""")
+def keyed_upsert(spark, sf):
+    """Three overlapping batches into a keyed table, one of them applied twice: the last write of every key."""
+    from ladle.sinks.keyed import KeyedTable
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_type", "value", "event_id")
+    keyed = KeyedTable(spark, f"{_landing(spark)}/keyed", ["user_id"], ["ts", "event_id"], buckets=16)
+    for batch in (2, 0, 1, 0):  # not in order of time
+        version = keyed.upsert(ev.where((F.col("event_id") % 4).isin(batch, batch + 1)), f"batch-{batch}")
+    return keyed.read().withColumn("version", F.lit(version).cast("long"))
+
+
 # ---------------------------------------------------------------- S9 / P1 / K3
 @query("entity_landing", """
 SELECT 'ClickEvent' AS entity, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey
