@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ladle.operators.joins import attach_checked
+from ladle.session import scratch_dir
 
 FORMATS = ("CSV", "CsvWithHeaderRow", "JSON", "JSONMultiLine")
 UPLOAD_TYPES = ("Bulk", "Incremental")
@@ -83,95 +84,95 @@ def latest_file(spark: SparkSession, prefix: str) -> str | None:
     return row["p"] if row else None
 
 
-MAX_HEADERS = 1000
+#: Lines handed to Python at a time where a file's head is looked for.
+HEAD_LINES = 16
 
 
-def header_lines(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> list[str]:
-    """The distinct first lines of the files (few; at most ``MAX_HEADERS`` reach the driver).
+def _head_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose scans put each split into a task of its own and read it in small batches."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if s.conf.isModifiable(k):
+            s.conf.set(k, v)
+    s.conf.set("spark.sql.files.openCostInBytes", s.conf.get("spark.sql.files.maxPartitionBytes"))
+    s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_LINES))
+    return s
 
-    Only a file's first split can hold its first line, and one task reads
-    that split in order, so ``first`` is the first line.  With ``multi_line``
-    a line break in quotes does not end the header.
+
+def file_headers(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
+    """``file`` and ``names`` (the cells of its first record) of every non-empty file; written once.
+
+    A task has one split of a file and stops reading after the first record,
+    or at once when its split is not the file's first.  With ``multi_line`` a
+    line break in quotes does not end the record.  A blank first line is a
+    header without names.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).text(paths)
-             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")))
-    firsts = lines.where(F.col("start") == 0)
-    if multi_line:
-        heads = firsts.select("file", "value").mapInArrow(_first_records, "head string")
-    else:
-        heads = firsts.groupBy("file").agg(F.first("value").alias("head")).select("head")
-    heads = heads.distinct().limit(MAX_HEADERS + 1).collect()
-    if len(heads) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different header lines")
-    return sorted(r["head"] for r in heads)
-
-
-def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(file, line) rows in order -> the first record of each file: its first line, and further ones while a quote is open."""
-    now, head, done = None, "", True
-    for b in batches:
-        out = []
-        for file, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if file != now:
-                if not done:
-                    out.append(head)
-                now, head, done = file, line, False
-            elif not done:
-                head += "\n" + line
-            if not done and head.count('"') % 2 == 0:
-                out.append(head)
-                done = True
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["head"])
-    if not done:
-        yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], ["head"])
-
-
-def _header_names(line: str) -> list[str]:
-    return next(csv.reader(io.StringIO(line.lstrip("\ufeff").rstrip("\r"), newline="")), [])
-
-
-def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: list[str], multi_line: bool) -> DataFrame:
+    path = scratch_dir(spark, "headers")
+    lines = (_head_session(spark).read.option("recursiveFileLookup", True).text(paths)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"))
+    lines.mapInArrow(_first_record(multi_line), "file string, names array<string>").write.parquet(path)
+    return spark.read.schema("file string, names array<string>").parquet(path)
+
+
+def _first_record(multi_line: bool):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for b in batches:
+            for file, start, line in zip(*[c.to_pylist() for c in b.columns]):
+                if start:
+                    return
+                head = line if head is None else f"{head}\n{line}"
+                if not multi_line or head.count('"') % 2 == 0:
+                    yield _header_row(file, head)
+                    return
+        if head is not None:
+            yield _header_row(file, head)
+
+    return work
+
+
+def _header_row(file: str, head: str) -> pa.RecordBatch:
+    names = next(csv.reader(io.StringIO(head.lstrip("\ufeff").rstrip("\r"), newline="")), [])
+    return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([names], pa.list_(pa.string()))], ["file", "names"])
+
+
+def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: DataFrame, multi_line: bool) -> DataFrame:
     """CSV files whose headers differ in order or columns -> the union of their columns by name.
 
-    One scan without headers; each row is mapped by its file's header, which
-    is the row of the file that equals it.  Columns a file lacks are null.  A
-    column without a name is ``_c`` and its place, as Spark names it.  A file
-    with rows but no header row raises an error.
+    One scan: the reader skips each file's first record, whatever it holds, and
+    a row's cells are put in place by its file's header.  Columns a file lacks
+    are null.  A column without a name is ``_c`` and its place, as Spark names
+    it; of two columns of one name the first counts.  A file with rows whose
+    header has no names raises an error.
     """
-    # of two that differ in empty cells at the end the wider one holds; a blank line is no header
-    layouts = sorted((names for names in map(_header_names, heads) if any(names)), key=len)
-    if not layouts:
-        raise ValueError("no file has a header row")
-    width = max(map(len, layouts))
+    named = heads.where(F.exists("names", lambda n: n != "")).select("file", F.transform("names", lambda n, i: F.when(n == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(n))
+                         .alias("names"))
+    layouts = named.select("names").distinct()
+    # columns in the order in which layouts, as texts, have them; their names are the result's schema
+    columns = [r["name"] for r in layouts.select(F.array_join("names", ",").alias("l"), F.posexplode("names").alias("at", "name"))
+               .groupBy("name").agg(F.min(F.struct("at", "l")).alias("first")).orderBy("first", "name").select("name").collect()]
+    width = layouts.agg(F.max(F.size("names"))).first()[0] or 0
     own = [f"_c{i}" for i in range(width)]
-    raw = (_reader(spark, "CSV", ", ".join(f"{c} string" for c in own), multi_line=multi_line)
+    raw = (_reader(spark, "CsvWithHeaderRow", ", ".join(f"{c} string" for c in own), multi_line=multi_line)
            .option("recursiveFileLookup", True).load(paths))
-    raw = raw.select("*", F.col("_metadata.file_path").alias("__file"))
-
-    def is_header(names: list[str]):
-        # the reader gives null for an empty cell
-        cells = F.array(*[F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n?", "\n") for c in own])
-        return cells == F.array(*[F.lit(n) for n in names], *[F.lit("")] * (width - len(names)))
-
-    layout = F.lit(None).cast("int")
-    for i, names in enumerate(layouts):
-        layout = F.when(is_header(names), F.lit(i)).otherwise(layout)
-    tagged = raw.withColumn("__layout", layout)
-    files = tagged.where("__layout is not null").groupBy("__file").agg(F.min("__layout").alias("__of"))
-    rows = attach_checked(tagged.where("__layout is null"), files, ["__file"])
-    lost = F.raise_error(F.concat(F.lit("no header row found in "), F.col("__file"))).cast("boolean")
-    rows = rows.where(F.when(F.col("__of").isNull(), lost).otherwise(True))
-    layouts = [[n or f"_c{i}" for i, n in enumerate(names)] for names in layouts]
-    columns = list(dict.fromkeys(n for names in layouts for n in names))
-
-    def value(name: str):
-        out = F.lit(None).cast("string")
-        for i, names in enumerate(layouts):
-            if name in names:
-                out = F.when(F.col("__of") == i, F.col(own[names.index(name)])).otherwise(out)
-        return out.alias(name)
-
-    return rows.select(*[value(n) for n in columns])
+    cells = raw.select(F.array(*own).alias("__cells"), F.col("_metadata.file_path").alias("__path"),
+                       F.xxhash64("_metadata.file_path").alias("__file"))
+    # per layout, where each column of the result stands (0: nowhere); per file, its layout: a few bytes a file
+    wanted = F.array(*[F.lit(c) for c in columns])
+    places = layouts.select("names", F.xxhash64("names").alias("__layout"),
+                            F.transform(wanted, lambda c: F.array_position("names", c).cast("int")).alias("__places"))
+    files = named.select(F.xxhash64("file").alias("__file"), F.xxhash64("names").alias("__layout"))
+    n, codes, forms, kinds = named.select(F.count(F.lit(1)), F.count_distinct(F.xxhash64("file")), F.count_distinct("names"),
+                                          F.count_distinct(F.xxhash64("names"))).first()
+    if not n:
+        raise ValueError("no file has a header row")
+    if n != codes or forms != kinds:
+        raise ValueError("two file names or headers have the same 64-bit hash")
+    rows = attach_checked(attach_checked(cells, files, ["__file"]), places.drop("names"), ["__layout"])
+    lost = F.raise_error(F.concat(F.lit("no header row found in "), F.col("__path"))).cast("boolean")
+    rows = rows.where(F.when(F.col("__layout").isNull(), lost).otherwise(True))
+    place = lambda i: F.element_at("__places", i + 1)
+    return rows.select(*[F.when(place(i) > 0, F.element_at("__cells", place(i))).alias(c) for i, c in enumerate(columns)])
 
 
 def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow", upload_type: str = "Incremental",
@@ -186,7 +187,7 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
     ``column_names`` names the generated ``_c0.._cN`` columns of headerless CSV.
     ``multi_line`` reads CSV with line breaks inside quotes (a file is then
     read by one task).  ``same_header`` promises that all CSV headers are
-    alike and saves the look at each file's first split.
+    alike and saves the look at each file's first record.
     """
     check_combination(connector, upload_type, fmt)
     if upload_type == "Bulk":
@@ -196,8 +197,8 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
         return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).load(newest), fmt, column_names)
     paths = path if files is None else [f for f in files if not f.endswith("/" + PLACEHOLDER_OBJECT)]
     if fmt == "CsvWithHeaderRow" and schema is None and not same_header:
-        heads = header_lines(spark, paths, multi_line)
-        if len({tuple(_header_names(h)) for h in heads}) > 1:
+        heads = file_headers(spark, paths, multi_line)
+        if heads.select("names").distinct().limit(2).count() > 1:
             return _read_mixed_headers(spark, paths, heads, multi_line)
     return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).option("recursiveFileLookup", True).load(paths),
                   fmt, column_names)

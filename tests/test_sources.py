@@ -143,3 +143,59 @@ def test_command_line_run_and_profile(spark, capsys):
     assert rc == 0 and out["rows_written"] == 1
     assert len(spark.read.table(table).first().email) == 44
     assert main(["profile", "--landing", f"{root}/inbound/", "--report", f"{root}/transform/t"], spark=spark) == 0
+
+
+def _file(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_header_is_the_first_record_by_place(spark, tmp_path):
+    """A data row may equal its own file's header or another's."""
+    _file(tmp_path / "in", "a.csv", "id,name\n1,x\nname,id\nid,name\n2,y\n")
+    _file(tmp_path / "in", "b.csv", "name,id\nz,3\nid,name\n")
+    _file(tmp_path / "in", "c.csv", "")
+    got = read_inbound(spark, str(tmp_path / "in"))
+    assert sorted(map(tuple, got.select("id", "name").collect())) == [
+        ("1", "x"), ("2", "y"), ("3", "z"), ("id", "name"), ("name", "id"), ("name", "id")]
+
+
+def test_more_headers_than_any_cap(spark, tmp_path):
+    for i in range(60):
+        _file(tmp_path / "in", f"{i}.csv", f"id,v{i}\n{i},{i * i}\n")
+    got = read_inbound(spark, str(tmp_path / "in"))
+    assert len(got.columns) == 61
+    assert sorted((int(r.id), [v for k, v in r.asDict().items() if k != "id" and v]) for r in got.collect()) == [
+        (i, [str(i * i)]) for i in range(60)]
+
+
+def test_headers_are_found_without_reading_the_files(spark, tmp_path):
+    """Of a file in several splits only the first lines of each split are read."""
+    from ladle.sources import files as fs
+    _file(tmp_path / "in", "a.csv", "id,name\n" + "".join(f"{i},{'x' * 40}\n" for i in range(60000)))
+    _file(tmp_path / "in", "b.csv", "name,id\n" + "".join(f"{'y' * 40},{i}\n" for i in range(1000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        seen = spark.sparkContext.accumulator(0)
+        real = fs._first_record
+
+        def counted(multi_line):
+            def work(batches):
+                def count():
+                    for b in batches:
+                        seen.add(b.num_rows)
+                        yield b
+                yield from real(multi_line)(count())
+            return work
+
+        fs._first_record = counted
+        try:
+            heads = {r.file[-5:]: list(r.names) for r in fs.file_headers(spark, str(tmp_path / "in")).collect()}
+        finally:
+            fs._first_record = real
+        assert heads == {"a.csv": ["id", "name"], "b.csv": ["name", "id"]}
+        assert 0 < seen.value <= 16 * fs.HEAD_LINES
+        assert read_inbound(spark, str(tmp_path / "in")).where("id is not null and length(name) = 40").count() == 61000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
