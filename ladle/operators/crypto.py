@@ -74,6 +74,30 @@ def decrypt(spark: SparkSession, c: Column, master: bytes) -> Column:
     return F.try_aes_decrypt(payload, s["k"], F.lit("GCM")).cast("string")  # bad value -> null, job goes on
 
 
+def decrypt_ring(spark: SparkSession, c: Column, ring: dict[str, list[bytes]]) -> Column:
+    """Inverse of ``encrypt`` where values were encrypted under several keys.
+
+    ``ring`` has the versions of each key id.  The key is chosen per row by the
+    id and fingerprint that the envelope carries, so a column whose key was
+    rotated decrypts in one pass.  A value of an unknown key, or one that is no
+    envelope or was changed, gives null.
+    """
+    versions = [(key_id, master) for key_id, masters in ring.items() for master in masters]
+    if not versions:
+        return F.lit(None).cast("string")
+    s = secret_scalars(spark, **{f"k{i}": _derive(master, "ladle-enc") for i, (_, master) in enumerate(versions)})
+    b = F.try_to_binary(c, F.lit("base64"))
+    id_len = F.conv(F.hex(F.substring(b, 2, 2)), 16, 10).cast("int")
+    ver_len = F.conv(F.hex(F.substr(b, id_len + 4, F.lit(2))), 16, 10).cast("int")
+    named = F.hex(F.substr(b, F.lit(2), id_len + ver_len + 4))  # key id and fingerprint with their lengths
+    key = F.lit(None).cast("binary")
+    for i, (key_id, master) in enumerate(versions):
+        key = F.when(named == F.lit(_header(RANDOM, key_id, master)[1:].hex().upper()), s[f"k{i}"]).otherwise(key)
+    known = F.substring(b, 1, 1).isin(F.lit(bytes([DETERMINISTIC])), F.lit(bytes([RANDOM]))) & key.isNotNull()
+    payload = F.substr(b, id_len + ver_len + 6, F.length(b))
+    return F.when(known, F.try_aes_decrypt(payload, key, F.lit("GCM")).cast("string"))
+
+
 def keyed_hash(spark: SparkSession, c: Column, key: bytes) -> Column:
     """base64(HMAC-SHA-256(key, value)): 44 characters, 32 bytes."""
     ipad, opad = hmac_pads(key)

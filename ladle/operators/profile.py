@@ -10,6 +10,11 @@ the least and greatest text of text columns come from the same pairs.
 ``exact_distinct=False`` uses the HyperLogLog++ sketch instead, which
 merges in constant memory.  Top values of all columns are one pass over
 the same pairs, counted.
+``profile_sketches`` keeps per column what profiles of parts need to be merged:
+counts, bounds, moments, a HyperLogLog sketch of the values and a KLL sketch of
+the numbers.  ``merge_profiles`` makes a profile of all parts of these rows
+alone: counts and bounds are exact, distinct counts and quantiles within the
+sketches' bounds; no part is read again.
 Quantiles use ``percentile_approx`` (a mergeable sketch): an exact
 percentile would hold a whole column in one task.
 """
@@ -169,3 +174,69 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
     rank = F.row_number().over(Window.partitionBy("__i").orderBy(*order))
     return (counts.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
             .select(_column_names(cols).alias("column_name"), "rank", F.coalesce("text", "v_text").alias("value"), "frequency"))
+
+
+# ---- profiles that merge ------------------------------------------------------------
+
+_BOUND = "struct<v_long: bigint, v_double: double, v_text: string, text: string>"
+
+
+def _bound(df: DataFrame, c: str) -> Column:
+    """A value such that comparing it compares cells of its column, with the cell's text."""
+    slot, val = ("v_double", F.col(c).cast("double")) if df.schema[c].dataType.typeName() == "decimal" else _typed_slot(df, c)
+    parts = [(val if s == slot else F.lit(None).cast("string" if s == "v_text" else s[2:])).alias(s) for s in _SLOTS]
+    return F.struct(*parts, F.col(c).cast("string").alias("text"))
+
+
+def profile_sketches(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per column with what a merged profile needs; one pass, one row out of each task."""
+    cols = columns or df.columns
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        x, some = F.col(c), F.col(c).isNotNull()
+        aggs += [F.count(x).alias(f"__n{i}"), F.hll_sketch_agg(F.when(some, F.xxhash64(_typed_slot(df, c)[1]))).alias(f"__hll{i}")]
+        if _orderable(df, c):
+            cell = F.when(some, _bound(df, c))
+            aggs += [F.min(cell).alias(f"__min{i}"), F.max(cell).alias(f"__max{i}")]
+        if _is_numeric(df, c):
+            v = x.cast("double")
+            aggs += [F.avg(v).alias(f"__avg{i}"), F.var_pop(v).alias(f"__var{i}"), F.kll_sketch_agg_double(v).alias(f"__kll{i}")]
+    one = df.agg(*aggs)
+
+    def part(name: str, kind: str) -> Column:
+        return (F.col(name) if name in one.columns else F.lit(None)).cast(kind)
+
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                     F.col("__rows").alias("n_rows"), F.col(f"__n{i}").alias("n"), part(f"__min{i}", _BOUND).alias("least"),
+                     part(f"__max{i}", _BOUND).alias("most"), part(f"__avg{i}", "double").alias("mean"),
+                     (part(f"__var{i}", "double") * F.col(f"__n{i}")).alias("m2"), F.col(f"__hll{i}").alias("hll"),
+                     part(f"__kll{i}", "binary").alias("kll")) for i, c in enumerate(cols)]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def merge_profiles(sketches: DataFrame, quantiles: list[float] | None = None) -> DataFrame:
+    """The profile of all parts whose ``profile_sketches`` rows are given (columns as ``profile``).
+
+    A column that some parts lack counts the rows of the others.
+    """
+    moments = F.collect_list(F.when(F.col("n") > 0, F.struct(F.col("n").cast("double").alias("n"), "mean", "m2")))  # one per part
+    g = sketches.groupBy("column_name").agg(
+        F.max("data_type").alias("data_type"), F.sum("n_rows").alias("n_rows"), F.sum("n").alias("n"), F.min("least").alias("least"),
+        F.max("most").alias("most"), moments.alias("parts"), F.hll_union_agg("hll").alias("hll"),
+        F.kll_merge_agg_double("kll").alias("kll"))
+
+    def add(a: Column, b: Column) -> Column:
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + d * b["n"] / n).alias("mean"), (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"))
+
+    none = F.lit(None).cast("double")
+    some = F.filter("parts", lambda p: p["mean"].isNotNull())
+    whole = F.when(F.size(some) > 0, F.aggregate(F.slice(some, 2, F.greatest(F.size(some) - 1, F.lit(0))), F.element_at(some, 1), add))
+    m = g.withColumn("m", whole)
+    out = m.select(
+        "column_name", "data_type", "n_rows", (F.col("n_rows") - F.col("n")).alias("n_null"), F.hll_sketch_estimate("hll").alias("n_distinct"),
+        F.col("least.text").alias("min_value"), F.col("most.text").alias("max_value"), F.col("m.mean").alias("mean"),
+        F.when(F.col("m.n") > 1, F.sqrt(F.col("m.m2") / (F.col("m.n") - 1))).otherwise(none).alias("stddev"),
+        *([F.when(F.col("m.n") > 0, F.kll_sketch_get_quantile_double("kll", F.array(*[F.lit(float(q)) for q in quantiles]))).alias("quantiles")]
+          if quantiles else []))
+    return out

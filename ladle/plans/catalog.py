@@ -302,6 +302,21 @@ def encrypt_round_trip(spark, sf):
     return twice.select("c_custkey", plain.alias("c_name"), (F.instr(F.col("c_name"), plain) == 0).alias("is_ciphertext"), "n_same")
 
 
+@query("decrypt_key_ring", """
+SELECT c_custkey, CASE WHEN c_custkey % 4 <> 3 THEN c_name END AS c_name, c_custkey % 4 AS version FROM customer
+""")
+def decrypt_key_ring(spark, sf):
+    """A column under two versions of one key, a second key and one that the ring lacks, decrypted in one pass."""
+    from ladle.operators.crypto import decrypt_ring, encrypt
+    old, new, other, gone = (bytes([i]) * 32 for i in range(4))
+    version = F.col("c_custkey") % 4
+    name = F.col("c_name")
+    enc = (F.when(version == 0, encrypt(spark, name, "rotated", old, True)).when(version == 1, encrypt(spark, name, "rotated", new, False))
+           .when(version == 2, encrypt(spark, name, "other", other, False)).otherwise(encrypt(spark, name, "gone", gone, True)))
+    src = table(spark, sf, "customer").select("c_custkey", enc.alias("c_name"), version.alias("version"))
+    return src.withColumn("c_name", decrypt_ring(spark, name, {"rotated": [old, new], "other": [other]}))
+
+
 # ---------------------------------------------------------------- T13 / T14
 @query("keyed_hash", f"""
 SELECT c_custkey, {_sql_hmac_b64('c_name')} AS c_name FROM customer
@@ -872,6 +887,42 @@ def profile_job(spark, sf):
                                      F.lit("").alias("b"), F.col("n_matches").alias("n"))))
 
 
+# ---------------------------------------------------------------- F1 / K4: profiles that merge
+@query("profile_merged", """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_quantity, l_shipdate, l_returnflag FROM lineitem)
+SELECT 'l_orderkey' AS column_name, count(*) AS n_rows, count(*) - count(l_orderkey) AS n_null, min(l_orderkey) AS min_value,
+       max(l_orderkey) AS max_value, NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev, true AS distinct_near, NULL AS median_near FROM l
+UNION ALL SELECT 'l_quantity', count(*), count(*) - count(l_quantity), CAST(min(l_quantity) AS VARCHAR), CAST(max(l_quantity) AS VARCHAR),
+       round(avg(l_quantity), 6), round(stddev_samp(l_quantity), 6), true, true FROM l
+UNION ALL SELECT 'l_shipdate', count(*), count(*) - count(l_shipdate), strftime(min(l_shipdate), '%Y-%m-%d'),
+       strftime(max(l_shipdate), '%Y-%m-%d'), NULL, NULL, true, NULL FROM l
+UNION ALL SELECT 'l_returnflag', count(*), count(*) - count(l_returnflag), min(l_returnflag), max(l_returnflag), NULL, NULL, true, NULL FROM l
+""")
+def profile_merged(spark, sf):
+    """Two drops are profiled apart and their sketches stored; the profile of both comes from the sketches alone.
+
+    ``distinct_near``: the merged distinct count is within 5 % of the exact one; ``median_near``: the merged median
+    has 48 to 52 % of the values below it, or equal values in between.
+    """
+    from ladle.operators.profile import exact_distinct_counts, merge_profiles, profile_sketches
+    from ladle.sinks.tables import read_sketches, write_sketches
+    src = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("l_orderkey"), "l_quantity",
+                                              F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_returnflag")
+    root = _landing(spark)
+    for odd in (0, 1):
+        drop = src.where(F.pmod(F.col("l_orderkey").cast("long"), F.lit(2)) == odd)
+        write_sketches(profile_sketches(drop), root, str(odd))
+    got = merge_profiles(read_sketches(spark, root), quantiles=[0.5])
+    exact = exact_distinct_counts(src, src.columns).select(F.col("column_name").alias("c"), F.col("n_distinct").alias("exact"))
+    median = got.where("column_name = 'l_quantity'").select(F.element_at("quantiles", 1)).scalar()
+    ranks = src.agg(F.avg((F.col("l_quantity") < median).cast("int")).alias("below"), F.avg((F.col("l_quantity") <= median).cast("int")).alias("upto"))
+    near = ranks.select((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).scalar()
+    return got.join(exact, F.col("column_name") == F.col("c")).select(
+        "column_name", "n_rows", "n_null", "min_value", "max_value", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)).alias("distinct_near"),
+        F.when(F.col("column_name") == "l_quantity", near).alias("median_near"))
+
+
 # ---------------------------------------------------------------- P4
 @query("empty_recipe", "SELECT * FROM supplier")
 def empty_recipe(spark, sf):

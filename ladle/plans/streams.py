@@ -38,7 +38,9 @@ def _drops(df: DataFrame, at: str, cuts: list) -> list[DataFrame]:
 
 def _replay(spark: SparkSession, drops: list[dict[str, DataFrame]], build: Callable[..., DataFrame]) -> tuple[DataFrame, str]:
     """Lands each drop's frames, runs ``build(**streams)`` after each; (what it wrote, its checkpoint)."""
+    from ladle.session import with_state_store
     from ladle.streaming.live import run_available_now
+    with_state_store(spark)
     root = _landing(spark)
     name, checkpoint = _stream_table(spark)
     out = None

@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that matter at scale as well as locally: AQE re-plans joins
 # and coalesces small shuffle partitions at run time, and converts a
 # sort-merge join into a broadcast join only once the measured size of a
@@ -27,8 +30,7 @@ DEFAULT_CONF = {
     # size checks and iterative operators write small reliable checkpoints;
     # remove them once their DataFrames are garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -52,6 +54,12 @@ def build_session(master: str | None = None, app: str = "ladle",
     return spark
 
 
+def with_state_store(spark: SparkSession) -> SparkSession:
+    """The session with the state store that stateful processors need (Spark's default cannot hold them)."""
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

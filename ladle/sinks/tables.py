@@ -78,3 +78,13 @@ def write_profile(profile_df: DataFrame, data_path: str) -> str:
     out = data_path.rstrip("/") + "/profile/"
     profile_df.write.mode("overwrite").json(out)
     return out
+
+
+def write_sketches(sketches: DataFrame, data_path: str, drop: str) -> None:
+    """K4 for one drop: its column sketches, under ``profile/sketches/``; writing a drop again replaces it."""
+    sketches.write.mode("overwrite").parquet(f"{data_path.rstrip('/')}/profile/sketches/drop={drop}")
+
+
+def read_sketches(spark: SparkSession, data_path: str) -> DataFrame:
+    """The column sketches of all drops, for ``merge_profiles``."""
+    return spark.read.parquet(f"{data_path.rstrip('/')}/profile/sketches")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ladle.plans.job import run_recipe_job
 from ladle.plans.recipe import RecipeContext
+from ladle.session import with_state_store
 from ladle.sinks.tables import write_batch
 from ladle.streaming.ledger import MSG_FAIL, MSG_OK, RESULT_FAIL, RESULT_OK, SOURCE, SUBJECT
 from ladle.streaming.live import quiet_period_live
@@ -90,6 +91,7 @@ class Connector:
         write_batch(outcomes, self.outcomes_table, f"epoch-{epoch_id}")
 
     def start(self, trigger: dict | None = None):
+        with_state_store(self.spark)
         return (self.launches().writeStream.option("checkpointLocation", self.checkpoint)
                 .trigger(**(trigger or {"processingTime": "10 seconds"}))
                 .foreachBatch(self._launch_batch).start())

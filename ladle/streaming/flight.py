@@ -8,8 +8,10 @@ start at ``t`` the next start is the first request at or after
 1. the requests are cut into chunks of contiguous time per key
    (``operators/positions``: sampled ranges, whatever the spread);
 2. per chunk, where a chain leaves it depends only on the request it
-   enters at; neighbouring requests mostly leave alike, so the chunk's map
-   from entry time to exit time is kept as one row per stretch;
+   enters at.  The run before started no later than the chunk's first request,
+   so a chain can only enter within one run of it: the chunk's map from entry
+   time to exit time has one row per stretch of requests there that leave
+   alike, and none for the rest of the chunk;
 3. per key, these few rows are composed from chunk to chunk, which gives
    each chunk's entry time;
 4. per chunk, the chain is followed from its entry and its starts marked.
@@ -49,6 +51,7 @@ def _exit_map(run: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         t = np.sort(pdf["__t"].to_numpy())
         out = _exits(t, run)
         last = np.append(out[1:] != out[:-1], True)  # the last request of each stretch
+        last[np.flatnonzero(last & (t >= t[0] + run))[1:]] = False  # no chain enters behind the first of these
         return pd.DataFrame({"__key": pdf["__key"].iloc[0], CHUNK: pdf[CHUNK].iloc[0], "__upto": t[last], "__exit": out[last]})
     return work
 
@@ -81,6 +84,8 @@ def single_flight(df: DataFrame, key: str, ts: str, run_seconds: float, tiebreak
                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``df`` plus ``started`` (null when the request has no time)."""
     run = int(round(run_seconds * 1_000_000))
+    if run <= 0:
+        raise ValueError("a run takes some time")
     base = with_row_id(df)
     ties = [tiebreak] if tiebreak else []
     reqs = (base.where(F.col(ts).isNotNull())
