@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.common import SPACE_WORD, attach_small, saved
+from ladle.operators.positions import positions_within
 
 SEED = 42
 WEIGHTS = (5, 2, 1)
@@ -146,17 +147,29 @@ def cut(rows: DataFrame, need: DataFrame, key: str = "source") -> DataFrame:
         key, F.coalesce("t.a", none_a).alias("cut_a"), F.coalesce("t.b", none_b).alias("cut_b")), "cut")
 
 
+def _numbered(docs: DataFrame, same: Column) -> DataFrame:
+    """``docs``, written once, with ``__mix_at``: the number of a row among those that are the ``same``.
+
+    Such rows are alike, so whichever of them gets which number, the same rows are taken however the input is split.
+    """
+    rows = saved(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "numbered")
+    groups = rows.select("__mix_row", same.alias("g"))
+    many = saved(groups.groupBy("g").count().where("count > 1").select("g"), "repeated")
+    at = saved(positions_within(attach_small(groups, many, ["g"], how="inner"), ["g"], [F.col("__mix_row")], "__mix_at"), "places")
+    return saved(attach_small(rows, at.select("__mix_row", "__mix_at"), ["__mix_row"]).withColumn(
+        "__mix_at", F.coalesce("__mix_at", F.lit(0).cast("long"))), "numbered")
+
+
 def _decided(docs: DataFrame, seed: int, weights: tuple[int, ...], share: float, limit: float, key: str, text: str,
              source: str, weight: str | None, narrow: bool) -> DataFrame:
     own = {"source": F.col(source).cast("string"), "size": words(text), "id": F.col(key),
            "weight": F.col(weight).cast("double") if weight else F.lit(1.0), "u": uniform(F.col(key), seed),
-           "b": tie_break(F.col(key), F.col(text), *([F.monotonically_increasing_id()] if narrow else []))}
-    sized = saved(docs.select(*[c.alias(k) for k, c in own.items()]), "sized")
+           "b": tie_break(F.col(key), F.col(text))}
     columns = docs.columns
-    if not narrow and sized.groupBy("b").count().where("count > 1").take(1):
-        # rows that repeat id and text: number them, in a copy that is written once, so each can decide for itself
-        docs = saved(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "numbered")
-        own["b"] = tie_break(F.col(key), F.col(text), F.col("__mix_row"))
+    sized = saved(docs.select(*[c.alias(k) for k, c in own.items()]), "sized")
+    if sized.groupBy("b").count().where("count > 1").take(1):
+        docs = _numbered(docs, tie_break(F.col(key), F.col(text), own["source"], own["weight"]))
+        own["b"] = tie_break(F.col(key), F.col(text), F.col("__mix_at"))
         sized = saved(docs.select(*[c.alias(k) for k, c in own.items()]), "sized")
     goals = saved(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, limit), "targets")
     grades = saved(_copies(sized, goals, limit), "copies")

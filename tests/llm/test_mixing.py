@@ -103,3 +103,20 @@ def test_cut_equals_a_sort(spark, monkeypatch):
                 want.append((a, b))
             run += s
         assert [x[:2] for x in own if x[:2] <= cuts[k]] == want
+
+
+def test_repeated_ids_are_mixed_alike_however_rows_are_split(spark, make):
+    """Rows that share an id, and rows that are alike, over 3 and 7 partitions: the same rows are taken."""
+    r = random.Random(8)
+    rows = [(r.randrange(40), "w " * r.randrange(1, 30), "en", r.choice("abc")) for _ in range(1500)]
+    rows += [(7, "same text", "en", "a")] * 400 + [(8, "x", "en", r.choice("ab")) for _ in range(60)]
+
+    def taken(parts):
+        r.shuffle(rows)
+        return sorted((x.doc_id, x.size, round(x.target, 6), x.taken) for x in mx.plan(make(rows, parts)).collect())
+
+    def mixed(parts):
+        return sorted((x.doc_id, x.text, x.source) for x in mx.mix(make(rows, parts)).collect())
+
+    assert taken(3) == taken(7)
+    assert mixed(3) == mixed(7)
