@@ -33,6 +33,7 @@ repeated rows each get a row and count each; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -54,6 +55,7 @@ SIDE = 2
 MASK_EVERY = 8
 ROUNDS = 2
 STEP_TOKENS = 4096
+SCORE_TOKENS = 32_768
 RATE = 0.1
 BATCH_TOKENS = 1 << 16
 COUNTER_WORDS = 300_000
@@ -116,11 +118,34 @@ def vocabulary(texts: DataFrame, words: DataFrame | None = None) -> tuple[dict[b
 _CODED = "chunk long, id long, tokens binary, odd binary, at long, word binary"
 
 
+class Codes(dict):
+    """Known words by number; other words, as they come, by ``KNOWN`` and their place in ``own``."""
+
+    def __init__(self, known: dict[bytes, int]):
+        super().__init__(known)
+        self.own: list[bytes] = []
+        self.buckets = array("H")
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = KNOWN + len(self.own)
+        self.own.append(word)
+        self.buckets.append(KNOWN + zlib.crc32(word) % HASHED)
+        return code
+
+    def split(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token numbers of all words, and the places of those that are not known."""
+        x = np.array(list(map(self.__getitem__, words)), np.int64)
+        odd = x >= KNOWN
+        own = x[odd] - KNOWN
+        x[odd] = np.array(self.buckets, np.int64)[own] if len(own) > len(self.own) else [self.buckets[i] for i in own]
+        return x, own
+
+
 def _coder(known: dict[bytes, int]):
     """Rows of texts (token numbers, and the places of their bucket words in the chunk's list), and the lists' words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        own: dict[bytes, int] = {}
+        codes = Codes(known)
 
         def out(chunks, ids, tokens, odd, at, words) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -128,24 +153,25 @@ def _coder(known: dict[bytes, int]):
                  pa.array(at, pa.int64()), pa.array(words, pa.binary())], ["chunk", "id", "tokens", "odd", "at", "word"])
 
         def listed() -> pa.RecordBatch:
-            n = len(own)
-            rows = out(np.full(n, chunk), pa.nulls(n, pa.int64()), [None] * n, [None] * n, np.arange(n), list(own))
-            own.clear()
+            nonlocal codes
+            n = len(codes.own)
+            rows = out(np.full(n, chunk), pa.nulls(n, pa.int64()), [None] * n, [None] * n, np.arange(n), codes.own)
+            codes = Codes(known)
             return rows
 
         for b in batches:
             chunks, tokens, odd = [], [], []
-            for k, t in enumerate(b.column(1)):
-                words = split(t.as_py())
+            for t in b.column(1):
+                x, own = codes.split(split(t.as_py()))
                 chunks.append(chunk)
-                tokens.append(numbers(words, known).astype(np.uint16).tobytes())
-                odd.append(np.array([own.setdefault(w, len(own)) for w in words if w not in known], np.uint32).tobytes())
-                if len(own) > CHUNK_WORDS:
+                tokens.append(x.astype(np.uint16).tobytes())
+                odd.append(own.astype(np.uint32).tobytes())
+                if len(codes.own) > CHUNK_WORDS:
                     yield listed()
                     chunk += 1
             n = len(chunks)
             yield out(chunks, b.column(0), tokens, odd, pa.nulls(n, pa.int64()), [None] * n)
-        if own:
+        if codes.own:
             yield listed()
 
     return work
@@ -209,34 +235,42 @@ def hidden(m: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> np.ndar
 
 
 def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(z - max) in place, its sum, and the log of the normalizer."""
-    top = z.max(axis=1, keepdims=True)
+    """exp(z - max) in place, its sum, and the log of the normalizer, by column (long rows: the quick direction)."""
+    top = z.max(axis=0)
     z -= top
     np.exp(z, out=z)
-    s = z.sum(axis=1, keepdims=True)
-    return s, (np.log(s) + top)[:, 0]
+    s = z.sum(axis=0)
+    return s, np.log(s) + top
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    """Probabilities, in place."""
+    """Probabilities by column, in place."""
     z /= _exp(z)[0]
     return z
 
 
+def _by_class(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """The places in order of their tokens' classes: (order, class, member, the slice of each class that occurs)."""
+    cls, member = np.divmod(ids[at], MEMBERS)
+    order = np.argsort(cls.astype(np.uint8), kind="stable")  # few bits: sorted by counting
+    cls, member = cls[order], member[order]
+    cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
+    return order, cls, member, [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
+
+
 def log_probs(m: dict[str, np.ndarray], ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-probability of the token at each place, given its neighbours."""
-    h = hidden(m, ids, at)
-    cls, member = np.divmod(ids[at], MEMBERS)
-    z = h @ m["class_w"] + m["class_b"]
-    own = z[np.arange(len(at)), cls]
-    out = own - _exp(z)[1]
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(cuts)):
-        rows = order[cuts[c]:cuts[c + 1]]
-        z = h[rows] @ m["member_w"][c] + m["member_b"][c]
-        own = z[np.arange(len(rows)), member[rows]]
-        out[rows] += own - _exp(z)[1]
+    order, cls, member, slices = _by_class(ids, at)
+    h = np.ascontiguousarray(hidden(m, ids, at[order]).T)
+    z = m["class_w"].T @ h + m["class_b"][:, None]
+    own = z[cls, np.arange(len(at))]
+    lp = own - _exp(z)[1]
+    for c, rows in slices:
+        z = m["member_w"][c].T @ h[:, rows] + m["member_b"][c][:, None]
+        own = z[member[rows], np.arange(z.shape[1])]
+        lp[rows] += own - _exp(z)[1]
+    out = np.empty_like(lp)
+    out[order] = lp
     return out
 
 
@@ -244,21 +278,20 @@ def train_step(flat: np.ndarray, seen: np.ndarray, ids: np.ndarray, at: np.ndarr
     """One Adagrad step on the masked places; changes ``flat`` and the summed squares ``seen``."""
     m, grad = unpack(flat), np.zeros_like(flat)
     g, n = unpack(grad), len(at)
-    h = hidden(m, ids, at)
-    cls, member = np.divmod(ids[at], MEMBERS)
-    p = _softmax(h @ m["class_w"] + m["class_b"])
-    p[np.arange(n), cls] -= 1
-    g["class_w"][:], g["class_b"][:] = h.T @ p, p.sum(axis=0)
-    dh = p @ m["class_w"].T
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(cuts)):
-        rows = order[cuts[c]:cuts[c + 1]]
-        p = _softmax(h[rows] @ m["member_w"][c] + m["member_b"][c])
-        p[np.arange(len(rows)), member[rows]] -= 1
-        g["member_w"][c], g["member_b"][c] = h[rows].T @ p, p.sum(axis=0)
-        dh[rows] += p @ m["member_w"][c].T
-    dz = dh * (1 - h * h)
+    order, cls, member, slices = _by_class(ids, at)
+    at = at[order]
+    h = np.ascontiguousarray(hidden(m, ids, at).T)
+    p = _softmax(m["class_w"].T @ h + m["class_b"][:, None])
+    p[cls, np.arange(n)] -= 1
+    g["class_w"][:], g["class_b"][:] = h @ p.T, p.sum(axis=1)
+    dh = m["class_w"] @ p
+    for c, rows in slices:
+        x = h[:, rows]
+        p = _softmax(m["member_w"][c].T @ x + m["member_b"][c][:, None])
+        p[member[rows], np.arange(x.shape[1])] -= 1
+        g["member_w"][c], g["member_b"][c] = x @ p.T, p.sum(axis=1)
+        dh[:, rows] += m["member_w"][c] @ p
+    dz = np.ascontiguousarray((dh * (1 - h * h)).T)
     g["bias"][:] = dz.sum(axis=0)
     columns = np.arange(HIDDEN)
     for k, o in enumerate(OFFSETS):
@@ -366,7 +399,7 @@ def _sums(m: dict[str, np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray,
             end += 1
         if held:
             ids, at = joined(docs[start:end])
-            lp = np.concatenate([log_probs(m, ids, at[s:s + STEP_TOKENS]) for s in range(0, len(at), STEP_TOKENS)])
+            lp = np.concatenate([log_probs(m, ids, at[s:s + SCORE_TOKENS]) for s in range(0, len(at), SCORE_TOKENS)])
             whose = np.repeat(np.arange(start, end), sizes[start:end])
             sums += np.bincount(whose, weights=lp, minlength=len(docs))
         start = end
