@@ -775,6 +775,21 @@ def land_csv_mixed_headers(spark, sf):
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
 
 
+@query("land_csv_quoted_split", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'first line' || chr(10) || '"' || o_orderstatus || '", ' || CAST(o_custkey AS VARCHAR) || chr(10) || chr(10) || 'last' AS note,
+       CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey FROM orders
+""")
+def land_csv_quoted_split(spark, sf):
+    """Large exports with line breaks in quotes, read by one task per split; their headers differ."""
+    from ladle.sources.files import PUSH_PREFIX, read_inbound
+    root = f"{_landing(spark)}/{PUSH_PREFIX}"
+    note = F.concat(F.lit('first line\n"'), "o_orderstatus", F.lit('", '), F.col("o_custkey").cast("string"), F.lit("\n\nlast"))
+    src = table(spark, sf, "orders").select("o_orderkey", note.alias("note"), "o_custkey")
+    for odd, columns in ((0, ["note", "o_orderkey"]), (1, ["o_custkey", "o_orderkey", "note"])):
+        src.where(F.col("o_orderkey") % 2 == odd).select(*columns).write.option("header", True).option("escape", '"').csv(f"{root}drop{odd}")
+    return read_inbound(spark, root, "CsvWithHeaderRow", "Incremental", multi_line="split").select("o_orderkey", "note", "o_custkey")
+
+
 # ---------------------------------------------------------------- S3
 @query("land_json_document", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def land_json_document(spark, sf):

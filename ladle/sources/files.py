@@ -15,11 +15,11 @@ import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ladle.operators.joins import attach_checked
+from ladle.operators.joins import attach_checked, checked
 from ladle.session import scratch_dir
 
 FORMATS = ("CSV", "CsvWithHeaderRow", "JSON", "JSONMultiLine")
@@ -136,7 +136,94 @@ def _header_row(file: str, head: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([names], pa.list_(pa.string()))], ["file", "names"])
 
 
-def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: DataFrame, multi_line: bool) -> DataFrame:
+# ---- line breaks in quotes, split by split ------------------------------------------
+
+
+def _split_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return (spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(paths)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"))
+
+
+def quoted_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file``, ``first`` and ``record`` of CSV files with line breaks in quotes, each file read by as many tasks as it has splits.
+
+    A line's quotes tell whether it ends inside quotes, if one knows whether it
+    begins there.  So the first pass counts the quotes of every split; running
+    sums over the splits of a file tell which splits begin inside quotes.  The
+    second pass cuts each split's lines into records.  What a split has of a
+    record that began before it or ends behind it is put together from the
+    pieces, at most two of a split.
+
+    A quote inside quotes is doubled, and cells with quotes are quoted as a
+    whole.  A file that ends inside quotes raises an error.
+    """
+    lines = _split_lines(spark, paths)
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    per_split = lines.groupBy("file", "start").agg(F.sum(quotes).alias("q"))
+    before = Window.partitionBy("file").orderBy("start")  # one row per split
+    inside = per_split.select("file", "start", (F.sum("q").over(before) % 2).alias("ends"),
+                              F.lead("start").over(before).isNull().alias("last"),
+                              (F.coalesce(F.sum("q").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1).alias("open"))
+    splits, small = checked(inside)
+    if not small:
+        raise ValueError("too many splits: raise spark.sql.files.maxPartitionBytes")
+    unclosed = splits.where(F.col("last") & (F.col("ends") == 1)).select("file").limit(1).collect()
+    if unclosed:
+        raise ValueError(f"{unclosed[0]['file']} ends inside quotes")
+    known = splits.where("open").select(F.col("file").alias("__f"), F.col("start").alias("__s"), F.lit(True).alias("open"))
+    told = lines.join(F.broadcast(known), (F.col("file") == F.col("__f")) & (F.col("start") == F.col("__s")), "left")
+    path = scratch_dir(spark, "records")
+    pieces = told.select("file", "start", F.coalesce("open", F.lit(False)).alias("open"), "value").mapInArrow(
+        _cut_records, "file string, start long, kind string, first boolean, record string")
+    pieces.write.partitionBy("kind").parquet(path)
+    cut = spark.read.schema("file string, start long, first boolean, record string, kind string").parquet(path)
+    whole = cut.where("kind = 'whole'").select("file", "first", "record")
+    # a split's head closes the record that the last tail before it opened; those in between hold nothing but its middle
+    along = Window.partitionBy("file").orderBy("start", F.when(F.col("kind") == "tail", 1).otherwise(0))
+    parts = cut.where("kind <> 'whole'").withColumn("n", F.sum((F.col("kind") == "tail").cast("int")).over(along))
+    joined = (parts.groupBy("file", "n").agg(F.array_sort(F.collect_list(F.struct("start", "record"))).alias("p"), F.bool_or("first").alias("first"))
+              .select("file", "first", F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record")))
+    return whole.unionByName(joined).select("file", "first", F.regexp_replace("record", "\r$", "").alias("record"))
+
+
+def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of splits, in order -> whole records, and the head, middle or tail that a split has of a longer one."""
+    now, held, inside, began, first = None, [], False, False, False
+    out: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        cols = list(zip(*out)) or [()] * 5
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
+        rows = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["file", "start", "kind", "first", "record"])
+        out.clear()
+        return rows
+
+    def close(kind: str) -> None:
+        nonlocal first
+        out.append((*now, kind, first, "\n".join(held)))
+        held.clear()
+        first = False
+
+    for b in batches:
+        for file, start, open_, line in zip(*[c.to_pylist() for c in b.columns]):
+            if (file, start) != now:
+                if held:  # the split before ended inside quotes
+                    close("middle" if began else "tail")
+                now, inside, began, first = (file, start), open_, open_, start == 0
+            held.append(line)
+            if line.count('"') % 2:
+                inside = not inside
+            if not inside:
+                close("head" if began else "whole")
+                began = False
+        yield batch()
+    if held:
+        close("middle" if began else "tail")
+    yield batch()
+
+
+def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: DataFrame, multi_line: bool,
+                        records: DataFrame | None = None) -> DataFrame:
     """CSV files whose headers differ in order or columns -> the union of their columns by name.
 
     One scan: the reader skips each file's first record, whatever it holds, and
@@ -153,10 +240,14 @@ def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: Data
                .groupBy("name").agg(F.min(F.struct("at", "l")).alias("first")).orderBy("first", "name").select("name").collect()]
     width = layouts.agg(F.max(F.size("names"))).first()[0] or 0
     own = [f"_c{i}" for i in range(width)]
-    raw = (_reader(spark, "CsvWithHeaderRow", ", ".join(f"{c} string" for c in own), multi_line=multi_line)
-           .option("recursiveFileLookup", True).load(paths))
-    cells = raw.select(F.array(*own).alias("__cells"), F.col("_metadata.file_path").alias("__path"),
-                       F.xxhash64("_metadata.file_path").alias("__file"))
+    schema = ", ".join(f"{c} string" for c in own)
+    if records is None:
+        raw = _reader(spark, "CsvWithHeaderRow", schema, multi_line=multi_line).option("recursiveFileLookup", True).load(paths)
+        raw = raw.select(F.array(*own).alias("__cells"), F.col("_metadata.file_path").alias("__path"))
+    else:
+        parsed = records.where("NOT first AND record <> ''").select("file", F.from_csv("record", schema, {"escape": '"'}).alias("r"))
+        raw = parsed.select(F.array(*[f"r.{c}" for c in own]).alias("__cells"), F.col("file").alias("__path"))
+    cells = raw.select("*", F.xxhash64("__path").alias("__file"))
     # per layout, where each column of the result stands (0: nowhere); per file, its layout: a few bytes a file
     wanted = F.array(*[F.lit(c) for c in columns])
     places = layouts.select("names", F.xxhash64("names").alias("__layout"),
@@ -178,15 +269,16 @@ def _read_mixed_headers(spark: SparkSession, paths: str | list[str], heads: Data
 def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow", upload_type: str = "Incremental",
                  schema: StructType | str | None = None, connector: str = "push",
                  column_names: list[str] | None = None, infer_sampling_ratio: float | None = None,
-                 multi_line: bool = False, same_header: bool = False, files: list[str] | None = None) -> DataFrame:
+                 multi_line: bool | str = False, same_header: bool = False, files: list[str] | None = None) -> DataFrame:
     """Read landed data under ``path`` with the connector's settings.
 
     Incremental reads every file under the prefix (recursively), or only
     ``files`` (what arrived since the last run); Bulk reads only the newest
     file.  Zero-byte placeholders contribute no rows.
     ``column_names`` names the generated ``_c0.._cN`` columns of headerless CSV.
-    ``multi_line`` reads CSV with line breaks inside quotes (a file is then
-    read by one task).  ``same_header`` promises that all CSV headers are
+    ``multi_line`` reads CSV with line breaks inside quotes: ``True`` by one
+    task per file; ``"split"`` by one task per split (``quoted_records``; CSV
+    with header, Incremental).  ``same_header`` promises that all CSV headers are
     alike and saves the look at each file's first record.
     """
     check_combination(connector, upload_type, fmt)
@@ -196,6 +288,10 @@ def read_inbound(spark: SparkSession, path: str, fmt: str = "CsvWithHeaderRow",
             raise FileNotFoundError(f"no non-empty file under {path}")
         return _named(_reader(spark, fmt, schema, infer_sampling_ratio, multi_line).load(newest), fmt, column_names)
     paths = path if files is None else [f for f in files if not f.endswith("/" + PLACEHOLDER_OBJECT)]
+    if multi_line == "split":
+        if fmt != "CsvWithHeaderRow":
+            raise ValueError("multi_line='split' reads CsvWithHeaderRow")
+        return _read_mixed_headers(spark, paths, file_headers(spark, paths, True), True, quoted_records(spark, paths))
     if fmt == "CsvWithHeaderRow" and schema is None and not same_header:
         heads = file_headers(spark, paths, multi_line)
         if heads.select("names").distinct().limit(2).count() > 1:

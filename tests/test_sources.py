@@ -199,3 +199,46 @@ def test_headers_are_found_without_reading_the_files(spark, tmp_path):
         assert read_inbound(spark, str(tmp_path / "in")).where("id is not null and length(name) = 40").count() == 61000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("size", ["64", "200", "1k", "64k"])
+def test_quoted_line_breaks_over_many_splits(spark, tmp_path, size):
+    """A file is cut anywhere, inside quotes too; the rows are those of Spark's reader of whole files."""
+    import csv
+    import random
+    rng = random.Random(7)
+    (tmp_path / "in").mkdir()
+    rows = []
+    for name, columns in (("a.csv", ["id", "note", "x"]), ("b.csv", ["x", "id"])):
+        with open(tmp_path / "in" / name, "w", newline="") as f:
+            w = csv.writer(f, lineterminator="\n")
+            w.writerow(columns)
+            for i in range(120):
+                note = "".join(rng.choice(['"', "\n", ",", "ab", "é", "\n\n", ' "q" ']) for _ in range(rng.randint(0, 12)))
+                note = "long\n" * 90 if i == 60 else note
+                row = {"id": f"{name}{i}", "note": note, "x": rng.choice(["", "y", "1\n2"])}
+                w.writerow([row[c] for c in columns])
+                rows.append((row["id"], row["note"] or None if "note" in columns else None, row["x"] or None))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = read_inbound(spark, str(tmp_path / "in"), multi_line="split")
+        assert got.columns == ["id", "x", "note"] or set(got.columns) == {"id", "x", "note"}
+        assert sorted(map(tuple, got.select("id", "note", "x").collect()), key=str) == sorted(rows, key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def test_quoted_split_odd_files(spark, tmp_path):
+    _file(tmp_path / "in", "a.csv", 'id,v\r\n1,"two\r\nlines"\r\n')
+    _file(tmp_path / "in", "b.csv", "")
+    got = read_inbound(spark, str(tmp_path / "in"), multi_line="split").collect()
+    assert [(r.id, r.v.replace("\r", "")) for r in got] == [("1", "two\nlines")]
+    with pytest.raises(ValueError):
+        read_inbound(spark, str(tmp_path / "in"), "JSON", multi_line="split")
+    _file(tmp_path / "in", "c.csv", 'id,v\n1,"open\n')
+    with pytest.raises(ValueError, match="inside quotes"):
+        read_inbound(spark, str(tmp_path / "in"), multi_line="split")
