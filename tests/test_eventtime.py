@@ -144,3 +144,35 @@ def test_launches_chain_newer_and_quiet(spark, tmp_path):
 def test_iso_forms(spark, text, want):
     (r,) = spark.createDataFrame([(text,)], "t string").select(F.unix_micros(parse_iso(F.col("t"))).alias("us")).collect()
     assert (r.us if r.us is None else r.us - 1704067200_000_000) == want
+
+
+def test_notified_connector_runs_over_what_landed(spark, tmp_path):
+    """Messages -> launch -> a run over the new files; repeated messages and replays add nothing."""
+    import uuid
+
+    from ladle.streaming.connector import NotifiedConnector
+    (tmp_path / "in").mkdir()
+    (tmp_path / "q").mkdir()
+    name = f"ladle_note.t_{uuid.uuid4().hex[:8]}"
+    c = NotifiedConnector(spark, str(tmp_path / "q"), str(tmp_path / "in"), name, f"{name}_runs", f"{name}_bad", str(tmp_path / "ck"),
+                          table_location=str(tmp_path / "t"), gap_seconds=30, delay="1 minute")
+
+    def send(file, *records):
+        (tmp_path / "q" / file).write_text(message(*records) + "\n")
+        for q in c.start(trigger={"availableNow": True}):
+            q.awaitTermination()
+
+    (tmp_path / "in" / "a.csv").write_text("id,v\n1,x\n2,y\n")
+    send("1", record("landing", "a.csv", "2024-01-01T00:00:00Z"), record("landing", None, "2024-01-01T00:00:00Z"))
+    assert not spark.catalog.tableExists(name)  # the burst is not quiet yet
+    send("2", record("other", "z.csv", "2024-01-01T01:00:00Z"))  # an hour later: landing's burst has closed
+    ids = lambda: sorted(r.id for r in spark.table(name).collect())
+    assert ids() == ["1", "2"]
+    (tmp_path / "in" / "b.csv").write_text("id,v\n3,z\n")
+    send("3", record("landing", "a.csv", "2024-01-01T00:00:00Z"))  # an old message again
+    send("4", record("landing", "b.csv", "2024-01-01T02:00:00Z"))
+    send("5", record("heartbeat", "-", "2024-01-01T05:00:00Z"))
+    assert ids() == ["1", "2", "3"]
+    runs = spark.table(f"{name}_runs").collect()
+    assert sorted(r.rows_written for r in runs) == [1, 2] and {r.result for r in runs} == {"Success"}
+    assert [r.reject_reason for r in spark.table(f"{name}_bad").collect()] == ["record has no bucket or object key"]
