@@ -363,6 +363,7 @@ def shard_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _ENCODERS.clear()  # the files are written: this worker lets go of the words it remembers
     for batch in batches:
         for no, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             s = TokenShard(memoryview(content.as_buffer()))
