@@ -13,9 +13,10 @@ words is searched whole), so every place of every verbatim match, and
 from places on one diagonal the longest match.
 
 The benchmark is a stated query set.  It is dealt to blocks of at most
-``BLOCK_BYTES`` of text; each block is one pass of the documents' stage
-(chained passes, no shuffle), so the driver and each worker hold one block
-at a time per pass, however large the benchmark is.
+``BLOCK_BYTES`` of text; each block is one pass over the documents (no
+shuffle).  Between two passes the documents with their marks are written, so
+a stage, its tasks and its plan hold one block, however large the benchmark
+is; a benchmark of several blocks costs as many writes less one.
 
 Defined cases: null or wordless texts and items match nothing; repeated
 items count once per id; a null item id is the empty name; documents keep
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import total_bytes
+from ladle.llm.common import saved, total_bytes
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -279,6 +280,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str
     for f in schema.fields:
         f.nullable = True
     for k in range(blocks):
+        if k:
+            out = saved(out, "marked")
         part = b.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
         items = [(r.i, r.t) for r in part.toLocalIterator()]
         out = out.mapInArrow(_searcher(items, window, docs.columns.index(text), out.columns), schema)

@@ -93,3 +93,16 @@ def test_decontaminate_keeps_columns_and_clean_rows(spark, make):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4]
     assert dc.decontaminate(docs, bench.limit(0)).count() == 4
     assert dc.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_many_blocks_are_one_pass_a_stage(spark, make):
+    """Each block of a large benchmark has a stage of its own, and the marks are those of one block."""
+    docs = make([(i, f"a{i} b{i} c{i} d{i} shared words of all items e{i}") for i in range(30)])
+    items = spark.createDataFrame([(f"i{i}", f"a{i} b{i} c{i} d{i}" if i % 2 else "shared words of all items") for i in range(40)],
+                                  "item_id string, text string")
+    one = dc.mark(docs, items, window=4)
+    many = dc.mark(docs, items, window=4, block_bytes=60)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    plain = [c for c in one.columns if c != "bench_longest_item"]  # several items have the longest match
+    key = lambda df: sorted(map(str, df.select(*plain).collect()))
+    assert key(many) == key(one)
