@@ -2,7 +2,7 @@
 
     python -m ladle run --landing PATH --table DB.T --recipe FILE [--format F] [--upload-type U]
     python -m ladle profile --landing PATH --report PATH [--format F]
-    python -m ladle watch --landing PATH --table DB.T --outcomes DB.O --checkpoint PATH --recipe FILE
+    python -m ladle watch --landing PATH --table DB.T --outcomes DB.O --checkpoint PATH --recipe FILE [--messages PATH]
 
 Keys for encryption and hashing steps are read from files named in
 ``--secret ID=FILE`` (one per key id), never from the command line itself.
@@ -51,6 +51,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             s.add_argument("--outcomes", required=True)
             s.add_argument("--checkpoint", required=True)
             s.add_argument("--quiet-seconds", type=float, default=60)
+            s.add_argument("--messages", help="folder of queue messages about landed files; runs are launched by them")
+            s.add_argument("--rejects", help="table of the messages' records that cannot be used (with --messages)")
             s.add_argument("--max-files", type=int, default=30, help="files taken in per trigger; more wait for the next")
     args = p.parse_args(argv)
     spark = spark or build_session()
@@ -72,7 +74,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         _, _, path = run_profile_job(spark, args.landing, args.report, args.format, args.upload_type)
         print(json.dumps({"report": path}))
         return 0
-    from ladle.streaming.connector import Connector
+    from ladle.streaming.connector import Connector, NotifiedConnector
+    if args.messages:
+        n = NotifiedConnector(spark, args.messages, args.landing, args.table, args.outcomes, args.rejects or f"{args.table}_rejects",
+                              args.checkpoint, recipe=load_recipe(spark, args.recipe), ctx=_ctx(args), fmt=args.format,
+                              table_location=args.table_location, gap_seconds=args.quiet_seconds, max_files_per_trigger=args.max_files)
+        n.start()
+        spark.streams.awaitAnyTermination()
+        return 0
     c = Connector(spark, args.landing, args.table, args.outcomes, args.checkpoint,
                   recipe=load_recipe(spark, args.recipe), ctx=_ctx(args), fmt=args.format,
                   upload_type=args.upload_type, table_location=args.table_location, gap_seconds=args.quiet_seconds,
