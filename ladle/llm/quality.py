@@ -133,11 +133,14 @@ def _scorer(counts: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for b in batches:
-            found = [grams(t.as_py()) for t in b.column(1)]
-            scores_ = [log_ratio(g, counts, sums, c == GOOD) if len(g) else 0.0 for g, c in zip(found, b.column(3).to_pylist())]
+            sizes, ratios = [], []
+            for t, c in zip(b.column(1), b.column(3).to_pylist()):  # one document's n-grams at a time
+                g = grams(t.as_py())
+                sizes.append(len(g))
+                ratios.append(log_ratio(g, counts, sums, c == GOOD) if len(g) else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), b.column(3), pa.array([len(g) for g in found], pa.int64()),
-                 pa.array(scores_, pa.float64())], ["id", "b", "cls", "n_grams", "log_ratio"])
+                [b.column(0), b.column(2), b.column(3), pa.array(sizes, pa.int64()), pa.array(ratios, pa.float64())],
+                ["id", "b", "cls", "n_grams", "log_ratio"])
 
     return work
 
