@@ -13,6 +13,9 @@ read back from them, one row per document of the mixture.
   targets;
 * ``token_files``: what is left is written as token-id files.
 
+Documents are long, so the stages hand ``BATCH_ROWS`` of them to Python at a
+time (Spark's setting for the session); results do not depend on it.
+
 Empty tables, nulls, repeated rows and further columns: as the operators'
 modules say.  No stage depends on the order of rows.
 """
@@ -30,15 +33,25 @@ from ladle.llm.token_files import read_token_files, write_token_files
 from ladle.session import scratch_dir
 
 
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return simhash_dedup(docs, shingle=4, max_bits=4)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
 
 
@@ -47,6 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     path = scratch_dir(spark, "token-files")
     write_token_files(docs, path, tokenizer_path())
     return read_token_files(spark, path)
