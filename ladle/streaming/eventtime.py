@@ -12,7 +12,8 @@ micro-batches.  A finite replay ends with a closing row of a key of its own that
 takes the watermark past everything before it.
 
 What a key holds is bounded by the delay: bursts that are not yet closed, open
-runs of seven days, completions that wait.  Before rows are shuffled to their
+runs of seven days, completions that wait.  Ledger jobs share keys, so a key
+there holds these for its group of jobs.  Before rows are shuffled to their
 key, each task folds arrivals less than a gap apart into one row
 (``fold_arrivals``), so a key with most of the rows sends few.
 """
@@ -187,13 +188,17 @@ def message_rejects(messages: DataFrame, message: str, keep: list[str]) -> DataF
 
 # ---- E7 by event time ---------------------------------------------------------------
 
-RUNS = "tokens array<string>, started_us array<long>, states array<string>"
+RUNS = "jobs array<string>, tokens array<string>, started_us array<long>, states array<string>"
+WAITING = "jobs array<string>, at_us array<long>, states array<string>, refs array<string>"
+
+#: Jobs share so many keys of state: what a call costs by itself is paid per group, not per job.
+LEDGER_GROUPS = 1024
 
 
 class LedgerByEventTime(StatefulProcessor):
-    """Rows: job_id, kind (start or completion), us, task_token, state, ref.
+    """Rows: job_id, kind (start or completion), us, task_token, state, ref; the key is a group of jobs.
 
-    ``runs`` in state has a job's runs with the state each ended in (null: open) until they expire;
+    ``runs`` in state has the jobs' runs with the state each ended in (null: open) until they expire;
     ``waiting`` has completions that the watermark has not passed.
     """
 
@@ -202,38 +207,36 @@ class LedgerByEventTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.runs = handle.getValueState("runs", RUNS)
-        self.waiting = handle.getValueState("waiting", "at_us array<long>, states array<string>, refs array<string>")
+        self.waiting = handle.getValueState("waiting", WAITING)
         self.timer = OneTimer(handle)
 
     def _load(self) -> tuple[list[list], list[list]]:
-        tokens, times, states = self.runs.get() if self.runs.exists() else ([], [], [])
-        waiting = self.waiting.get() if self.waiting.exists() else ([], [], [])
-        return [list(x) for x in zip(map(int, times), tokens, states)], [list(x) for x in zip(*waiting)]
+        """Runs (job, token, start, state) and completions (job, time, state, ref)."""
+        return tuple([list(r) for r in zip(*state.get())] if state.exists() else [] for state in (self.runs, self.waiting))
 
     def _ends(self, started_us: int) -> int:
         """The first second in which a run is no longer open."""
         return started_us // _US + self.ttl + 1
 
     def _store(self, runs: list[list], waiting: list[list]) -> None:
-        for state, rows, order in ((self.runs, runs, (1, 0, 2)), (self.waiting, waiting, (0, 1, 2))):
+        for state, rows in ((self.runs, runs), (self.waiting, waiting)):
             if rows:
-                state.update(tuple([r[i] for r in rows] for i in order))
+                state.update(tuple(list(x) for x in zip(*rows)))
             elif state.exists():
                 state.clear()
-        due = [int(w[0]) // 1000 + 1 for w in waiting] + [self._ends(r[0]) * 1000 for r in runs]
+        due = [w[1] // 1000 + 1 for w in waiting] + [self._ends(r[2]) * 1000 for r in runs]
         self.timer.move(min(due, default=None))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _all(rows)
         runs, waiting = self._load()
-        known = {(r[0], r[1]) for r in runs}
-        for r in pdf.itertuples(index=False):
-            if r.kind != "start":
-                waiting.append([int(r.us), r.state, r.ref])
-            elif (int(r.us), r.task_token) not in known:
-                known.add((int(r.us), r.task_token))
-                runs.append([int(r.us), r.task_token, None])
-        runs.sort(key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+        known = {(job, us, token) for job, token, us, _ in runs}
+        for job, kind, us, token, state, ref in zip(*[pdf[c].tolist() for c in ("job_id", "kind", "us", "task_token", "state", "ref")]):
+            if kind != "start":
+                waiting.append([job, us, state, ref])
+            elif (job, us, token) not in known:
+                known.add((job, us, token))
+                runs.append([job, token, us, None])
         self._store(runs, waiting)
         return iter([])
 
@@ -241,16 +244,22 @@ class LedgerByEventTime(StatefulProcessor):
         self.timer.fired()
         now_us = timerValues.getCurrentWatermarkInMs() * 1000
         runs, waiting = self._load()
-        times, out = [r[0] for r in runs], []
-        for at, state, ref in sorted((w for w in waiting if w[0] < now_us), key=lambda w: w[0]):
+        by_job: dict[str | None, tuple[list[int], list[list]]] = {}
+        for r in sorted(runs, key=lambda r: (r[2], r[1] is not None, r[1] or "")):
+            times, own = by_job.setdefault(r[0], ([], []))
+            times.append(r[2])
+            own.append(r)
+        out = []
+        for job, at, state, ref in sorted((w for w in waiting if w[1] < now_us), key=lambda w: w[1]):
+            times, own = by_job.get(job, ((), ()))
             i = bisect.bisect_right(times, at) - 1
-            run = runs[i] if i >= 0 and at // _US < self._ends(runs[i][0]) else None
+            run = own[i] if i >= 0 and at // _US < self._ends(times[i]) else None
             ok = run is not None and state == "SUCCEEDED"
             cause = None if ok else CAUSE_NO_RUN if run is None else f"run ended in state {state or 'unknown'}"
             if run is not None:
-                run[2] = state or "unknown"
-            out.append((str(key[0]), ref, at, state, run[1] if run else None, run[0] if run else None, RESULT_OK if ok else RESULT_FAIL, cause))
-        self._store([r for r in runs if self._ends(r[0]) * _US > now_us], [w for w in waiting if w[0] >= now_us])
+                run[3] = state or "unknown"
+            out.append((str(job), ref, at, state, run[1] if run else None, run[2] if run else None, RESULT_OK if ok else RESULT_FAIL, cause))
+        self._store([r for r in runs if self._ends(r[2]) * _US > now_us], [w for w in waiting if w[1] >= now_us])
         if out:
             names = [c.split()[0] for c in _OUTCOME.split(", ")]
             yield pd.DataFrame(out, columns=names).astype({"started_us": "Int64"})
@@ -260,11 +269,12 @@ class LedgerByEventTime(StatefulProcessor):
 
 
 def ledger_outcomes(starts: DataFrame, completions: DataFrame, ttl_days: int = LEDGER_TTL_DAYS, delay: str = "1 hour",
-                    ref: str | None = None) -> DataFrame:
+                    ref: str | None = None, groups: int = LEDGER_GROUPS) -> DataFrame:
     """Starts (job_id, task_token, started_at) and completions (job_id, completed_at, state) -> one outcome per completion.
 
     A completion that comes in time for the watermark is matched to the run that was open at its time, also when the
-    start arrives after it; ``ref`` names a column of the completions that comes back with the outcome.
+    start arrives after it; ``ref`` names a column of the completions that comes back with the outcome.  Jobs are dealt
+    by hash into ``groups`` keys of state; a call holds one group's open rows, and a checkpoint keeps its number of groups.
     """
     none = F.lit(None).cast("string")
     s = starts.select("job_id", F.lit("start").alias("kind"), epoch_micros(starts, "started_at").alias("us"), "task_token",
@@ -272,7 +282,8 @@ def ledger_outcomes(starts: DataFrame, completions: DataFrame, ttl_days: int = L
     c = completions.select("job_id", F.lit("completion").alias("kind"), epoch_micros(completions, "completed_at").alias("us"),
                            none.alias("task_token"), "state", (F.col(ref).cast("string") if ref else none).alias("ref"))
     rows = s.unionByName(c).where("us is not null").withColumn("at", F.timestamp_micros("us")).withWatermark("at", delay)
-    out = rows.groupBy("job_id").transformWithStateInPandas(
+    dealt = rows.withColumn("jobs", F.pmod(F.xxhash64("job_id"), F.lit(groups)))
+    out = dealt.groupBy("jobs").transformWithStateInPandas(
         statefulProcessor=LedgerByEventTime(ttl_days), outputStructType=_OUTCOME, outputMode="Append", timeMode="EventTime")
     return out.select("job_id", "ref", F.timestamp_micros("completed_us").alias("completed_at"), "state", "task_token",
                       F.timestamp_micros("started_us").alias("started_at"), "result", "cause")
@@ -281,6 +292,6 @@ def ledger_outcomes(starts: DataFrame, completions: DataFrame, ttl_days: int = L
 def open_runs(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Runs that are open in a ledger stream's state: job_id, task_token, started_at.  The stream need not run."""
     state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "runs").load()
-    runs = state.select(F.col("key.*"), F.explode(F.arrays_zip("value.tokens", "value.started_us", "value.states")).alias("r"))
+    runs = state.select(F.explode(F.arrays_zip("value.jobs", "value.tokens", "value.started_us", "value.states")).alias("r"))
     return runs.where(F.col("r.states").isNull()).select(
-        F.col("job_id"), F.col("r.tokens").alias("task_token"), F.timestamp_micros("r.started_us").alias("started_at"))
+        F.col("r.jobs").alias("job_id"), F.col("r.tokens").alias("task_token"), F.timestamp_micros("r.started_us").alias("started_at"))

@@ -94,6 +94,30 @@ def test_ledger_holds_completions_until_the_watermark(spark, tmp_path):
     assert live == {("d", "d0"), ("d", "d1"), ("~", "")}  # e's run ended in an unknown state; the others are done or expired
 
 
+def test_ledger_shares_state_keys_among_jobs(spark, tmp_path):
+    """State has a key per group, however many jobs there are; the jobs of a group do not touch each other's runs."""
+    rng = random.Random(11)
+    starts = [(f"j{rng.randrange(300)}", f"t{i}", rng.randrange(0, 20000)) for i in range(500)]
+    starts += starts[:20] + [("j0", "same", 100), ("j1", "same", 100)]
+    comps = [(i, f"j{i % 301}", 30000 + 7 * i, "SUCCEEDED" if i % 3 else "FAILED") for i in range(400)]
+    s = spark.createDataFrame(starts, "job_id string, task_token string, s long").select("job_id", "task_token", times(F.col("s")).alias("started_at"))
+    c = spark.createDataFrame(comps, "id long, job_id string, s long, state string").select(
+        "id", "job_id", times(F.col("s")).alias("completed_at"), "state")
+    r = Replay(spark, tmp_path, "groups")
+    out = et.ledger_outcomes(r.stream("s", s.schema), r.stream("c", c.schema), ref="id", groups=4)
+    r.take(out, s=s, c=c.where("id < 200"))
+    end = spark.createDataFrame([("~", "", 50000)], "job_id string, task_token string, s long").select(
+        "job_id", "task_token", times(F.col("s")).alias("started_at"))
+    got = r.take(out, s=end, c=c.where("id >= 200"))
+    row = lambda x: (x["job_id"], x["task_token"], x["result"], x["cause"])
+    assert {x["ref"]: row(x) for x in got.collect()} == {str(x["id"]): row(x) for x in match_completions(c, s).collect()}
+    done = {(x["job_id"], x["task_token"]) for x in got.collect()}
+    live = [(x.job_id, x.task_token) for x in et.open_runs(spark, r.checkpoint).collect()]
+    assert sorted(live) == sorted(({x[:2] for x in starts} | {("~", "")}) - done)
+    state = spark.read.format("statestore").option("path", r.checkpoint).option("stateVarName", "runs").load()
+    assert state.count() <= 4
+
+
 def message(*records):
     return json.dumps({"Records": [{"body": json.dumps({"Records": [x]} if x is not None else {"Event": "test"})} for x in records]})
 
