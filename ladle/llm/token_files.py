@@ -35,7 +35,7 @@ import struct
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,8 @@ MAGIC = b"LADLTOK1"
 TRAILER = "<8sQQQBB"  # magic, docs, tokens, index bytes, id bytes, zero
 SHARD_BYTES = 16 << 20
 FLUSH_BYTES = 4 << 20
-CACHE_WORDS = 280_000
-CACHE_PIECES = 46_000
+#: Words remembered, in each of the memo's two generations.
+CACHE_WORDS = 240_000
 
 # ---- text -> ids ------------------------------------------------------------
 
@@ -60,7 +60,7 @@ _WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 #: A text of these characters is its own normal form after lower-casing.
 _PLAIN = re.compile(r"[\t\r\n\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _BLANK = re.compile(r"[ \t\r\n]+")
 
 
@@ -72,13 +72,24 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Memo(dict):
-    """Remembers what ``make`` gives for each key."""
+    """Remembers what ``make`` gives for each key, and forgets keys that were not asked for lately.
 
-    def __init__(self, make):
-        self.make = make
+    When ``limit`` keys are held, they become the old generation, in place of the one before; an old key that is
+    asked for comes back.  So common keys stay, and never more than ``2 * limit`` are held.
+    """
+
+    def __init__(self, make: Callable, limit: float = float("inf")):
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        got = self[key] = self.make(key)
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.limit:
+            self.old = {}  # goes before the copy is made
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
         return got
 
 
@@ -87,9 +98,10 @@ class Encoder:
 
     For a lower-casing word tokenizer (white space dropped) the words of a
     text are independent.  Texts of plain characters are lower-cased and
-    split here, and each distinct word goes to the library's BPE model once
-    and is kept in a bounded memo; words of all other texts go through the
-    whole tokenizer.  Any other tokenizer encodes whole texts.
+    split here into runs of letters, digits and marks; each distinct one goes
+    to the library's BPE model and is kept in a bounded memo, so that a word
+    is the same with and without punctuation.  Words of all other texts go
+    through the whole tokenizer.  Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -109,7 +121,7 @@ class Encoder:
         self.model = self.tok.model
         self.letters = _byte_letters()
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.words, self.pieces = Memo(self._plain_word), Memo(self._piece)
+        self.words = Memo(self._piece, CACHE_WORDS)
 
     def _pack(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
@@ -121,23 +133,14 @@ class Encoder:
         q = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
         return self._pack([t.id for t in self.model.tokenize(q)])
 
-    def _plain_word(self, w: str) -> bytes:
-        """Ids of a lower-cased word of plain characters: its pieces, by the BPE model."""
-        if w.isalpha():
-            return self._piece(w)
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(w)))
-
     def _encode(self, text: str) -> bytes:
         return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word:
             return self._encode(text)
-        if len(self.words) > CACHE_WORDS or len(self.pieces) > CACHE_PIECES:
-            self.words.clear()
-            self.pieces.clear()
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.words.__getitem__, text.lower().split()))
+            return b"".join(map(self.words.__getitem__, _PIECE.findall(text.lower())))
         return b"".join(map(self._encode, _BLANK.split(text)))
 
 

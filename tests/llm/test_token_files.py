@@ -89,3 +89,25 @@ def test_other_tokenizers_encode_whole_texts():
     path = P.path("byte_bpe_50k.json")
     want = Tokenizer.from_file(path).encode("Some text, more\n\n text", add_special_tokens=False).ids
     assert np.frombuffer(tf.Encoder(path)("Some text, more\n\n text"), "<u2").tolist() == want
+
+
+def test_memo_keeps_what_is_asked_for_and_is_bounded():
+    from ladle.llm.token_files import Memo
+
+    made = []
+    memo = Memo(lambda k: made.append(k) or k * 2, 4)
+    for i in range(100):
+        assert memo[i] == 2 * i and memo[-1] == -2 and len(memo) + len(memo.old) <= 8
+    assert made.count(-1) == 1 and len(made) == 101
+
+
+def test_words_with_punctuation_share_the_word():
+    from tokenizers import Tokenizer
+
+    from ladle.llm.queries import tokenizer_path
+    from ladle.llm.token_files import Encoder
+
+    enc, tok = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    for text in ("Straße, straße. (straße) STRASSE!", "it's 'tis\tdon't 12ab3 é,è", " \n a\r\n", ""):
+        assert np.frombuffer(enc(text), enc.dtype).tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert "straße" in enc.words and not any(any(map(str.isalpha, w)) and not w.isalpha() and w[0] != "'" for w in enc.words)
