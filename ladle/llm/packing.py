@@ -55,17 +55,16 @@ from ladle.llm.token_files import Memo, _byte_letters
 CAPACITY = 1024
 GROUP_DOCS = 256
 GROUP_IDS = 4 << 20
-#: Chunks remembered, and how many of them may hold other characters than letters: words come back more often.
-CACHE_CHUNKS = 800_000
-CACHE_MIXED = 200_000
+#: Pieces of plain text remembered, and chunks of other texts, in each of the memo's two generations.
+CACHE_CHUNKS = 400_000
+CACHE_MIXED = 100_000
 TASK_SHIFT = 36
 
 # ---- text -> ids ------------------------------------------------------------
 
 #: Texts of these characters are cut here as the tokenizer would cut them.
 _PLAIN = re.compile(r"[\t\r\n\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
-_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
 #: A blank before a character that is none begins a piece in every text.
 _BLANK = re.compile(r" (?=\S)")
 _UNEVEN = re.compile(r" (?:\s|$)")
@@ -74,10 +73,11 @@ _UNEVEN = re.compile(r" (?:\s|$)")
 class ByteEncoder:
     """Encodes texts with a tokenizers file; equal to ``Tokenizer.encode`` on the whole text.
 
-    A byte-level BPE tokenizer cuts a text into pieces, and a blank before
-    another character always begins one.  So texts are split there, and each
-    distinct chunk is encoded once and kept in a bounded memo.  A text that
-    holds a special token's string, and any text under another kind of
+    A byte-level BPE tokenizer cuts a text into pieces.  Texts of plain
+    characters are cut here, and each distinct piece is encoded and kept in a
+    bounded memo.  A blank before another character always begins a piece:
+    other texts are split there, and their chunks are remembered.  A text
+    that holds a special token's string, and any text under another kind of
     tokenizer, is encoded whole.
     """
 
@@ -95,7 +95,7 @@ class ByteEncoder:
         self.code = "H" if self.dtype == "<u2" else "I"
         self.letters = _byte_letters()  # by byte, which is the code of its Latin-1 character
         self.model, self.blank = self.tok.model, self.letters[32]
-        self.chunks, self.mixed, self.pieces = Memo(self._after_blank), [], Memo(self._piece)
+        self.pieces, self.chunks = Memo(self._piece, CACHE_CHUNKS), Memo(self._after_blank, CACHE_MIXED)
 
     def _pack(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
@@ -104,7 +104,11 @@ class ByteEncoder:
         return out.tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return self._pack([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
+        if piece.isascii() and piece.isprintable():  # of these bytes only the blank has another letter
+            letters = piece.replace(" ", self.blank)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return self._pack([t.id for t in self.model.tokenize(letters)])
 
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
@@ -115,32 +119,13 @@ class ByteEncoder:
         return b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk)))
 
     def _after_blank(self, chunk: str) -> bytes:
-        """Ids of a blank and ``chunk``; the word that a chunk begins with is remembered by itself."""
-        word = _WORD.match(chunk)
-        if word and word.end() == len(chunk):
-            return self._piece(" " + chunk)
-        self.mixed.append(chunk)
-        tail = chunk[word.end():] if word else ""
-        if not word or not _PLAIN.fullmatch(tail):
-            return self._chunk(" " + chunk)
-        return self.chunks[word.group()] + (self.pieces[tail] if len(tail) == 1 else self._chunk(tail))
-
-    def _forget(self) -> None:
-        """Keeps the memos bounded."""
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks.clear()
-            self.mixed.clear()
-        if len(self.mixed) > CACHE_MIXED:
-            for chunk in self.mixed:
-                del self.chunks[chunk]
-            self.mixed.clear()
-        if len(self.pieces) > CACHE_MIXED:
-            self.pieces.clear()
+        return self._chunk(" " + chunk)
 
     def __call__(self, text: str) -> bytes:
         if not self.by_chunk or any(s in text for s in self.special):
             return self._whole(text)
-        self._forget()
+        if _PLAIN.fullmatch(text):
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
         first, *rest = _BLANK.split(text) if _UNEVEN.search(text) else text.split(" ")
         if not first and rest:  # the text begins with a blank
             return b"".join(map(self.chunks.__getitem__, rest))

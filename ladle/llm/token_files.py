@@ -78,7 +78,7 @@ class Memo(dict):
     asked for comes back.  So common keys stay, and never more than ``2 * limit`` are held.
     """
 
-    def __init__(self, make: Callable, limit: float = float("inf")):
+    def __init__(self, make: Callable, limit: int):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):

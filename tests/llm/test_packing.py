@@ -159,3 +159,10 @@ def test_memos_are_bounded(monkeypatch):
     enc = pk.ByteEncoder(byte_tokenizer_path())
     texts = [f"w{i} and, some {i} more! {i}" for i in range(20)]
     assert [np.frombuffer(enc(t), "<u2").tolist() + [0] for t in texts] == library(texts)
+
+
+def test_chunks_of_plain_texts_share_the_word():
+    enc = pk.ByteEncoder(byte_tokenizer_path())
+    texts = ["One word, word. word\nword; (word) it's  word ", "\t word\r\n\n  word 12word", "é word,word"]
+    assert [np.frombuffer(enc(t), "<u2").tolist() + [0] for t in texts] == library(texts)
+    assert " word" in enc.pieces and " word," not in enc.chunks and not enc.chunks
